@@ -88,16 +88,25 @@ def eligible_series(weekly: DataFrame) -> DataFrame:
     )
 
 
-def demand_shares(fct_sales: DataFrame, keys: Sequence[str]) -> DataFrame:
+def weekly_by_cluster(fct_sales: DataFrame) -> DataFrame:
+    """Units per week, category and store cluster: the one pass over sales behind all forecast steps."""
+    return fct_sales.groupBy(F.trunc("sale_date", "week").alias("week_start"), "category", "store_cluster").agg(
+        F.sum("quantity").alias("total_quantity")
+    )
+
+
+def category_series(by_cluster: DataFrame) -> DataFrame:
+    """Weekly units per category from the cluster rows, without the partial first week."""
+    weekly = by_cluster.groupBy("week_start", "category").agg(F.sum("total_quantity").alias("total_quantity"))
+    return weekly.filter(F.col("week_start") > by_cluster.agg(F.min("week_start")).scalar())
+
+
+def demand_shares(rows: DataFrame, keys: Sequence[str], units: str) -> DataFrame:
     """Units of each (category, *keys) and of its category: their ratio is the demand share.
 
     Category totals are summed from the already grouped rows and joined back, so
     a large category is never one window partition.
     """
-    parts = fct_sales.groupBy("category", *keys).agg(F.sum("quantity").alias("units"))
-    totals = category_units(parts)
+    parts = rows.groupBy("category", *keys).agg(F.sum(units).alias("units"))
+    totals = parts.groupBy("category").agg(F.sum("units").alias("category_units"))
     return parts.join(totals, "category")
-
-
-def category_units(parts: DataFrame) -> DataFrame:
-    return parts.groupBy("category").agg(F.sum("units").alias("category_units"))

@@ -349,9 +349,9 @@ def additive_backtest(weekly: DataFrame, holiday_years: Sequence[int] | None = N
     return folds(eligible_series(weekly)).groupBy("category", "cutoff").applyInPandas(one, layout)
 
 
-def topdown_forecast(forecast: DataFrame, fct_sales: DataFrame) -> DataFrame:
+def topdown_forecast(forecast: DataFrame, by_cluster: DataFrame) -> DataFrame:
     """Category forecasts split over store clusters by their share of historical units."""
-    shares = demand_shares(fct_sales, ["store_cluster"])
+    shares = demand_shares(by_cluster, ["store_cluster"], "total_quantity")
     share = F.try_divide(F.col("units").cast("double"), F.col("category_units").cast("double"))
     split = forecast.drop("store_cluster").join(shares, "category").withColumn("share", share)
     return split.select(

@@ -13,13 +13,12 @@ STOCKOUT_UPLIFT = 1.15
 RECENT_WEEKS = 4
 
 
-def recent_cluster_demand(fct_sales: DataFrame, weeks: int = RECENT_WEEKS) -> DataFrame:
-    """Average weekly units of the last full weeks of history per category and cluster."""
-    week = F.trunc("sale_date", "week")
-    last = fct_sales.agg(F.trunc(F.max("sale_date"), "week")).scalar()
-    recent = fct_sales.filter(F.datediff(last, week) < weeks * 7)
+def recent_cluster_demand(by_cluster: DataFrame, weeks: int = RECENT_WEEKS) -> DataFrame:
+    """Average weekly units of the last weeks of history per category and cluster."""
+    last = by_cluster.agg(F.max("week_start")).scalar()
+    recent = by_cluster.filter(F.datediff(last, "week_start") < weeks * 7)
     return recent.groupBy("category", "store_cluster").agg(
-        (F.sum("quantity").cast("double") / float(weeks)).alias("recent_weekly_units")
+        (F.sum("total_quantity").cast("double") / float(weeks)).alias("recent_weekly_units")
     )
 
 

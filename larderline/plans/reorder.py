@@ -104,16 +104,15 @@ def reorder_by_share(
     multipliers: dict[str, float] = DOCUMENTED_MULTIPLIERS,
 ) -> DataFrame:
     """Category forecasts brought to each store and product by its share of the category's units."""
-    sold = fct_sales.groupBy("category", *STORE_PRODUCT).agg(F.sum("quantity").alias("units"))
+    sold = fct_sales.filter(F.col("category").isNotNull()).groupBy("category", *STORE_PRODUCT).agg(
+        F.sum("quantity").alias("units")
+    )
     totals = sold.groupBy("category").agg(F.sum("units").alias("category_units"))
     ahead = forecast_summary(forecast).drop("store_cluster", "max_weekly_forecast").join(totals, "category")
     ahead = ahead.withColumnsRenamed(
         {"avg_weekly_forecast": "_category_avg", "forecast_upper_avg": "_category_upper"}
     )
-    sold_here = sold.withColumnRenamed("category", "_sold_category").filter(F.col("_sold_category").isNotNull())
-    located = splittable_left_join(
-        latest.withColumn("_sold_category", F.col("category")), sold_here, ["_sold_category", *STORE_PRODUCT]
-    )
+    located = splittable_left_join(latest, sold, ["category", *STORE_PRODUCT])
     share = F.try_divide(
         F.coalesce(F.col("units"), F.lit(0)).cast("double"), F.col("category_units").cast("double")
     )

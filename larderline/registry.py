@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from larderline.functions.columns import surrogate_key
 from larderline.operators import price_versions, quality
 from larderline.operators.joins import fits_broadcast
+from larderline.operators.reuse import kept
 from larderline.plans import catalogue, checks, dashboard, demand, forecast, planning, reorder, staging
 from larderline.plans.warehouse import Warehouse
 from larderline.sources import raw as raw_feeds
@@ -40,22 +41,31 @@ class Shop(Warehouse):
     def weekly_demand(self) -> DataFrame:
         return demand.weekly_demand(self.fct_sales)
 
+    @cached_property
+    def by_cluster(self) -> DataFrame:
+        """Weekly units by category and cluster, stored: trend, backtest, shares and floors all read it."""
+        return kept(demand.weekly_by_cluster(self.fct_sales))
+
+    @cached_property
+    def series(self) -> DataFrame:
+        return demand.category_series(self.by_cluster)
+
     @cached_property
     def latest_inventory(self) -> DataFrame:
         return reorder.latest_inventory(self.fct_inventory)
 
     @cached_property
     def trend(self) -> DataFrame:
-        return forecast.trend_forecast(self.weekly_demand)
+        return forecast.trend_forecast(self.series)
 
     @cached_property
     def trend_metadata(self) -> DataFrame:
-        accuracies = forecast.accuracy(forecast.trend_backtest(self.weekly_demand))
-        return forecast.model_metadata(self.weekly_demand, accuracies)
+        accuracies = forecast.accuracy(forecast.trend_backtest(self.series))
+        return forecast.model_metadata(self.series, accuracies)
 
     @cached_property
     def cluster_forecast(self) -> DataFrame:
-        return forecast.topdown_forecast(self.trend, self.fct_sales)
+        return forecast.topdown_forecast(self.trend, self.by_cluster)
 
     @cached_property
     def summary_small(self) -> bool:
@@ -87,6 +97,11 @@ def shop(spark: SparkSession, folder: str) -> Shop:
     return known[folder]
 
 
+def forget() -> None:
+    """Drop the kept warehouses, so the next query starts from the files."""
+    _shops.clear()
+
+
 def _versions(snapshot: DataFrame) -> DataFrame:
     """Snapshot columns in the form the version queries share."""
     return snapshot.select(
@@ -175,7 +190,7 @@ def _planning(s: Shop) -> DataFrame:
     return planning.planning_quantity(
         s.cluster_forecast,
         s.trend_metadata,
-        planning.recent_cluster_demand(s.fct_sales),
+        planning.recent_cluster_demand(s.by_cluster),
         planning.recent_stockouts(s.fct_inventory),
     )
 
@@ -187,8 +202,8 @@ def _six_places(df: DataFrame) -> DataFrame:
 
 
 def _additive_metadata(s: Shop) -> DataFrame:
-    accuracies = forecast.accuracy(forecast.additive_backtest(s.weekly_demand, HOLIDAY_YEARS))
-    return forecast.model_metadata(s.weekly_demand, accuracies)
+    accuracies = forecast.accuracy(forecast.additive_backtest(s.series, HOLIDAY_YEARS))
+    return forecast.model_metadata(s.series, accuracies)
 
 
 _BY_SHOP: dict[str, Callable[[Shop], DataFrame]] = {
@@ -231,12 +246,12 @@ _BY_SHOP: dict[str, Callable[[Shop], DataFrame]] = {
     "anomaly_column": checks.column_anomalies,
     "weekly_demand": lambda s: s.weekly_demand,
     "series_profile": lambda s: demand.series_profile(s.weekly_demand),
-    "forecast_eligibility": lambda s: demand.eligibility(s.weekly_demand),
-    "holiday_features": lambda s: forecast.holiday_features(s.weekly_demand, HOLIDAY_YEARS),
-    "forecast_future_frame": lambda s: forecast.future_frame(s.weekly_demand),
-    "forecast_future_mondays": lambda s: forecast.future_frame(s.weekly_demand, anchor="monday"),
+    "forecast_eligibility": lambda s: demand.eligibility(s.series),
+    "holiday_features": lambda s: forecast.holiday_features(s.series, HOLIDAY_YEARS),
+    "forecast_future_frame": lambda s: forecast.future_frame(s.series),
+    "forecast_future_mondays": lambda s: forecast.future_frame(s.series, anchor="monday"),
     "forecast_trend": lambda s: _six_places(s.trend),
-    "forecast_trend_backtest": lambda s: _six_places(forecast.trend_backtest(s.weekly_demand)),
+    "forecast_trend_backtest": lambda s: _six_places(forecast.trend_backtest(s.series)),
     "forecast_topdown": lambda s: _six_places(s.cluster_forecast),
     "forecast_summary": lambda s: _six_places(forecast.forecast_summary(s.cluster_forecast)),
     "forecast_window": lambda s: _six_places(forecast.forecast_window(s.trend, "fresh_produce", FORECAST_FROM)),
@@ -244,8 +259,8 @@ _BY_SHOP: dict[str, Callable[[Shop], DataFrame]] = {
     "forecast_failure_modes": lambda s: s.trend_metadata.select("category", "failure_modes"),
     "model_performance": lambda s: forecast.model_performance(s.trend_metadata),
     "planning_quantity": lambda s: _six_places(_planning(s)),
-    "forecast_additive": lambda s: forecast.additive_forecast(s.weekly_demand, holiday_years=HOLIDAY_YEARS),
-    "forecast_backtest": lambda s: forecast.additive_backtest(s.weekly_demand, HOLIDAY_YEARS),
+    "forecast_additive": lambda s: forecast.additive_forecast(s.series, holiday_years=HOLIDAY_YEARS),
+    "forecast_backtest": lambda s: forecast.additive_backtest(s.series, HOLIDAY_YEARS),
     "forecast_metadata": _additive_metadata,
     "latest_inventory": lambda s: s.latest_inventory,
     "reorder_literal": lambda s: s.stored_recommendations,
