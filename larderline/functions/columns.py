@@ -24,12 +24,6 @@ def day(value: date) -> Column:
     return F.lit(value.isoformat()).cast("date")
 
 
-def zero_padded(number: Column, width: int) -> Column:
-    """Left-pad with zeros to at least ``width``; longer numbers are kept whole (lpad would cut them)."""
-    text = number.cast("string")
-    return F.concat(F.repeat(F.lit("0"), F.greatest(F.lit(width) - F.length(text), F.lit(0))), text)
-
-
 def in_cents(money: Column) -> Column:
     """Exact cents of a two-decimal amount."""
     return (money * F.lit(100)).cast("bigint")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -15,27 +15,19 @@ BROADCAST_BYTES = 64 * 2**20
 FIXED_WIDTH = 16
 
 
-def measured_rows(tables: dict[str, DataFrame]) -> dict[str, int]:
-    """Exact row counts of several tables in one job (no data column is read)."""
-    return _one_number_each(tables, lambda df: F.count(F.lit(1)))
-
-
 def widest_rows(tables: dict[str, DataFrame]) -> dict[str, int]:
     """Bytes of the widest row of several tables: string payload plus fixed slots, in one job."""
 
-    def widest(df: DataFrame) -> Column:
-        text = [F.octet_length(f.name) for f in df.schema if isinstance(f.dataType, StringType)]
-        payload = reduce(lambda a, b: a + b, [F.coalesce(t, F.lit(0)) for t in text], F.lit(0))
-        return F.coalesce(F.max(payload).cast("bigint"), F.lit(0)) + FIXED_WIDTH * len(df.columns)
-
-    return _one_number_each(tables, widest)
-
+    def widest(name: str, df: DataFrame) -> DataFrame:
+        text = [f"coalesce(octet_length({f.name}), 0)" for f in df.schema if isinstance(f.dataType, StringType)]
+        payload = " + ".join(["0", *text])
+        slots = FIXED_WIDTH * len(df.columns)
+        return df.selectExpr(f"'{name}' AS name", f"bigint({payload}) AS w").groupBy("name").agg(
+            (F.max("w") + slots).alias("w")
+        )
 
-def _one_number_each(tables: dict[str, DataFrame], measure: Callable[[DataFrame], Column]) -> dict[str, int]:
-    if not tables:
-        return {}
-    parts = [df.agg(measure(df).alias("n")).select(F.lit(name).alias("name"), "n") for name, df in tables.items()]
-    return {r["name"]: r["n"] for r in reduce(DataFrame.union, parts).collect()}
+    parts = [widest(name, df) for name, df in tables.items()]
+    return {row["name"]: row["w"] for row in reduce(DataFrame.union, parts).collect()}
 
 
 def fits_broadcast(rows: int, row_bytes: int) -> bool:

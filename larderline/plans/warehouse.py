@@ -8,7 +8,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 
-from larderline.operators.joins import broadcast_if, fits_broadcast, measured_rows, widest_rows
+from larderline.operators.joins import broadcast_if, fits_broadcast, widest_rows
 from larderline.plans import dimensions, facts, staging
 from larderline.sources.raw import RawTables
 from larderline.sources.sinks import write_mart
@@ -58,59 +58,31 @@ class Warehouse:
     def dim_products(self) -> DataFrame:
         return dimensions.dim_products(self.stg_products, self.stg_suppliers)
 
-    @cached_property
-    def _dimension_rows(self) -> dict[str, int]:
-        """Measured rows of the feeds behind the dimensions; they bound the dimension rows."""
-        names = ("stores", "suppliers", "products", "product_price_history")
-        return measured_rows({name: getattr(self.raw, name) for name in names})
-
-    @cached_property
-    def _dimension_widths(self) -> dict[str, int]:
-        """Measured widest row of the feeds that passed the row limit."""
-        short = [name for name, rows in self._dimension_rows.items() if fits_broadcast(rows, 0)]
-        return widest_rows({name: getattr(self.raw, name) for name in short})
-
-    def _small(self, rows: str, *parts: str) -> bool:
-        widths = self._dimension_widths
-        if any(part not in widths for part in (rows, *parts)):
-            return False
-        return fits_broadcast(self._dimension_rows[rows], sum(widths[part] for part in (rows, *parts)))
-
-    @cached_property
-    def stores_small(self) -> bool:
-        return self._small("stores")
-
     @cached_property
     def versions_small(self) -> bool:
-        return self._small("product_price_history", "products", "suppliers")
-
-    @cached_property
-    def suppliers_small(self) -> bool:
-        return self._small("suppliers")
-
-    @cached_property
-    def stores_lookup(self) -> DataFrame:
-        return broadcast_if(self.stores_small, self.dim_stores)
+        """Whether dim_products fits a broadcast: its rows are bounded by the price history, its width by
+        the widest history, product and supplier rows. Planner estimates of a joined table say neither."""
+        rows = self.raw.product_price_history.count()
+        if not fits_broadcast(rows, 0):
+            return False
+        parts = {name: getattr(self.raw, name) for name in ("products", "suppliers", "product_price_history")}
+        return fits_broadcast(rows, sum(widest_rows(parts).values()))
 
     @cached_property
     def versions_lookup(self) -> DataFrame:
         return broadcast_if(self.versions_small, self.dim_products)
 
-    @cached_property
-    def suppliers_lookup(self) -> DataFrame:
-        return broadcast_if(self.suppliers_small, self.stg_suppliers)
-
     @cached_property
     def fct_inventory(self) -> DataFrame:
-        return facts.fct_inventory(self.stg_inventory, self.stores_lookup, self.versions_lookup)
+        return facts.fct_inventory(self.stg_inventory, self.dim_stores, self.versions_lookup)
 
     @cached_property
     def fct_purchase_orders(self) -> DataFrame:
         return facts.fct_purchase_orders(
             self.stg_purchase_orders,
-            self.stores_lookup,
+            self.dim_stores,
             self.versions_lookup,
-            self.suppliers_lookup,
+            self.stg_suppliers,
             self.orders_as_of or self.as_of,
         )
 
@@ -119,7 +91,7 @@ class Warehouse:
         return facts.fct_sales(
             self.stg_sales,
             self.versions_lookup,
-            self.stores_lookup,
+            self.dim_stores,
             self.as_of,
             versions_by_year=not self.versions_small,
         )

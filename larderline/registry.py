@@ -71,7 +71,7 @@ class Shop(Warehouse):
     def summary_small(self) -> bool:
         """Whether a table by category and cluster is small: measured on products and stores."""
         categories = self.raw.products.select("category").distinct().count()
-        return fits_broadcast((categories + 1) * (self._dimension_rows["stores"] + 1), 256)
+        return fits_broadcast((categories + 1) * (self.raw.stores.count() + 1), 256)
 
     @cached_property
     def recommendations(self) -> DataFrame:

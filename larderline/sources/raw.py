@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -12,9 +12,8 @@ from pyspark.sql import functions as F
 from larderline.sources.schemas import RAW_SCHEMAS
 
 
-@dataclass(frozen=True)
 class RawTables:
-    """One DataFrame per raw feed."""
+    """One DataFrame per raw feed, as attributes; each is planned when first read."""
 
     stores: DataFrame
     suppliers: DataFrame
@@ -24,8 +23,21 @@ class RawTables:
     pos_sales: DataFrame
     purchase_orders: DataFrame
 
+    def __init__(self, **feeds: DataFrame | Callable[[], DataFrame]) -> None:
+        if set(feeds) != set(RAW_SCHEMAS):
+            raise ValueError(f"raw feeds must be exactly: {', '.join(RAW_SCHEMAS)}")
+        self._feeds = feeds
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self._feeds:
+            raise AttributeError(name)
+        feed = self._feeds[name]
+        frame = feed if isinstance(feed, DataFrame) else feed()
+        setattr(self, name, frame)
+        return frame
+
     def items(self) -> list[tuple[str, DataFrame]]:
-        return [(f.name, getattr(self, f.name)) for f in fields(self)]
+        return [(name, getattr(self, name)) for name in RAW_SCHEMAS]
 
 
 def read_available(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame], list[str]]:
