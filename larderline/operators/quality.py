@@ -64,15 +64,19 @@ def fresh(table: str, column: str, max_days: int) -> Check:
     return Check(FRESH, table, column, {"max_days": max_days})
 
 
-def bad_rows(check: Check) -> Column:
-    """Condition of a failing row for the row-wise expectations; NULL values fail only no_nulls."""
-    value = F.col(check.column)
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def bad_rows(check: Check) -> str:
+    """SQL condition of a failing row for the row-wise expectations; NULL values fail only no_nulls."""
+    value = f"`{check.column}`"
     if check.expectation == NO_NULLS:
-        return value.isNull()
+        return f"{value} IS NULL"
     if check.expectation == ACCEPTED:
-        return ~value.isin(check.options["values"])
+        return f"{value} NOT IN ({', '.join(_text(v) for v in check.options['values'])})"
     if check.expectation == BETWEEN:
-        return (value < F.lit(check.options["low"])) | (value > F.lit(check.options["high"]))
+        return f"{value} < {check.options['low']}D OR {value} > {check.options['high']}D"
     raise ValueError(f"{check.expectation} is not a row-wise expectation")
 
 
@@ -113,7 +117,7 @@ def _fused(df: DataFrame, checks: list[Check], as_of: date) -> DataFrame:
                 _result(check, age <= o["max_days"], days_since_latest=age, max_allowed=F.lit(o["max_days"]))
             )
             continue
-        measures.append(F.count_if(bad_rows(check)).alias(f"m{i}"))
+        measures.append(F.expr(f"count_if({bad_rows(check)}) AS m{i}"))
         if check.expectation == NO_NULLS:
             results.append(_result(check, m == 0, null_count=m))
         elif check.expectation == ACCEPTED:
@@ -252,36 +256,27 @@ def run_model_tests(
     if len(keys) > 1:
         raise ValueError(f"{model}: one unique column per model is supported")
 
-    def row(check: Check, failures: Column) -> Column:
-        return F.struct(
-            F.lit(layer).alias("layer"),
-            F.lit(model).alias("model"),
-            F.lit(check.column).alias("column_name"),
-            F.lit(TEST_NAMES[check.expectation]).alias("test"),
-            failures.alias("failures"),
-            (failures == 0).alias("passed"),
-        )
+    def row(check: Check, failures: str) -> str:
+        fixed = {"layer": layer, "model": model, "column_name": check.column, "test": TEST_NAMES[check.expectation]}
+        named = ", ".join(f"'{name}', {_text(value)}" for name, value in fixed.items())
+        return f"named_struct({named}, 'failures', {failures}, 'passed', {failures} = 0)"
 
-    rows = [row(check, F.coalesce(F.col(f"m{i}"), F.lit(0).cast("bigint"))) for i, check in enumerate(plain)]
+    rows = [row(check, f"coalesce(m{i}, 0L)") for i, check in enumerate(plain)]
+    counts = [F.expr(f"count_if({condition}) AS {name}") for name, condition in bad.items()]
     if keys:
-        key = keys[0].column
-        grouped = df.groupBy(F.col(key).alias("_key")).agg(
-            F.count(F.lit(1)).alias("_n"), *[F.count_if(c).alias(m) for m, c in bad.items()]
-        )
-        totals = grouped.agg(
-            F.count_if((F.col("_n") > 1) & F.col("_key").isNotNull()).alias("_repeated"),
-            *[F.sum(m).alias(m) for m in bad],
-        )
-        rows.append(row(keys[0], F.col("_repeated")))
+        grouped = df.groupBy(F.col(keys[0].column).alias("_key")).agg(F.expr("count(1) AS _n"), *counts)
+        repeated = F.expr("count_if(_n > 1 AND _key IS NOT NULL) AS _repeated")
+        totals = grouped.agg(repeated, *[F.expr(f"sum({name}) AS {name}") for name in bad])
+        rows.append(row(keys[0], "_repeated"))
     else:
-        totals = df.agg(*[F.count_if(c).alias(m) for m, c in bad.items()])
-    parts = [totals.select(F.inline(F.array(*rows)))]
+        totals = df.agg(*counts)
+    parts = [totals.selectExpr(f"inline(array({', '.join(rows)}))")]
     for check in checks:
         if check.expectation == REFERENCE:
             parent = parents[check.options["parent"]]
             column = check.options["parent_column"]
             lost = orphan_count(df, check.column, parent.filter(F.col(column).isNotNull()), column)
-            parts.append(lost.select(F.inline(F.array(row(check, F.col("orphans"))))))
+            parts.append(lost.selectExpr(f"inline(array({row(check, 'orphans')}))"))
     return reduce(DataFrame.unionByName, parts)
 
 
