@@ -1,11 +1,10 @@
 """Near-duplicate documents by HyperMinHash.
 
-Texts with the same shingle set are one class; only classes go on. The shingles of a class are dealt to 128 buckets by
-hash; a register keeps the bucket's smallest hash as its number of leading zeros and ten bits of mantissa. Empty
-buckets borrow from full ones in a fixed order. Bands of four registers make the candidates: at a similarity of 0.75 a
-pair meets in one of 32 bands with a chance of 0.999995, and of pairs that meet, the Jaccard estimate (share of equal
-registers, less the expected share of accidental ones) sorts out what is five deviations too low. What is left is
-confirmed on the full sets.
+Texts with the same shingle set are one class; only classes go on. A class has 128 buckets, each with a hash function
+of its own; the register of a bucket keeps the smallest hash as its number of leading zeros and ten bits of mantissa.
+Bands of four registers make the candidates: at a similarity of 0.75 a pair meets in one of 32 bands with a chance of
+0.999995, and of pairs that meet, the Jaccard estimate (share of equal registers, less the expected share of accidental
+ones) sorts out what is five deviations too low. What is left is confirmed on the full sets.
 
 No bucket is expanded into pairs. First every class of a bucket is held against the bucket's smallest class; confirmed
 links make components. Then each bucket that still holds several components is worked through in blocks: classes
@@ -36,27 +35,22 @@ LEAST = 75
 SLACK = 5 * (0.75 * 0.25 / BUCKETS) ** 0.5
 BLOCK = 2048
 
-#: Order in which an empty bucket looks for a full one.
-_ORDER = np.argsort(mixed(np.arange(BUCKETS * BUCKETS, dtype=np.uint64).reshape(BUCKETS, BUCKETS) + np.uint64(7)), axis=1)
+#: Odd multipliers, one hash function for each bucket: with its own function no bucket is empty, however small the set,
+#: and the registers of small sets are as independent as those of large ones.
+_FUNCTIONS = mixed(np.arange(1, BUCKETS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
 def registers(values: np.ndarray) -> np.ndarray:
     """Registers (uint16) of a set of hashes; the set isn't empty."""
-    spread = mixed(values + np.uint64(0x5851F42D4C957F2D))
-    bucket = (spread >> np.uint64(57)).astype(np.int64)
-    rest = spread << np.uint64(7)
     least = np.full(BUCKETS, np.uint64(2**64 - 1))
-    np.minimum.at(least, bucket, rest)
-    full = np.bincount(bucket, minlength=BUCKETS) > 0
-    # Leading zeros from the exponent of the value as a floating number; of a wide value the low bits don't count.
-    exponent = np.frexp((least >> np.uint64(11)).astype(np.float64))[1]
-    zeros = np.where(least >> np.uint64(11) > 0, 53 - exponent, 53)
-    shifted = least << (zeros + 1).astype(np.uint64)
-    made = (zeros.astype(np.uint64) << np.uint64(MANTISSA) | shifted >> np.uint64(64 - MANTISSA)).astype(np.uint16)
-    if not full.all():
-        lender = _ORDER[np.arange(BUCKETS), np.argmax(full[_ORDER], axis=1)]
-        made = np.where(full, made, made[lender])
-    return made
+    for at in range(0, len(values), 1024):
+        part = values[at : at + 1024]
+        np.minimum(least, (part[:, None] * _FUNCTIONS[None, :]).min(0), out=least)
+    # Leading zeros from the exponent as a floating number; the lowest eleven bits are cut so that it is exact.
+    wide = least >> np.uint64(11)
+    zeros = np.where(wide > 0, 53 - np.frexp(wide.astype(np.float64))[1], 53)
+    mantissa = least << (zeros + 1).astype(np.uint64) >> np.uint64(64 - MANTISSA)
+    return (zeros.astype(np.uint64) << np.uint64(MANTISSA) | mantissa).astype(np.uint16)
 
 
 def estimate(equal: np.ndarray, one: np.ndarray, other: np.ndarray) -> np.ndarray:
