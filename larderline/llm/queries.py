@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from larderline.llm import op1_sharding as op1
+from larderline.llm import op4_line_dedup as op4
 from larderline.llm import op7_minhash as op7
 from larderline.llm import op9_exact_top_k as op9
 from larderline.llm.op2_toxicity import op2_toxicity
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1.op1_sharding,
     "op2_toxicity": op2_toxicity,
     "op3_packing": op3_packing,
+    "op4_line_dedup": op4.op4_line_dedup,
     "op5_pii": op5_pii,
     "op6_token_counts": op6_token_counts,
     "op7_minhash": op7.op7_minhash,
@@ -31,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: The other operators cannot be said in SQL (tokenizers, fitted models, an index); tests/llm holds them to brute force.
 ORACLES: dict[str, str] = {
     "op1_sharding": op1.ORACLE,
+    "op4_line_dedup": op4.ORACLE,
     "op7_minhash": op7.ORACLE,
     "op9_exact_top_k": op9.ORACLE,
 }
