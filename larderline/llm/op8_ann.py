@@ -156,7 +156,7 @@ def search(
 
     probes = rows.where(is_query).orderBy(by_hash, "vec_id").limit(probe_queries).collect()
     probe_ids = np.array([r.vec_id for r in probes], np.int64)
-    probe_vectors = np.array([r.vector for r in probes]).reshape(len(probes), -1)
+    probe_vectors = np.array([r.vector for r in probes]).reshape(len(probes), sample.shape[1])
 
     def nearest(batch):
         ids, values = column_of(batch, "vec_id").to_numpy(), matrix(column_of(batch, "vector"))
