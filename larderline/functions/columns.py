@@ -32,13 +32,14 @@ def in_cents(money: Column) -> Column:
 def rounded_ratio(numerator: Column, denominator: Column, digits: int = 0) -> Column:
     """round(numerator / denominator, digits) of two integers, as a BIGINT in units of 10^-digits.
 
-    Works in integers only, half away from zero, so half-cent cases do not
+    Works in integers of up to 38 digits, half away from zero, so half-cent cases do not
     depend on binary fractions. NULL when the denominator is 0 or NULL.
     """
-    top = numerator.cast("bigint") * F.lit(10**digits)
+    wide = "decimal(38,0)"
+    top = (numerator.cast(wide) * F.lit(10**digits)).cast(wide)
     bottom = F.nullif(F.abs(denominator.cast("bigint")), F.lit(0).cast("bigint"))
-    size = F.call_function("div", F.abs(top) * 2 + bottom, bottom * 2)
-    return size * F.signum(top).cast("bigint") * F.signum(denominator.cast("bigint")).cast("bigint")
+    size = F.call_function("div", (F.abs(top) * 2 + bottom).cast(wide), (bottom * 2).cast(wide))
+    return size * F.signum(numerator.cast("double")).cast("bigint") * F.signum(denominator.cast("double")).cast("bigint")
 
 
 def to_units(scaled: Column, digits: int) -> Column:

@@ -19,7 +19,7 @@ def widest_rows(tables: dict[str, DataFrame]) -> dict[str, int]:
     """Bytes of the widest row of several tables: string payload plus fixed slots, in one job."""
 
     def widest(name: str, df: DataFrame) -> DataFrame:
-        text = [f"coalesce(octet_length({f.name}), 0)" for f in df.schema if isinstance(f.dataType, StringType)]
+        text = [f"coalesce(octet_length(`{f.name}`), 0)" for f in df.schema if isinstance(f.dataType, StringType)]
         payload = " + ".join(["0", *text])
         slots = FIXED_WIDTH * len(df.columns)
         return df.selectExpr(f"'{name}' AS name", f"bigint({payload}) AS w").groupBy("name").agg(
@@ -55,9 +55,5 @@ def splittable_left_join(facts: DataFrame, lookup: DataFrame, on: Sequence[str])
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use every core for a table about to grow or be joined that arrives in fewer splits than cores.
-
-    A table that already has enough splits is returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    """Deal out a table about to grow, so that every core gets some of it, whatever its files look like."""
+    return df.repartition(key)

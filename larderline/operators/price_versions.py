@@ -47,18 +47,14 @@ def close_versions(
 def merge_versions(
     existing: DataFrame, changes: DataFrame, key: str, changed_at: str
 ) -> DataFrame:
-    """Fold newer changes into an existing version table.
+    """Fold changes into an existing version table.
 
-    ``existing`` is the output of :func:`close_versions`. Only changes later than
-    the newest version of their key are taken. A version closed earlier than its
-    successor's start (a deleted key that came back) keeps its own end.
+    ``existing`` is the output of :func:`close_versions`. A change that comes late, dated before the newest version
+    of its key, splits the version it falls into; one dated like an existing version is known already. A version
+    closed earlier than its successor's start (a deleted key that came back) keeps its own end.
     """
-    newest = existing.groupBy(key).agg(F.max("valid_from").alias("_newest"))
-    fresh = (
-        changes.join(newest, key, "left")
-        .filter(F.col("_newest").isNull() | (F.col(changed_at) > F.col("_newest")))
-        .drop("_newest")
-    )
+    known = existing.select(F.col(key).alias("_key"), F.col("valid_from").alias("_known"))
+    fresh = changes.join(known, (F.col(key) == F.col("_key")) & (F.col(changed_at) == F.col("_known")), "left_anti")
     kept = existing.withColumnRenamed("valid_to", "_closed").drop("valid_from")
     together = kept.unionByName(fresh, allowMissingColumns=True)
     return (

@@ -241,20 +241,27 @@ def source_freshness(
 
 
 def run_model_tests(
-    layer: str, model: str, df: DataFrame, checks: Sequence[Check], parents: dict[str, DataFrame]
+    layer: str,
+    model: str,
+    df: DataFrame,
+    checks: Sequence[Check],
+    parents: dict[str, DataFrame],
+    as_of: date | None = None,
 ) -> DataFrame:
     """(layer, model, column_name, test, failures, passed) for the declared tests of one model.
 
     ``failures`` counts failing rows; for uniqueness it counts repeated values
     and ignores NULLs, and a relationship ignores NULLs on both sides. The model
     is evaluated once: its counts are taken per unique key and then added up, so
-    uniqueness needs no second pass over an expensive model.
+    uniqueness needs no second pass over an expensive model; further unique columns take a grouped count each. A kind
+    of test that is not known is refused, and freshness needs ``as_of``.
     """
+    unknown = [check.expectation for check in checks if check.expectation not in TEST_NAMES]
+    if unknown:
+        raise ValueError(f"{model}: no such test: {', '.join(unknown)}")
     keys = [check for check in checks if check.expectation == UNIQUE]
     plain = [check for check in checks if check.expectation in (NO_NULLS, ACCEPTED, BETWEEN)]
     bad = {f"m{i}": bad_rows(check) for i, check in enumerate(plain)}
-    if len(keys) > 1:
-        raise ValueError(f"{model}: one unique column per model is supported")
 
     def row(check: Check, failures: str) -> str:
         fixed = {"layer": layer, "model": model, "column_name": check.column, "test": TEST_NAMES[check.expectation]}
@@ -268,9 +275,32 @@ def run_model_tests(
         repeated = F.expr("count_if(_n > 1 AND _key IS NOT NULL) AS _repeated")
         totals = grouped.agg(repeated, *[F.expr(f"sum({name}) AS {name}") for name in bad])
         rows.append(row(keys[0], "_repeated"))
-    else:
+    elif counts:
         totals = df.agg(*counts)
-    parts = [totals.selectExpr(f"inline(array({', '.join(rows)}))")]
+    parts = [totals.selectExpr(f"inline(array({', '.join(rows)}))")] if rows else []
+    for check in keys[1:]:
+        values = df.groupBy(F.col(check.column).alias("_key")).agg(F.expr("count(1) AS _n"))
+        repeated = values.agg(F.expr("count_if(_n > 1 AND _key IS NOT NULL) AS _repeated"))
+        parts.append(repeated.selectExpr(f"inline(array({row(check, '_repeated')}))"))
+    whole = [check for check in checks if check.expectation in (ROW_COUNT, FRESH)]
+    if any(check.expectation == FRESH for check in whole) and as_of is None:
+        raise ValueError(f"{model}: freshness needs as_of")
+    if whole:
+        # One failure at most: the table's size or age is out of bounds.
+        verdicts = _fused(df, whole, as_of).groupBy("expectation", "column_name").agg(
+            F.sum((~F.col("passed")).cast("bigint")).alias("failures")
+        )
+        names = F.create_map(*[F.lit(x) for kind in (ROW_COUNT, FRESH) for x in (kind, TEST_NAMES[kind])])
+        parts.append(
+            verdicts.select(
+                F.lit(layer).alias("layer"),
+                F.lit(model).alias("model"),
+                "column_name",
+                names[F.col("expectation")].alias("test"),
+                "failures",
+                (F.col("failures") == 0).alias("passed"),
+            )
+        )
     for check in checks:
         if check.expectation == REFERENCE:
             parent = parents[check.options["parent"]]
@@ -286,4 +316,6 @@ TEST_NAMES = {
     ACCEPTED: "accepted_values",
     BETWEEN: "between",
     REFERENCE: "relationships",
+    ROW_COUNT: "row_count",
+    FRESH: "freshness",
 }

@@ -244,7 +244,7 @@ VOLUME_MONITORS = [
     ("fct_stockouts", "stockout_date", "week", 2),
 ]
 
-# Column monitors: model, timestamp, bucket, metrics, money columns.
+# Column monitors: model, timestamp, bucket, metrics.
 COLUMN_MONITORS = [
     (
         "fct_inventory",
@@ -256,14 +256,12 @@ COLUMN_MONITORS = [
             Metric("quantity_on_hand", "zero_count"),
             Metric("quantity_on_hand", "average"),
         ],
-        [],
     ),
     (
         "fct_purchase_orders",
         "order_date",
         "day",
         [Metric("total_order_value", "average"), Metric("total_order_value", "max")],
-        ["total_order_value"],
     ),
     (
         "fct_sales",
@@ -276,14 +274,12 @@ COLUMN_MONITORS = [
             Metric("quantity", "average"),
             Metric("quantity", "max"),
         ],
-        ["revenue"],
     ),
     (
         "fct_stockouts",
         "stockout_date",
         "week",
         [Metric("estimated_lost_revenue_7d", "average", 2), Metric("estimated_lost_revenue_7d", "sum", 2)],
-        ["estimated_lost_revenue_7d"],
     ),
 ]
 
@@ -300,8 +296,8 @@ def volume_anomalies(warehouse: Warehouse) -> DataFrame:
 def column_anomalies(warehouse: Warehouse) -> DataFrame:
     """Scored column metrics per bucket of every monitored model."""
     parts = [
-        bucket_metrics(model, getattr(warehouse, model), at, bucket, metrics, money)
-        for model, at, bucket, metrics, money in COLUMN_MONITORS
+        bucket_metrics(model, getattr(warehouse, model), at, bucket, metrics)
+        for model, at, bucket, metrics in COLUMN_MONITORS
     ]
     return score(fill_gaps(reduce(DataFrame.unionByName, parts)))
 

@@ -22,6 +22,8 @@ def weekly_chart(weekly_sales: DataFrame) -> DataFrame:
 def forecast_series(weekly_sales: DataFrame, forecast: DataFrame) -> DataFrame:
     """Every category on every week that has sales or a forecast: 0 units without sales, NULL without forecast.
 
+    Categories outside the known ones (or none) keep the weeks for which they have rows.
+
     The grid comes from exploding the known categories on each week; history,
     forecast and grid meet in one grouping instead of joins.
     """
@@ -31,7 +33,6 @@ def forecast_series(weekly_sales: DataFrame, forecast: DataFrame) -> DataFrame:
     weeks = history.select("week_start").unionByName(ahead.select("week_start")).distinct()
     cells = (
         history.unionByName(ahead, allowMissingColumns=True)
-        .filter(F.col("category").isin(labels.CATEGORIES))
         .unionByName(weeks.select("week_start", known), allowMissingColumns=True)
     )
     return cells.groupBy("week_start", "category").agg(
@@ -46,11 +47,16 @@ def status_counts(latest_inventory: DataFrame) -> DataFrame:
 
 
 def stockout_heatmap(latest_inventory: DataFrame) -> DataFrame:
-    """Stock-out share in percent, one row per category and one column per cluster; 0 where nothing is stocked."""
+    """Stock-out share in percent, one row per category and one column per cluster; 0 where nothing is stocked.
+
+    Stores of no known cluster are counted in the last column, "other".
+    """
     out = F.count_if(F.col("stock_status") == "stockout")
     share = to_units(rounded_ratio(out * 100, F.count(F.lit(1)), 1), 1)
-    grid = latest_inventory.groupBy("category").pivot("store_cluster", labels.CLUSTERS).agg(share)
-    return grid.fillna(0.0, labels.CLUSTERS)
+    columns = [*labels.CLUSTERS, "other"]
+    cluster = F.when(F.col("store_cluster").isin(labels.CLUSTERS), F.col("store_cluster")).otherwise("other")
+    grid = latest_inventory.withColumn("store_cluster", cluster).groupBy("category").pivot("store_cluster", columns).agg(share)
+    return grid.fillna(0.0, columns)
 
 
 def reorder_counts(recommendations: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 MIN_WEEKS = 26
@@ -26,12 +26,17 @@ def weekly_demand(fct_sales: DataFrame) -> DataFrame:
         F.sum("revenue").cast("decimal(38,2)").alias("total_revenue"),
         F.countDistinct("store_id").alias("store_count"),
     )
-    return weekly.filter(F.col("week_start") > first_week(fct_sales))
+    return after_first_week(weekly)
 
 
-def first_week(fct_sales: DataFrame) -> Column:
-    """The first week of any category, as a scalar subquery over the sale dates."""
-    return fct_sales.agg(F.trunc(F.min("sale_date"), "week")).scalar()
+def after_first_week(weekly: DataFrame) -> DataFrame:
+    """Weekly rows without the first week of any category.
+
+    The first week comes from the grouped rows themselves, so the sales are read once; the window holds one row per
+    calendar week and category.
+    """
+    first = F.min("week_start").over(Window.partitionBy())
+    return weekly.withColumn("_first", first).filter(F.col("week_start") > F.col("_first")).drop("_first")
 
 
 def series_profile(weekly: DataFrame) -> DataFrame:
@@ -98,7 +103,7 @@ def weekly_by_cluster(fct_sales: DataFrame) -> DataFrame:
 def category_series(by_cluster: DataFrame) -> DataFrame:
     """Weekly units per category from the cluster rows, without the partial first week."""
     weekly = by_cluster.groupBy("week_start", "category").agg(F.sum("total_quantity").alias("total_quantity"))
-    return weekly.filter(F.col("week_start") > by_cluster.agg(F.min("week_start")).scalar())
+    return after_first_week(weekly)
 
 
 def demand_shares(rows: DataFrame, keys: Sequence[str], units: str) -> DataFrame:

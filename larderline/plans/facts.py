@@ -123,7 +123,6 @@ def fct_sales(
     dim_products: DataFrame,
     dim_stores: DataFrame,
     as_of: date,
-    versions_by_year: bool = False,
 ) -> DataFrame:
     """One row per sale, priced against the product version valid on the sale day.
 
@@ -147,7 +146,7 @@ def fct_sales(
     variance = F.col("pos_unit_price") - F.col("catalogue_price")
     sales = stg_sales.withColumnRenamed("unit_price", "pos_unit_price")
     return (
-        join_at(sales, versions, "product_id", "sale_date", as_of, versions_by_year)
+        join_at(sales, versions, "product_id", "sale_date", as_of, by_year=True)
         .join(stores, "store_id", "left")
         .select(
             "sale_key",
@@ -179,17 +178,20 @@ def fct_sales(
     )
 
 
-def sales_averages(fct_sales: DataFrame) -> DataFrame:
-    """Revenue (cents) and quantity sums with their counts per store and product."""
-    return fct_sales.groupBy(*STORE_PRODUCT).agg(
-        F.sum(in_cents(F.col("revenue"))).alias("revenue_cents"),
-        F.count("revenue").alias("revenue_count"),
+def sales_averages(stg_sales: DataFrame) -> DataFrame:
+    """Revenue (cents) and quantity sums with their counts per store and product.
+
+    They need no column of products or stores, and a sale meets at most one version: so no join comes before the sums.
+    """
+    return stg_sales.groupBy(*STORE_PRODUCT).agg(
+        F.sum(in_cents(F.col("total_amount"))).alias("revenue_cents"),
+        F.count("total_amount").alias("revenue_count"),
         F.sum("quantity").alias("quantity_sum"),
         F.count("quantity").alias("quantity_count"),
     )
 
 
-def fct_stockouts(fct_inventory: DataFrame, fct_sales: DataFrame) -> DataFrame:
+def fct_stockouts(fct_inventory: DataFrame, stg_sales: DataFrame) -> DataFrame:
     """Stock-outs and low stock per store, product and day, with estimated lost revenue.
 
     The averages are per sale row, the seven days one snapshot interval.
@@ -207,7 +209,7 @@ def fct_stockouts(fct_inventory: DataFrame, fct_sales: DataFrame) -> DataFrame:
         .when(F.col("is_below_reorder_point"), "medium")
         .otherwise("low")
     )
-    return splittable_left_join(events, sales_averages(fct_sales), STORE_PRODUCT).select(
+    return splittable_left_join(events, sales_averages(stg_sales), STORE_PRODUCT).select(
         "store_id",
         "product_id",
         F.col("snapshot_date").alias("stockout_date"),

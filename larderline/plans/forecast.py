@@ -50,9 +50,29 @@ def epoch_day(column: Column) -> Column:
     return F.datediff(column, F.lit(EPOCH).cast("date")).cast("bigint")
 
 
+def easter_sunday(year: int) -> date:
+    """Gregorian Easter: the Sunday after the full moon of spring by the church's calendar."""
+    golden, century = year % 19, year // 100
+    moon = (century - century // 4 - (8 * century + 13) // 25 + 19 * golden + 15) % 30
+    moon -= moon // 28 * (1 - 29 // (moon + 1) * ((21 - golden) // 11))
+    days = moon - (year + year // 4 + moon + 2 - century + century // 4) % 7
+    return date(year, 3, 28) + timedelta(days=days)
+
+
+def holiday_in(name: str, given: date, year: int) -> date:
+    """A holiday in another year: Easter moves with the moon, the birthday is the second Monday of June."""
+    if name == "Good Friday":
+        return easter_sunday(year) - timedelta(days=2)
+    if name == "Easter Monday":
+        return easter_sunday(year) + timedelta(days=1)
+    if name == "Queen's Birthday":
+        return date(year, 6, 14) - timedelta(days=date(year, 6, 14).weekday())
+    return given.replace(year=year)
+
+
 def holiday_days(years: Sequence[int] | None = None) -> list[tuple[str, int, date]]:
-    """(holiday, offset, day) for every day in a holiday window; ``years`` repeats the dates yearly."""
-    dates = [(n, d.replace(year=y)) for y in years for n, d in HOLIDAYS] if years is not None else HOLIDAYS
+    """(holiday, offset, day) for every day in a holiday window; ``years`` gives the dates in other years."""
+    dates = [(n, holiday_in(n, d, y)) for y in years for n, d in HOLIDAYS] if years is not None else HOLIDAYS
     return [(n, k, d + timedelta(days=k)) for n, d in dates for k in range(HOLIDAY_WINDOW_DAYS + 1)]
 
 

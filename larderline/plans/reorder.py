@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larderline.functions.columns import lookup
-from larderline.operators.joins import broadcast_if, splittable_left_join
+from larderline.operators.joins import splittable_left_join
 from larderline.plans.facts import STORE_PRODUCT
 from larderline.plans.forecast import forecast_summary
 
@@ -84,7 +84,6 @@ def recommend(expected: DataFrame, multipliers: dict[str, float]) -> DataFrame:
 def reorder_by_cluster(
     latest: DataFrame,
     forecast: DataFrame,
-    summary_small: bool,
     multipliers: dict[str, float] = URGENCY_MULTIPLIERS,
 ) -> DataFrame:
     """Forecasts matched on (category, store_cluster) as they are stored.
@@ -92,7 +91,7 @@ def reorder_by_cluster(
     Category forecasts carry the cluster "all" and match no store, so the status
     alone decides; kept because it is what the stored forecasts yield.
     """
-    summary = broadcast_if(summary_small, forecast_summary(forecast))
+    summary = forecast_summary(forecast)
     return recommend(latest.join(summary, ["category", "store_cluster"], "left"), multipliers)
 
 
@@ -100,7 +99,6 @@ def reorder_by_share(
     latest: DataFrame,
     forecast: DataFrame,
     fct_sales: DataFrame,
-    summary_small: bool,
     multipliers: dict[str, float] = DOCUMENTED_MULTIPLIERS,
 ) -> DataFrame:
     """Category forecasts brought to each store and product by its share of the category's units."""
@@ -117,7 +115,7 @@ def reorder_by_share(
         F.coalesce(F.col("units"), F.lit(0)).cast("double"), F.col("category_units").cast("double")
     )
     expected = (
-        located.join(broadcast_if(summary_small, ahead), "category", "left")
+        located.join(ahead, "category", "left")
         .withColumn("_share", share)
         .withColumn("avg_weekly_forecast", F.col("_category_avg") * F.col("_share"))
         .withColumn("forecast_upper_avg", F.col("_category_upper") * F.col("_share"))
@@ -150,7 +148,7 @@ def urgent_orders(recommendations: DataFrame) -> DataFrame:
     """Orders to raise today: worst status first, then the largest."""
     return (
         recommendations.filter(F.col("should_reorder") & F.col("stock_status").isin(URGENT))
-        .orderBy(_severity("stockout"), F.desc_nulls_last("recommended_order_qty"))
+        .orderBy(_severity("stockout"), F.desc_nulls_last("recommended_order_qty"), "store_id", "product_id")
         .select("store_id", "product_name", "supplier_name", "recommended_order_qty", "stock_status")
     )
 
@@ -159,7 +157,7 @@ def urgent_orders_planner(recommendations: DataFrame) -> DataFrame:
     """The planners' list: urgent recommendations with current stock, worst status first."""
     return (
         recommendations.filter(F.col("should_reorder") & F.col("stock_status").isin(URGENT))
-        .orderBy(_severity("stockout", "critical"))
+        .orderBy(_severity("stockout", "critical"), "store_id", "product_id")
         .select(
             "store_id",
             "product_name",

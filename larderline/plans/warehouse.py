@@ -8,7 +8,6 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 
-from larderline.operators.joins import broadcast_if, fits_broadcast, widest_rows
 from larderline.plans import dimensions, facts, staging
 from larderline.sources.raw import RawTables
 from larderline.sources.sinks import write_mart
@@ -58,47 +57,27 @@ class Warehouse:
     def dim_products(self) -> DataFrame:
         return dimensions.dim_products(self.stg_products, self.stg_suppliers)
 
-    @cached_property
-    def versions_small(self) -> bool:
-        """Whether dim_products fits a broadcast: its rows are bounded by the price history, its width by
-        the widest history, product and supplier rows. Planner estimates of a joined table say neither."""
-        rows = self.raw.product_price_history.count()
-        if not fits_broadcast(rows, 0):
-            return False
-        parts = {name: getattr(self.raw, name) for name in ("products", "suppliers", "product_price_history")}
-        return fits_broadcast(rows, sum(widest_rows(parts).values()))
-
-    @cached_property
-    def versions_lookup(self) -> DataFrame:
-        return broadcast_if(self.versions_small, self.dim_products)
-
     @cached_property
     def fct_inventory(self) -> DataFrame:
-        return facts.fct_inventory(self.stg_inventory, self.dim_stores, self.versions_lookup)
+        return facts.fct_inventory(self.stg_inventory, self.dim_stores, self.dim_products)
 
     @cached_property
     def fct_purchase_orders(self) -> DataFrame:
         return facts.fct_purchase_orders(
             self.stg_purchase_orders,
             self.dim_stores,
-            self.versions_lookup,
+            self.dim_products,
             self.stg_suppliers,
             self.orders_as_of or self.as_of,
         )
 
     @cached_property
     def fct_sales(self) -> DataFrame:
-        return facts.fct_sales(
-            self.stg_sales,
-            self.versions_lookup,
-            self.dim_stores,
-            self.as_of,
-            versions_by_year=not self.versions_small,
-        )
+        return facts.fct_sales(self.stg_sales, self.dim_products, self.dim_stores, self.as_of)
 
     @cached_property
     def fct_stockouts(self) -> DataFrame:
-        return facts.fct_stockouts(self.fct_inventory, self.fct_sales)
+        return facts.fct_stockouts(self.fct_inventory, self.stg_sales)
 
     def write_marts(self, folder: str) -> dict[str, DataFrame]:
         """Full refresh of every mart under ``folder``; later marts read the written earlier ones."""
@@ -116,7 +95,6 @@ class Warehouse:
             "fct_purchase_orders",
             facts.fct_purchase_orders(self.stg_purchase_orders, stores, products, self.stg_suppliers, as_of_orders),
         )
-        by_year = not self.versions_small
-        sales = put("fct_sales", facts.fct_sales(self.stg_sales, products, stores, self.as_of, by_year), "sale_date")
-        put("fct_stockouts", facts.fct_stockouts(inventory, sales), "stockout_date")
+        put("fct_sales", facts.fct_sales(self.stg_sales, products, stores, self.as_of), "sale_date")
+        put("fct_stockouts", facts.fct_stockouts(inventory, self.stg_sales), "stockout_date")
         return built

@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 
 from larderline.functions.columns import surrogate_key
 from larderline.operators import price_versions, quality
-from larderline.operators.joins import fits_broadcast
-from larderline.operators.reuse import kept
 from larderline.plans import catalogue, checks, dashboard, demand, forecast, planning, reorder, staging
 from larderline.plans.warehouse import Warehouse
 from larderline.sources import raw as raw_feeds
@@ -43,8 +41,8 @@ class Shop(Warehouse):
 
     @cached_property
     def by_cluster(self) -> DataFrame:
-        """Weekly units by category and cluster, stored: trend, backtest, shares and floors all read it."""
-        return kept(demand.weekly_by_cluster(self.fct_sales))
+        """Weekly units by category and cluster: trend, backtest, shares and floors all read it."""
+        return demand.weekly_by_cluster(self.fct_sales)
 
     @cached_property
     def series(self) -> DataFrame:
@@ -67,19 +65,13 @@ class Shop(Warehouse):
     def cluster_forecast(self) -> DataFrame:
         return forecast.topdown_forecast(self.trend, self.by_cluster)
 
-    @cached_property
-    def summary_small(self) -> bool:
-        """Whether a table by category and cluster is small: measured on products and stores."""
-        categories = self.raw.products.select("category").distinct().count()
-        return fits_broadcast((categories + 1) * (self.raw.stores.count() + 1), 256)
-
     @cached_property
     def recommendations(self) -> DataFrame:
-        return reorder.reorder_by_share(self.latest_inventory, self.trend, self.fct_sales, self.summary_small)
+        return reorder.reorder_by_share(self.latest_inventory, self.trend, self.fct_sales)
 
     @cached_property
     def stored_recommendations(self) -> DataFrame:
-        return reorder.reorder_by_cluster(self.latest_inventory, self.trend, self.summary_small)
+        return reorder.reorder_by_cluster(self.latest_inventory, self.trend)
 
     @cached_property
     def feeds(self) -> dict[str, DataFrame]:
@@ -90,7 +82,7 @@ _shops: weakref.WeakKeyDictionary[SparkSession, dict[str, Shop]] = weakref.WeakK
 
 
 def shop(spark: SparkSession, folder: str) -> Shop:
-    """One warehouse per session and folder: its file listing and measured sizes belong together."""
+    """One warehouse per session and folder: its file listing belongs together."""
     known = _shops.setdefault(spark, {})
     if folder not in known:
         known[folder] = Shop(derive_raw(spark, folder), AS_OF, ORDERS_AS_OF)
@@ -141,7 +133,7 @@ def _priced(s: Shop, versions: DataFrame) -> DataFrame:
     columns = ["product_id", "unit_price", "gross_margin_pct", "valid_from", "valid_to"]
     sales = s.stg_sales.select("sale_key", "product_id", "sale_date", F.col("unit_price").alias("pos_unit_price"))
     chosen = versions.select(*columns).withColumnRenamed("unit_price", "version_price")
-    joined = price_versions.join_at(sales, chosen, "product_id", "sale_date", AS_OF, not s.versions_small)
+    joined = price_versions.join_at(sales, chosen, "product_id", "sale_date", AS_OF, by_year=True)
     return joined.select(
         "sale_key", "product_id", "sale_date", "pos_unit_price", "version_price", "gross_margin_pct", "valid_from"
     )
@@ -152,7 +144,7 @@ def _overlapping(s: Shop) -> DataFrame:
     left_open = s.stg_products.withColumn("valid_to", F.lit(None).cast("date"))
     narrow = left_open.select("product_id", "unit_price", "gross_margin_pct", "valid_from", "valid_to")
     resolved = price_versions.disjoint_versions(narrow, "product_id", AS_OF)
-    return _priced(s, F.broadcast(resolved) if s.versions_small else resolved)
+    return _priced(s, resolved)
 
 
 def _suite(*kinds: str) -> Callable[[Shop], DataFrame]:
@@ -167,8 +159,7 @@ def _log_lines(s: Shop) -> DataFrame:
 
 
 def _profile(s: Shop) -> DataFrame:
-    names = ("stores", "suppliers", "products", "inventory_snapshots", "pos_sales", "purchase_orders")
-    parts = [quality.profile(name, s.feeds[name]) for name in names]
+    parts = [quality.profile(name, feed) for name, feed in s.feeds.items()]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -181,9 +172,9 @@ def _keys(s: Shop) -> DataFrame:
     stock = s.raw.inventory_snapshots.select(
         surrogate_key("store_id", "product_id", "snapshot_date").alias("record_key")
     )
-    return sales.withColumn("feed", F.lit("pos_sales")).unionByName(
-        stock.withColumn("feed", F.lit("inventory_snapshots"))
-    )
+    versions = s.stg_products.select(F.col("product_version_key").alias("record_key"))
+    keyed = sales.withColumn("feed", F.lit("pos_sales")).unionByName(stock.withColumn("feed", F.lit("inventory_snapshots")))
+    return keyed.unionByName(versions.withColumn("feed", F.lit("product_price_history")))
 
 
 def _planning(s: Shop) -> DataFrame:
@@ -223,7 +214,7 @@ _BY_SHOP: dict[str, Callable[[Shop], DataFrame]] = {
     "scd2_hard_deletes": _hard_deletes,
     "dim_stores": lambda s: s.dim_stores,
     "dim_products": lambda s: s.dim_products,
-    "asof_price_join": lambda s: _priced(s, s.versions_lookup),
+    "asof_price_join": lambda s: _priced(s, s.dim_products),
     "asof_price_overlap": _overlapping,
     "fct_sales": lambda s: s.fct_sales,
     "fct_inventory": lambda s: s.fct_inventory,

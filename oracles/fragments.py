@@ -93,8 +93,12 @@ SELECT concat('PRD', {padded('(p_partkey + 1)', 6)}) AS product_id,
        CAST({PRICE} * factor * 0.01 AS DECIMAL(10,2)) AS unit_price,
        CAST({COST} * factor * 0.01 AS DECIMAL(10,2)) AS cost_price,
        CAST(DATE '1995-01-01' + CAST(CASE WHEN k = 0 THEN 0 ELSE 600 * k + (13 * p_partkey) % 500 END AS INTEGER)
-            AS TIMESTAMP) AS effective_from
-FROM (SELECT *, CAST(CASE WHEN k = 0 THEN 100 ELSE 85 + (7 * p_partkey + 13 * k) % 36 END AS INTEGER) AS factor
+            AS TIMESTAMP) AS effective_from,
+       CAST(CASE WHEN k > 0 AND k < changes
+                 THEN DATE '1995-01-01' + CAST(600 * (k + 1) + (13 * p_partkey) % 500 - 1 AS INTEGER) END
+            AS TIMESTAMP) AS effective_to
+FROM (SELECT *, CASE WHEN p_partkey % 10 < 3 THEN 1 + (p_partkey // 10) % 3 ELSE 0 END AS changes,
+             CAST(CASE WHEN k = 0 THEN 100 ELSE 85 + (7 * p_partkey + 13 * k) % 36 END AS INTEGER) AS factor
       FROM part, range(0, 4) AS steps(k)
       WHERE k = 0 OR (p_partkey % 10 < 3 AND k <= 1 + (p_partkey // 10) % 3))""",
 )

@@ -64,9 +64,12 @@ add(
     f"""
 SELECT {key('sale_id', 'store_id', 'product_id', 'sale_date')} AS record_key, 'pos_sales' AS feed FROM pos_sales
 UNION ALL
-SELECT {key('store_id', 'product_id', 'snapshot_date')}, 'inventory_snapshots' FROM inventory_snapshots""",
+SELECT {key('store_id', 'product_id', 'snapshot_date')}, 'inventory_snapshots' FROM inventory_snapshots
+UNION ALL
+SELECT product_version_key, 'product_price_history' FROM stg_products""",
     "pos_sales",
     "inventory_snapshots",
+    "stg_products",
 )
 
 # ---- staging, versions, marts -----------------------------------------------
@@ -275,6 +278,7 @@ add(
                 "product_id product_name category supplier_id unit_of_measure is_active effective_from",
                 "unit_price cost_price",
             ),
+            profile("product_price_history", "product_id effective_from effective_to", "unit_price cost_price"),
             profile(
                 "inventory_snapshots",
                 "store_id product_id snapshot_date",
@@ -543,17 +547,24 @@ SELECT count(*) AS weekly_rows, count(DISTINCT category) AS categories, min(week
     "weekly",
 )
 whole("forecast_eligibility", "eligibility")
-HOLIDAYS = """(VALUES ('New Year''s Day', 1, 1), ('Australia Day', 1, 26), ('Good Friday', 4, 7),
-      ('Easter Monday', 4, 10), ('Anzac Day', 4, 25), ('Queen''s Birthday', 6, 12), ('Christmas Day', 12, 25),
-      ('Boxing Day', 12, 26)) AS holidays(holiday, m, d)"""
+HOLIDAYS = """(VALUES ('New Year''s Day', 1, 1), ('Australia Day', 1, 26), ('Anzac Day', 4, 25),
+      ('Christmas Day', 12, 25), ('Boxing Day', 12, 26)) AS holidays(holiday, m, d)"""
+# Easter Sundays as published; the birthday is the second Monday of June.
+MOVABLE = """
+      SELECT unnest(['Good Friday', 'Easter Monday']) AS holiday, unnest([sunday - 2, sunday + 1]) AS holiday_day
+      FROM (VALUES (DATE '1995-04-16'), (DATE '1996-04-07'), (DATE '1997-03-30'), (DATE '1998-04-12'),
+                   (DATE '1999-04-04'), (DATE '2000-04-23'), (DATE '2001-04-15'), (DATE '2002-03-31')) AS easter(sunday)
+      UNION ALL
+      SELECT 'Queen''s Birthday', d FROM (SELECT make_date(CAST(y AS INTEGER), 6, CAST(n AS INTEGER)) AS d
+        FROM range(1995, 2003) AS years(y), range(8, 15) AS days(n)) WHERE isodow(d) = 1"""
 add(
     "holiday_features",
     f"""
 SELECT w.week_start, c.holiday, c.day_offset
 FROM (SELECT DISTINCT week_start FROM weekly) w
-JOIN (SELECT holiday, CAST(k AS INTEGER) AS day_offset,
-             make_date(CAST(y AS INTEGER), m, d) + CAST(k AS INTEGER) AS holiday_day
-      FROM {HOLIDAYS}, range(0, 2) AS offsets(k), range(1995, 2003) AS years(y)) c
+JOIN (SELECT holiday, CAST(k AS INTEGER) AS day_offset, holiday_day + CAST(k AS INTEGER) AS holiday_day
+      FROM (SELECT holiday, make_date(CAST(y AS INTEGER), m, d) AS holiday_day
+            FROM {HOLIDAYS}, range(1995, 2003) AS years(y) UNION ALL {MOVABLE}), range(0, 2) AS offsets(k)) c
   ON w.week_start = c.holiday_day""",
     "weekly",
 )
@@ -687,14 +698,15 @@ add(
 
 
 def share_of(cluster: str) -> str:
-    here = f"store_cluster = '{cluster}'"
+    listed = ", ".join(f"'{c}'" for c in CLUSTERS)
+    here = f"store_cluster = '{cluster}'" if cluster != "other" else f"coalesce(store_cluster NOT IN ({listed}), true)"
     out = f"100 * count(*) FILTER (WHERE {here} AND stock_status = 'stockout')"
     return f"coalesce({units(ratio(out, f'count(*) FILTER (WHERE {here})', 1), 1)}, 0) AS {cluster}"
 
 
 add(
     "stockout_heatmap",
-    f"SELECT category, {', '.join(share_of(c) for c in CLUSTERS)} FROM latest GROUP BY category",
+    f"SELECT category, {', '.join(share_of(c) for c in [*CLUSTERS, 'other'])} FROM latest GROUP BY category",
     "latest",
 )
 ACTIONABLE = "stock_status IN ('stockout', 'critical', 'low')"
