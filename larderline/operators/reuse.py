@@ -21,6 +21,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by :func:`ensure_checkpoint_dir`, as text."""
+    ensure_checkpoint_dir(spark)
+    return spark.sparkContext.getCheckpointDir()
+
+
 def kept(df: DataFrame) -> DataFrame:
     """Compute once and store reliably: later steps read the stored rows, also after an executor is lost."""
     ensure_checkpoint_dir(df.sparkSession)

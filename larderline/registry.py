@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 import weakref
 from collections.abc import Callable
 from datetime import date
@@ -12,10 +13,13 @@ from pyspark.sql import functions as F
 
 from larderline.functions.columns import surrogate_key
 from larderline.operators import price_versions, quality
+from larderline.operators.reuse import shared_folder
 from larderline.plans import catalogue, checks, dashboard, demand, forecast, planning, reorder, staging
 from larderline.plans.warehouse import Warehouse
 from larderline.sources import raw as raw_feeds
+from larderline.sources import sinks
 from larderline.sources.from_orders import derive_raw
+from larderline.sources.schemas import RAW_SCHEMAS
 
 AS_OF = date(2001, 12, 1)
 # Order lateness is judged earlier: by AS_OF every open order would be late.
@@ -278,6 +282,56 @@ _BY_SHOP: dict[str, Callable[[Shop], DataFrame]] = {
 }
 
 
+CREATED_AT = "2001-12-01T06:00:00"
+
+
+def _new_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/sink-{uuid.uuid4().hex}"
+
+
+def _loaded(spark: SparkSession, folder: str) -> Shop:
+    """A warehouse over the feeds written as files and loaded with their declared types."""
+    target = _new_folder(spark)
+    for name, feed in shop(spark, folder).feeds.items():
+        declared = spark.createDataFrame([], RAW_SCHEMAS[name])
+        typed = feed.select(*[F.col(f.name).cast(f.dataType) for f in declared.schema if f.name in feed.columns])
+        typed.write.parquet(f"{target}/{name}.parquet")
+    return Shop(raw_feeds.load_raw(spark, target), AS_OF, ORDERS_AS_OF)
+
+
+def _loaded_sales(spark: SparkSession, folder: str) -> DataFrame:
+    """Staged sales over loaded files: money arrives as DOUBLE."""
+    return _loaded(spark, folder).stg_sales.select(
+        "sale_key", "sale_id", "sale_year", "sale_month", "sale_dow", "is_weekend", "quantity", "has_price_discrepancy"
+    )
+
+
+def _written_marts(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of every mart, counted on the written tables."""
+    return raw_feeds.row_counts(shop(spark, folder).write_marts(_new_folder(spark)))
+
+
+def _stamped(build: Callable[[Shop], DataFrame]) -> Query:
+    return lambda spark, folder: sinks.write_stamped(build(shop(spark, folder)), _new_folder(spark), CREATED_AT)
+
+
+def _check_log(spark: SparkSession, folder: str) -> DataFrame:
+    log = sinks.write_check_log(_suite()(shop(spark, folder)), _new_folder(spark), CREATED_AT)
+    return log.select("expectation", "table_name", "column_name", "passed", "run_at", "passed_total", "failed_total")
+
+
+#: Queries that write tables under the shared folder and return what is read back from there.
+WRITING: dict[str, Query] = {
+    "load_raw_counts": lambda spark, folder: raw_feeds.row_counts(_loaded(spark, folder).feeds),
+    "load_raw_sales": _loaded_sales,
+    "write_marts": _written_marts,
+    "write_forecasts": _stamped(lambda s: _six_places(s.trend)),
+    "write_metadata": _stamped(lambda s: forecast.model_performance(s.trend_metadata)),
+    "write_recommendations": _stamped(lambda s: s.recommendations),
+    "write_check_log": _check_log,
+}
+
+
 def _bind(build: Callable[[Shop], DataFrame]) -> Query:
     return lambda spark, folder: build(shop(spark, folder))
 
@@ -285,4 +339,5 @@ def _bind(build: Callable[[Shop], DataFrame]) -> Query:
 QUERIES: dict[str, Query] = {
     "asset_discovery": raw_feeds.discover_assets,
     **{name: _bind(build) for name, build in _BY_SHOP.items()},
+    **WRITING,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -25,6 +25,26 @@ def write_mart(df: DataFrame, path: str, partition_by: str | None = None) -> Dat
     return df.sparkSession.read.parquet(path)
 
 
-def write_check_log(results: DataFrame, path: str, run_at: str) -> None:
-    """One JSON line per check result, under a run-stamped folder."""
-    results.withColumn("run_at", F.lit(run_at)).write.mode("overwrite").json(path)
+def write_stamped(df: DataFrame, path: str, created_at: str) -> DataFrame:
+    """Full refresh of a result table (forecasts, metadata, recommendations) with the time of its making; read back."""
+    stamped = df.withColumn("created_at", F.lit(created_at).cast("timestamp_ntz"))
+    stamped.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def write_check_log(results: DataFrame, path: str, run_at: str) -> DataFrame:
+    """One JSON line per check result, under a run-stamped folder, each with the run's passed and failed totals.
+
+    Returns the log as read back.
+    """
+    all_checks = Window.partitionBy()  # one row per declared check
+    logged = results.withColumns(
+        {
+            "run_at": F.lit(run_at),
+            "passed_total": F.count_if("passed").over(all_checks),
+            "failed_total": F.count_if(~F.col("passed")).over(all_checks),
+        }
+    )
+    logged.write.mode("overwrite").json(path)
+    schema = f"{results._jdf.schema().toDDL()}, run_at string, passed_total bigint, failed_total bigint"
+    return results.sparkSession.read.schema(schema).json(path)

@@ -781,3 +781,28 @@ SELECT store_id, count(*) AS critical_products FROM latest WHERE stock_status IN
 GROUP BY store_id ORDER BY critical_products DESC, store_id LIMIT 20""",
     "latest",
 )
+
+# ---- written tables, read back ------------------------------------------------
+STAMP = "TIMESTAMP '2001-12-01 06:00:00' AS created_at"
+QUERIES["load_raw_counts"] = QUERIES["raw_row_counts"]
+add(
+    "load_raw_sales",
+    """
+SELECT sale_key, sale_id, sale_year, sale_month, sale_dow, is_weekend, quantity, has_price_discrepancy FROM stg_sales""",
+    "stg_sales",
+)
+MARTS = ["dim_stores", "dim_products", "fct_inventory", "fct_purchase_orders", "fct_sales", "fct_stockouts"]
+add("write_marts", "\nUNION ALL ".join(f"SELECT '{m}' AS table_name, count(*) AS row_count FROM {m}" for m in MARTS), *MARTS)
+for name, source in (
+    ("write_forecasts", "forecast_trend"),
+    ("write_metadata", "model_performance"),
+    ("write_recommendations", "reorder_topdown"),
+):
+    QUERIES[name] = f"SELECT *, {STAMP} FROM (\n{QUERIES[source]}\n) AS made"
+QUERIES["write_check_log"] = f"""
+SELECT expectation, table_name, column_name, passed, '2001-12-01T06:00:00' AS run_at,
+       count(*) FILTER (WHERE passed) OVER () AS passed_total,
+       count(*) FILTER (WHERE NOT passed) OVER () AS failed_total
+FROM (
+{QUERIES["dq_suite_raw"]}
+) AS results"""

@@ -84,7 +84,7 @@ def test_building_queries_runs_no_job(spark):
     tracker = spark.sparkContext.statusTracker()
     registry.QUERIES["stg_stores"](spark, SMALL)
     for name, build in registry.QUERIES.items():
-        if name == "asset_discovery":
+        if name == "asset_discovery" or name in registry.WRITING:  # these write when they are called
             continue
         spark.sparkContext.setJobGroup(f"build {name}", name)
         build(spark, SMALL)
