@@ -21,16 +21,16 @@ and fare alike. An empty table gives an empty result. Extra columns are left out
 from __future__ import annotations
 
 import numpy as np
-import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larderline.llm.common import arrow_map, column_of, ship_code, stored, table
 from larderline.llm.op7_minhash import BLOCK, in_groups
-from larderline.llm.shingles import WIDTH, rolled, shingles, word_hashes
+from larderline.llm.shingles import WIDTH, distinct, hashed_words, of_few, rolled, sequence_hashes
 
 HEADS = 8
-#: Bits of a line's number within a batch, and of a token's place in the order.
+#: Bits of a line's number within a part (beyond it, pairs are sorted as pairs), and of a token's place in the order.
 LINE_BITS, ORDER_BITS = 20, 44
 COLD_BITS = ORDER_BITS - 1
 
@@ -39,42 +39,49 @@ def similar(common: np.ndarray | int, one: np.ndarray | int, other: np.ndarray |
     return 100 * common >= 75 * (one + other - common)
 
 
-def named(words: np.ndarray) -> int:
-    """Name of a line: hash of its sequence of words."""
-    return xxhash.xxh3_64_intdigest(words.tobytes()) - 2**63
+#: Bytes of text whose lines are worked on at once.
+PART_BYTES = 4 << 20
 
 
 class Lines:
-    """The lines of some texts: document (index), place, number of words, name, and the tokens of all lines in a row."""
+    """The lines of some texts: document (index), place, words, name (hash of the words), and the tokens of all lines."""
 
     def __init__(self, texts: list[bytes | None]) -> None:
-        self.document, self.place, self.name, lengths, parts, short = [], [], [], [], [], []
-        for d, text in enumerate(texts):
-            for p, line in enumerate(text.split(b"\n") if text else ()):
-                words = word_hashes(line)
-                self.document.append(d)
-                self.place.append(p)
-                self.name.append(named(words) if len(words) else None)
-                lengths.append(len(words))
-                parts.append(words)
-                if 0 < len(words) < WIDTH:
-                    short.append(len(parts) - 1)
-        self.words = np.array(lengths, np.int64)
-        flat = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-        owner = np.repeat(np.arange(len(parts)), self.words)
-        n = len(flat) - WIDTH + 1
-        if n > 0:
-            inside = owner[:n] == owner[WIDTH - 1 :]
-            tokens, owner = rolled(flat)[inside], owner[:n][inside]
-        else:
-            tokens, owner = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        whole = np.array([int(shingles_of_few(parts[i])) for i in short], np.uint64)
-        self.tokens = np.concatenate([tokens, whole])
-        self.owner = np.concatenate([owner, np.array(short, np.int64)])
-
-
-def shingles_of_few(words: np.ndarray) -> int:
-    return xxhash.xxh3_64_intdigest(words.tobytes(), seed=len(words))
+        full = [(d, t) for d, t in enumerate(texts) if t]
+        raw = b"\n".join(t for _, t in full)
+        breaks = np.nonzero(np.frombuffer(raw, np.uint8) == 10)[0]
+        line_starts = np.concatenate([[0], breaks + 1]) if full else np.zeros(0, np.int64)
+        text_starts = np.cumsum([0, *(len(t) + 1 for _, t in full)])[:-1]
+        which = np.searchsorted(text_starts, line_starts, "right") - 1
+        self.document = np.array([d for d, _ in full], np.int64)[which]
+        first = np.searchsorted(line_starts, text_starts, "left")
+        self.place = np.arange(len(line_starts)) - first[which]
+        words, at = hashed_words(raw)
+        owner = np.searchsorted(line_starts, at, "right") - 1
+        self.words = np.bincount(owner, minlength=len(line_starts))
+        some = np.nonzero(self.words)[0]
+        starts = np.concatenate([[0], np.cumsum(self.words[some])[:-1]]).astype(np.int64)
+        self.name = np.zeros(len(line_starts), np.uint64)
+        self.name[some] = sequence_hashes(words, starts[: len(some)], self.words[some])
+        n = max(0, len(words) - WIDTH + 1)
+        inside = owner[:n] == owner[len(owner) - n :]
+        few = np.nonzero((self.words > 0) & (self.words < WIDTH))[0]
+        self.tokens = np.concatenate([rolled(words)[inside] if n else words[:0], of_few(self.name[few])])
+        self.owner = np.concatenate([owner[:n][inside], few])
+
+
+def parts(texts: list[bytes | None]):
+    """Index of the first text and texts of consecutive parts, each of at most PART_BYTES if it has several texts."""
+    first, part, size = 0, [], 0
+    for i, text in enumerate(texts):
+        n = len(text or b"") + 1
+        if part and size + n > PART_BYTES:
+            yield first, part
+            first, part, size = i, [], 0
+        part.append(text)
+        size += n
+    if part:
+        yield first, part
 
 
 def line_rows(documents: DataFrame) -> DataFrame:
@@ -82,17 +89,21 @@ def line_rows(documents: DataFrame) -> DataFrame:
     place -1 with the token as name and its count as words."""
 
     def read(batch):
-        lines = Lines(column_of(batch, "text").to_pylist())
-        cells = (lines.tokens & np.uint64(2**22 - 1)).astype(np.int64)
-        again = np.bincount(cells, minlength=2**22)[cells] > 1 if len(cells) else np.zeros(0, bool)
-        token, n = np.unique(lines.tokens[again], return_counts=True)
-        token, n = token[n > 1], n[n > 1]
-        ids = column_of(batch, "doc_id").to_pylist()
+        found = [(first, Lines(part)) for first, part in parts(column_of(batch, "text").to_pylist())]
+        tokens = np.concatenate([lines.tokens for _, lines in found])
+        cells = (tokens & np.uint64(2**22 - 1)).astype(np.int64)
+        again = tokens[np.bincount(cells, minlength=2**22)[cells] > 2]
+        token, n = np.unique(again, return_counts=True)
+        token, n = token[n > 2], n[n > 2]
+        gather = lambda get: np.concatenate([get(first, lines) for first, lines in found])
+        ids = column_of(batch, "doc_id").take(pa.array(gather(lambda first, lines: lines.document + first)))
+        words = gather(lambda _, lines: lines.words)
+        names = pa.array(gather(lambda _, lines: lines.name).view(np.int64), mask=words == 0)
         return {
-            "doc_id": [ids[d] for d in lines.document] + [None] * len(token),
-            "place": lines.place + [-1] * len(token),
-            "name": lines.name + token.view(np.int64).tolist(),
-            "words": lines.words.tolist() + n.tolist(),
+            "doc_id": pa.concat_arrays([ids, pa.nulls(len(token), ids.type)]),
+            "place": np.concatenate([gather(lambda _, lines: lines.place), np.full(len(token), -1)]).astype(np.int32),
+            "name": pa.concat_arrays([names, pa.array(token.view(np.int64))]),
+            "words": np.concatenate([words, n]),
         }
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
@@ -136,17 +147,14 @@ def prefixes(documents: DataFrame, order: tuple[np.ndarray, np.ndarray], buckets
             made.append(Order(*shared.value))
         out = {"bucket": [], "token": [], "name": [], "size": [], "position": []}
         texts = column_of(batch, "text").to_pylist()
-        # A batch of texts with more lines than LINE_BITS can number is taken in parts.
-        for part in parts_by_lines(texts, 2**LINE_BITS - 1):
+        for _, part in parts(texts):
             lines = Lines(part)
-            names = np.array([n or 0 for n in lines.name], np.int64)
-            # The first of the lines that say the same is enough for this batch.
+            names = lines.name.view(np.int64)
+            # The first of the lines that say the same is enough for this part.
             first = np.zeros(len(names), bool)
             first[np.unique(names, return_index=True)[1]] = True
             use = first[lines.owner] if len(names) else np.zeros(0, bool)
-            keys = np.unique(lines.owner[use].astype(np.uint64) << np.uint64(ORDER_BITS) | made[0](lines.tokens[use]))
-            owner = (keys >> np.uint64(ORDER_BITS)).astype(np.int64)
-            token = keys & np.uint64(2**ORDER_BITS - 1)
+            owner, token = in_order(lines.owner[use], made[0](lines.tokens[use]), len(names))
             size = np.bincount(owner, minlength=len(names))
             start = np.concatenate([[0], np.cumsum(size)[:-1]]) if len(size) else size
             position = np.arange(len(owner)) - start[owner]
@@ -154,7 +162,7 @@ def prefixes(documents: DataFrame, order: tuple[np.ndarray, np.ndarray], buckets
             keep = position < n - -(-3 * n // 4) + 1
             owner, token, position, n = owner[keep], token[keep], position[keep], n[keep]
             bucket = (token * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % buckets
-            by = np.argsort(bucket, kind="stable")
+            by = np.argsort(bucket.astype(np.uint16) if buckets <= 2**16 else bucket, kind="stable")
             owner, token, position, n, bucket = owner[by], token[by], position[by], n[by], bucket[by]
             cuts = np.nonzero(np.diff(bucket))[0] + 1
             for a, b in zip([0, *cuts], [*cuts, len(bucket)]):
@@ -170,17 +178,21 @@ def prefixes(documents: DataFrame, order: tuple[np.ndarray, np.ndarray], buckets
     return arrow_map(documents.select(F.col("text").cast("binary").alias("text")), schema, pack)
 
 
-def parts_by_lines(texts: list[bytes | None], most: int):
-    part, lines = [], 0
-    for text in texts:
-        n = text.count(b"\n") + 1 if text else 0
-        if part and lines + n > most:
-            yield part
-            part, lines = [], 0
-        part.append(text)
-        lines += n
-    if part:
-        yield part
+def in_order(owner: np.ndarray, token: np.ndarray, lines: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct tokens of each line, rarest first, lines one after the other."""
+    if lines < 2**LINE_BITS:
+        keys = distinct(owner.astype(np.uint64) << np.uint64(ORDER_BITS) | token)
+        return (keys >> np.uint64(ORDER_BITS)).astype(np.int64), keys & np.uint64(2**ORDER_BITS - 1)
+    return distinct_pairs(owner, token)
+
+
+def distinct_pairs(one: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs of two columns, ascending."""
+    by = np.lexsort((other, one))
+    one, other = one[by], other[by]
+    new = np.ones(len(one), bool)
+    new[1:] = (one[1:] != one[:-1]) | (other[1:] != other[:-1])
+    return one[new], other[new]
 
 
 def passing(n1: np.ndarray, p1: np.ndarray, n2: np.ndarray, p2: np.ndarray) -> np.ndarray:
@@ -214,13 +226,13 @@ def met(packed: DataFrame) -> DataFrame:
             ok = passing(size[i], position[i], size[j], position[j])
             ones.append(name[j[ok]])
             others.append(name[i[ok]])
-        pairs = np.unique(np.stack([np.concatenate(ones), np.concatenate(others)], axis=1), axis=0) if ones else np.zeros((0, 2), np.int64)
+        a, b = distinct_pairs(np.concatenate(ones), np.concatenate(others))
         large = count > HEADS + 1
         return pd.DataFrame(
             {
-                "token": pd.array([None] * len(pairs) + token[large].astype(np.int64).tolist(), "Int64"),
-                "a": np.concatenate([pairs[:, 0], name[large]]),
-                "b": pd.array(pairs[:, 1].tolist() + [None] * int(large.sum()), "Int64"),
+                "token": pd.array([None] * len(a) + token[large].astype(np.int64).tolist(), "Int64"),
+                "a": np.concatenate([a, name[large]]),
+                "b": pd.array(b.tolist() + [None] * int(large.sum()), "Int64"),
             }
         )
 
@@ -236,23 +248,19 @@ def sets_of(wanted: DataFrame, firsts: DataFrame, documents: DataFrame) -> DataF
     def read(batch):
         out = {"name": [], "tokens": []}
         for text, names in zip(column_of(batch, "text").to_pylist(), column_of(batch, "names").to_pylist()):
-            left = set(names)
-            for line in text.split(b"\n") if text else ():
-                words = word_hashes(line)
-                if len(words) and (name := named(words)) in left:
-                    left.discard(name)
-                    out["name"].append(name)
-                    out["tokens"].append(shingles(line).tobytes())
+            lines = Lines([text])
+            by_line = np.argsort(lines.owner, kind="stable")
+            owner, tokens = lines.owner[by_line], lines.tokens[by_line]
+            name, first = np.unique(lines.name.view(np.int64), return_index=True)
+            for i in first[np.isin(name, np.array(names, np.int64))]:
+                if lines.words[i]:
+                    out["name"].append(int(lines.name[i].view(np.int64)))
+                    out["tokens"].append(distinct(tokens[np.searchsorted(owner, i, "left") : np.searchsorted(owner, i, "right")]).tobytes())
         return out
 
     return arrow_map(chosen, "name long, tokens binary", read).dropDuplicates(["name"])
 
 
-def later(first: Column, other: Column) -> Column:
-    """Whether a place (none: a null id flag, doc_id, place) lies after another."""
-    return first > other
-
-
 def earlier_matches(block: dict, key: np.ndarray) -> list[tuple[int]]:
     """Names of the asking lines of a block that match an earlier one in it."""
     asks = block["asks"].astype(bool)
@@ -364,7 +372,8 @@ def cleaned(documents: DataFrame, entries: int = 2**18) -> DataFrame:
             if gone and text:
                 away = {(g["place"], g["name"]) for g in gone}
                 lines = text.split("\n")
-                kept = [x for p, x in enumerate(lines) if (p, named(word_hashes(x.encode()))) not in away]
+                names = Lines([text.encode()]).name.view(np.int64).tolist()
+                kept = [x for p, x in enumerate(lines) if (p, names[p]) not in away]
                 text = "\n".join(kept)
                 if not text.strip():
                     text = None if len(kept) < len(lines) else text
