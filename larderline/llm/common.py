@@ -20,7 +20,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one on a local master only."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
     if not spark.sparkContext.master.startswith("local"):
@@ -92,7 +92,7 @@ def column_of(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
 
-def numbered(df: DataFrame, group: list[str], spread: list[str], order: list[str], name: str, per_part: int = 50_000) -> DataFrame:
+def numbered(df: DataFrame, group: list[str], spread: list[str], order: list[str], name: str, per_part: int = 10_000) -> DataFrame:
     """Number the rows of each group from 0 without gaps, in parts so that a hot group is never sorted in one task.
 
     ``spread`` columns deal a group's rows to parts by hash; ``order`` fixes the place within a part. The parts grow

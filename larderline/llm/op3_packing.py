@@ -14,9 +14,9 @@ extra columns are left out.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from bisect import bisect_right
+from collections.abc import Iterable
 from struct import pack
 
 import public_tokenizers
@@ -28,7 +28,7 @@ from larderline.llm.common import arrow_map, numbered, stored, table, texts_of
 from larderline.llm.pretokens import Cache
 
 #: Characters that Python's str.split takes for white space and the tokenizer libraries do not.
-PYTHON_ONLY_SPACE = re.compile("[\x1c-\x1f]")
+PYTHON_ONLY_SPACE = "\x1c\x1d\x1e\x1f"
 
 
 class Ids(Cache):
@@ -38,7 +38,7 @@ class Ids(Cache):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        super().__init__(self.whole, entries=400_000)
+        super().__init__(self.whole, entries=700_000)
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
@@ -48,28 +48,36 @@ class Ids(Cache):
         ids = self.library.encode(text, add_special_tokens=False).ids
         return pack(f"<{len(ids)}I", *ids)
 
-    def learn(self, words: list[str]) -> None:
-        new = self.unknown(words)
-        # Letters with closing punctuation are two pre-tokens; keeping them apart saves most of the library's work.
-        cut = {w: w.rstrip(".,!?;:") for w in new}
-        cut = {w: core for w, core in cut.items() if core != w and core.lower().isalpha()}
-        plain = self.unknown([w for w in new if w not in cut] + list(cut.values()) + [w[len(c) :] for w, c in cut.items()])
-        known = {}
+    def learn(self, words: Iterable[str]) -> None:
+        new = [w for w in self.unknown(words) if len(w) <= self.longest]
+        # Letters with closing punctuation are two pre-tokens, and the vocabulary is lower-case: this saves the library
+        # many words. (A capital sigma has two small ones; letters that turn into letters with marks are no letters.)
+        cut = {}
+        for word in new:
+            core = word.rstrip(".,!?;:")
+            low = core.lower()
+            if low != word and low.isalpha() and "\u03a3" not in core:
+                cut[word] = low, word[len(core) :]
+        plain = self.unknown([w for w in new if w not in cut] + [part for both in cut.values() for part in both if part])
+        known = {"": b""}
         for at in range(0, len(plain), 1024):
-            part = plain[at : at + 1024]
-            for word, made in zip(part, self.library.encode_batch(part, add_special_tokens=False)):
+            some = plain[at : at + 1024]
+            for word, made in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False)):
                 known[word] = pack(f"<{len(made.ids)}I", *made.ids)
-        for word, ids in known.items():
-            self.keep(word, ids)
-        for word, core in cut.items():
-            tail = word[len(core) :]
-            self.keep(word, (known.get(core) or self[core]) + (known.get(tail) or self[tail]))
+        for word in plain:
+            self.keep(word, known[word])
+        for word, (low, tail) in cut.items():
+            both = [known[p] if p in known else self[p] for p in (low, tail)]
+            self.keep(word, both[0] + both[1])
 
     def encode(self, text: str) -> bytes:
         """Ids of a text. White space ends every word of this vocabulary, except around special strings."""
-        if PYTHON_ONLY_SPACE.search(text) or any(s in text for s in self.special):
+        return self.encode_words(text, text.split())
+
+    def encode_words(self, text: str, words: list[str]) -> bytes:
+        if any(c in text for c in PYTHON_ONLY_SPACE) or any(s in text for s in self.special):
             return self.whole(text)
-        return b"".join(map(self.__getitem__, text.split()))
+        return b"".join(map(self.__getitem__, words))
 
 
 _IDS: dict[str, Ids] = {}
@@ -90,20 +98,24 @@ def pieces(documents: DataFrame, tokenizer_path: str, capacity: int, separator:
         cache = worker_ids(tokenizer_path)
 
         def cut(batch):
-            texts = texts_of(batch)
-            cache.learn([w for t in texts for w in t.split() if len(w) <= cache.longest])
+            texts, doc_ids = texts_of(batch), batch.column(0).to_pylist()
             out = {"doc_id": [], "piece": [], "start": [], "length": [], "ids_crc32": []} | ({"ids": []} if with_ids else {})
-            for doc_id, text in zip(batch.column(0).to_pylist(), texts):
-                ids = cache.encode(text) + end
-                for at in range(0, len(ids), step):
-                    part = ids[at : at + step]
-                    out["doc_id"].append(doc_id)
-                    out["piece"].append(at // step)
-                    out["start"].append(at // 4)
-                    out["length"].append(len(part) // 4)
-                    out["ids_crc32"].append(zlib.crc32(part))
-                    if with_ids:
-                        out["ids"].append(part)
+            # Few texts at a time, so that what the cache has just learned is still there when it is used.
+            for first in range(0, len(texts), 128):
+                some = texts[first : first + 128]
+                split = [t.split() for t in some]
+                cache.learn(set().union(*split))
+                for doc_id, text, words in zip(doc_ids[first : first + 128], some, split):
+                    ids = cache.encode_words(text, words) + end
+                    for at in range(0, len(ids), step):
+                        part = ids[at : at + step]
+                        out["doc_id"].append(doc_id)
+                        out["piece"].append(at // step)
+                        out["start"].append(at // 4)
+                        out["length"].append(len(part) // 4)
+                        out["ids_crc32"].append(zlib.crc32(part))
+                        if with_ids:
+                            out["ids"].append(part)
             return out
 
         return cut
