@@ -39,6 +39,15 @@ def stored(df: DataFrame) -> DataFrame:
 
 
 _SHIPPED: set[str] = set()
+_WORKER_CACHES: dict[object, object] = {}
+
+
+def worker_cache(key: object, make: Callable[[], object]) -> object:
+    """The cache of a Python worker, kept over tasks; a worker holds one at a time."""
+    if key not in _WORKER_CACHES:
+        _WORKER_CACHES.clear()
+        _WORKER_CACHES[key] = make()
+    return _WORKER_CACHES[key]
 
 
 def ship_code(spark: SparkSession) -> None:
@@ -70,6 +79,8 @@ def arrow_map(df: DataFrame, schema: str, rows: Callable[[pa.RecordBatch], dict[
     target = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not start:
+            _WORKER_CACHES.clear()  # of an operator that this worker served before
         make = start() if start else rows
         for batch in batches:
             if not batch.num_rows:

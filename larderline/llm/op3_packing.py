@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larderline.llm.common import arrow_map, numbered, stored, table, texts_of
+from larderline.llm.common import arrow_map, numbered, stored, table, texts_of, worker_cache
 from larderline.llm.pretokens import Cache
 
 #: Characters that Python's str.split takes for white space and the tokenizer libraries do not.
@@ -80,13 +80,8 @@ class Ids(Cache):
         return b"".join(map(self.__getitem__, words))
 
 
-_IDS: dict[str, Ids] = {}
-
-
 def worker_ids(path: str) -> Ids:
-    if path not in _IDS:
-        _IDS[path] = Ids(path)
-    return _IDS[path]
+    return worker_cache(("ids", path), lambda: Ids(path))
 
 
 def pieces(documents: DataFrame, tokenizer_path: str, capacity: int, separator: int, with_ids: bool = False) -> DataFrame:

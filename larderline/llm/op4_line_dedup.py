@@ -91,8 +91,8 @@ def line_rows(documents: DataFrame) -> DataFrame:
     def read(batch):
         found = [(first, Lines(part)) for first, part in parts(column_of(batch, "text").to_pylist())]
         tokens = np.concatenate([lines.tokens for _, lines in found])
-        cells = (tokens & np.uint64(2**22 - 1)).astype(np.int64)
-        again = tokens[np.bincount(cells, minlength=2**22)[cells] > 2]
+        cells = (tokens & np.uint64(2**21 - 1)).astype(np.int64)
+        again = tokens[np.bincount(cells, minlength=2**21)[cells] > 2]
         token, n = np.unique(again, return_counts=True)
         token, n = token[n > 2], n[n > 2]
         gather = lambda get: np.concatenate([get(first, lines) for first, lines in found])
@@ -145,7 +145,7 @@ def prefixes(documents: DataFrame, order: tuple[np.ndarray, np.ndarray], buckets
     def pack(batch):
         if not made:
             made.append(Order(*shared.value))
-        out = {"bucket": [], "token": [], "name": [], "size": [], "position": []}
+        out = {"bucket": [], "low": [], "high": [], "name": [], "size": [], "position": []}
         texts = column_of(batch, "text").to_pylist()
         for _, part in parts(texts):
             lines = Lines(part)
@@ -168,13 +168,16 @@ def prefixes(documents: DataFrame, order: tuple[np.ndarray, np.ndarray], buckets
             for a, b in zip([0, *cuts], [*cuts, len(bucket)]):
                 if a < b:
                     out["bucket"].append(int(bucket[a]))
-                    out["token"].append(token[a:b].tobytes())
+                    # Most lines are short: two bytes hold their sizes and positions.
+                    kind = np.uint16 if n[a:b].max() < 2**16 else np.uint32
+                    out["low"].append(token[a:b].astype(np.uint32).tobytes())
+                    out["high"].append((token[a:b] >> np.uint64(32)).astype(np.uint16).tobytes())
                     out["name"].append(names[owner[a:b]].tobytes())
-                    out["size"].append(n[a:b].astype(np.uint32).tobytes())
-                    out["position"].append(position[a:b].astype(np.uint32).tobytes())
+                    out["size"].append(n[a:b].astype(kind).tobytes())
+                    out["position"].append(position[a:b].astype(kind).tobytes())
         return out
 
-    schema = "bucket int, token binary, name binary, size binary, position binary"
+    schema = "bucket int, low binary, high binary, name binary, size binary, position binary"
     return arrow_map(documents.select(F.col("text").cast("binary").alias("text")), schema, pack)
 
 
@@ -209,8 +212,10 @@ def met(packed: DataFrame) -> DataFrame:
         import pandas as pd
 
         get = lambda n, kind: np.frombuffer(b"".join(table[n]), kind)
-        token, name = get("token", np.uint64), get("name", np.int64)
-        size, position = get("size", np.uint32).astype(np.int64), get("position", np.uint32).astype(np.int64)
+        token = get("low", np.uint32) | get("high", np.uint16).astype(np.uint64) << np.uint64(32)
+        name = get("name", np.int64)
+        kinds = [np.uint16 if len(s) * 4 == len(x) else np.uint32 for s, x in zip(table["size"], table["name"])]
+        size, position = (np.concatenate([np.frombuffer(x, k) for x, k in zip(table[c], kinds)]).astype(np.int64) for c in ("size", "position"))
         by = np.lexsort((name, token))
         token, name, size, position = token[by], name[by], size[by], position[by]
         new = np.ones(len(token), bool)
