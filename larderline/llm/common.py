@@ -38,6 +38,11 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_caches() -> None:
+    """Drop what an operator that this worker served before has left. (Called by name: the worker's module holds it.)"""
+    _WORKER_CACHES.clear()
+
+
 _SHIPPED: set[str] = set()
 _WORKER_CACHES: dict[object, object] = {}
 
@@ -80,7 +85,7 @@ def arrow_map(df: DataFrame, schema: str, rows: Callable[[pa.RecordBatch], dict[
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not start:
-            _WORKER_CACHES.clear()  # of an operator that this worker served before
+            release_caches()
         make = start() if start else rows
         for batch in batches:
             if not batch.num_rows:
