@@ -6,8 +6,6 @@ import numpy as np
 
 WIDTH = 5
 GOLDEN = 0x9E3779B97F4A7C15
-#: Odd multipliers of the places in a shingle.
-PLACES = [np.uint64(GOLDEN * (2 * i + 1) % 2**64) for i in range(WIDTH)]
 #: The ASCII white space that parts words.
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -21,6 +19,11 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(29))
 
 
+#: Odd multipliers of the places in a shingle. They are scrambled: with multiples of one number, shingles such as
+#: "a b b a x" and "b a a b x" would have the same hash.
+PLACES = mixed(np.arange(1, WIDTH + 1, dtype=np.uint64) * np.uint64(GOLDEN)) | np.uint64(1)
+
+
 def distinct(values: np.ndarray) -> np.ndarray:
     """The distinct values, ascending."""
     values = np.sort(values)

@@ -141,3 +141,12 @@ def test_cleaned_documents_keep_their_columns(spark):
     assert got[4] is None and got[5] == "" and got[6] == " \n\t " and got[9] == cases.LONG
     assert 2 not in got and 3 not in got  # copies of document 1 have no line left
     assert cleaned(cases.empty(spark)).collect() == []
+
+
+def test_shingles_of_the_same_words_in_another_order_differ():
+    from itertools import product
+
+    from larderline.llm.shingles import shingles
+
+    texts = [" ".join(w) for w in product("abc", repeat=5)]
+    assert len({int(shingles(t.encode())[0]) for t in texts}) == len(texts)
