@@ -107,7 +107,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 #: What a text must hold for a looser span of the kind to exist, so that most texts skip the looser patterns.
 HINTS = {
-    "email": re.compile(r"[(\[{]\x20?at\x20?[)\]}]|\x20@|@\x20|\x20dot\x20"),
+    # The middle of LOOSE["email"]: any of its forms of at, a label, and the beginning of any of its forms of dot.
+    "email": re.compile(r"(?:@\x20?|\x20at\x20|[(\[{]\x20?at\x20?[)\]}]\x20?)[A-Za-z0-9-]{1,63}(?:\.|\x20dot\x20|\x20?[(\[{]\x20?dot)"),
     "ip": re.compile(r"[0-9][\[(]\.|[0-9]\x20?\[dot"),
     "card": re.compile(r"[0-9]{4}(?:[._/]|\x20[\x20-])"),
     "phone": re.compile(r"[0-9]{3}[\x20.-][0-9]{4}"),

@@ -66,6 +66,21 @@ def test_added_spans_and_masks(spark):
     assert pii.masked(docs).columns == docs.columns
 
 
+def test_addresses_of_every_form_of_at_and_dot_alone_in_a_text(spark):
+    ats = ["@", " @", "@ ", " @ ", " at ", "(at)", " [at] ", "{ at }", " (at) "]
+    dots = [".", " dot ", "[dot]", " (dot) ", "{ dot }"]
+    texts = [f"mail bob{a}example{d}com" for a in ats for d in dots]
+    for text in texts:
+        base = pii.base_spans(text)
+        assert [(a, k, b) for a, k, b in base + pii.loose_spans(text, base)] == [(5, 0, len(text))]
+    filler = [f"mail x{i}@ex.com tel +1 (555) 123-45{i:02d} card 4111 1111 1111 1111 ip 10.0.0.{i}" for i in range(50)]
+    docs = spark.createDataFrame(list(enumerate(texts + filler)), "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in pii.found(docs).collect()}
+    left = {r.doc_id: r.text for r in pii.masked(docs).collect()}
+    for i, text in enumerate(texts):
+        assert (found[i], left[i]) == (f"email:5:{len(text)}", "mail <EMAIL>")
+
+
 def test_reliabilities_separate_good_from_bad_patterns():
     good, bad = pii.pattern(2, [2, 2, 2, 2, 2], 16), pii.pattern(2, [0, 1, 1, 1, 1], 16)
     chance = pii.expectation_maximisation({good: 500, bad: 300})
