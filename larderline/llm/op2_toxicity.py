@@ -1,15 +1,19 @@
 """Toxicity of whole texts: gradient-boosted trees over dense features, with isotonic calibration.
 
-The labelled rows that may be learned from are cut by hash into three parts. On the first a lexicon is counted: words
-and word beginnings that are far more frequent in toxic documents. On the second the trees are fitted over lexicon
-densities, second-person words near lexicon words, capitals, punctuation and obfuscation (letters replaced by digits
-and signs). On the third the trees' probability is calibrated by isotonic regression. At most ``sample_labels`` labelled
-rows are used, chosen by hash. The features of all documents are computed from their whole texts, in one pass.
+The labelled rows that may be learned from are cut into three parts, each class for itself in an order by hash. On the
+first a lexicon is counted: words and word beginnings that are far more frequent in toxic documents. On the second the
+trees are fitted over lexicon densities, second-person words near lexicon words, capitals, punctuation and obfuscation
+(letters replaced by digits and signs). On the third the trees' probability is calibrated by isotonic regression. If a
+class is too small to be cut, the features of each fifth of the rows come from a lexicon of the other four, and trees
+and calibration are fitted over all rows. At most ``sample_labels`` labelled rows are used, chosen by hash in each
+class: half of each, more of one if the other has fewer. The calibration weighs a row as the labels it stands for. The
+features of all documents are computed from their whole texts, in one pass.
 
 Language, source, ids and labels are no features. Null text is empty and is scored like any text without words. Labels
 that are null or contradict each other are left out. With fewer than ``least`` rows of either class there is no
-classifier, and every score is the share of toxic rows (0 without labels). Rows are independent: repeated rows, ties
-and null ids keep their own score; an empty table gives an empty result; extra columns are never features.
+classifier: every score is the share of toxic rows (0 without labels), and ``without_toxic`` keeps all rows. Rows are
+independent: repeated rows, ties and null ids keep their own score; an empty table gives an empty result; extra columns
+are never features.
 """
 
 from __future__ import annotations
@@ -17,6 +21,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -42,6 +47,8 @@ SHORTEST_BEGINNING, LONGEST_BEGINNING = 5, 6
 
 PERSON, CAPITALS, HIDDEN = 1, 2, 4
 FEATURES = 16
+#: Parts of the rows where a class is too small for parts of its own.
+FOLDS = 5
 
 
 def plain(chunk: str) -> str:
@@ -125,13 +132,26 @@ def learnable(doc_id: Column) -> Column:
 
 
 def training_rows(documents: DataFrame, labels: DataFrame, sample_labels: int) -> DataFrame:
-    """text, toxic (0 or 1) and part (0 to 9) of at most ``sample_labels`` labelled documents."""
+    """text, toxic (0 or 1), part (0 to 9) and weight of at most ``sample_labels`` labelled documents.
+
+    Parts are dealt by rank within a class. A row weighs as the labels of its class that it stands for.
+    """
+    spark = documents.sparkSession
     known = labels.where(learnable(F.col("doc_id")) & F.col("toxic").isin(0, 1)).groupBy("doc_id")
-    known = known.agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("__most")).where("toxic = __most")
-    mixed = F.xxhash64("doc_id")
-    known = known.orderBy(mixed, "doc_id").limit(sample_labels).select(F.col("doc_id"), "toxic", F.pmod(mixed, F.lit(10)).cast("int").alias("part"))
+    known = known.agg(F.min("toxic").cast("int").alias("toxic"), F.max("toxic").alias("__most")).where("toxic = __most")
+    known = stored(known.select("doc_id", "toxic"))
+    sizes = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    chosen = []
+    for toxic in (0, 1):
+        size = sizes.get(toxic, 0)
+        n = min(size, max(sample_labels // 2, sample_labels - sizes.get(1 - toxic, 0)))
+        ids = known.where(F.col("toxic") == toxic).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n).select("doc_id").collect()
+        # Steps of seven: parts next to each other fill evenly, however few the rows.
+        chosen += [(r.doc_id, toxic, 7 * i % 10, size / n) for i, r in enumerate(ids)]
+    kind = known.schema["doc_id"].dataType.simpleString()
+    sample = spark.createDataFrame(chosen, f"doc_id {kind}, toxic int, part int, weight double")
     # Bounded by sample_labels, so broadcast: the texts stay where they are.
-    return documents.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("text", F.col("toxic").cast("int").alias("toxic"), "part")
+    return documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "toxic", "part", "weight")
 
 
 def lexicon(rows: DataFrame, least_count: int = 4, entries: int = 2000) -> dict[str, float]:
@@ -190,18 +210,29 @@ def fitted(documents: DataFrame, labels: DataFrame, sample_labels: int = 20_000,
     """Lexicon, trees and calibration from the labelled rows that may be learned from."""
     spark = documents.sparkSession
     rows = stored(training_rows(documents, labels, sample_labels))
-    counts = {(r.toxic, r.group): r.n for r in rows.groupBy("toxic", group().alias("group")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    total = [sum(n for (toxic, _), n in counts.items() if toxic == c) for c in (0, 1)]
+    by = rows.groupBy("toxic", group().alias("group")).agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("weight")).collect()
+    counts = {(r.toxic, r.group): r.n for r in by}
+    total = [sum(r.weight for r in by if r.toxic == c) for c in (0, 1)]
     share = total[1] / max(1, sum(total))
-    if any(counts.get((c, g), 0) < least for c in (0, 1) for g in (0, 1)):
+    if any(sum(counts.get((c, g), 0) for g in range(3)) < least for c in (0, 1)):
         return Scorer(share)
-    words = lexicon(rows.where(group() == 0))
-    ready = stored(rows.where(group() > 0).select(F.col("toxic").cast("double").alias("label"), group().alias("group"), dense(spark, words)("text").alias("dense")))
-    ready = ready.select("label", "group", array_to_vector("dense").alias("features"))
-    boosted = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.2, maxBins=64, seed=seed).fit(ready.where("group = 1").coalesce(4))
-    third = ready.where("group = 2") if all(counts.get((c, 2), 0) >= least for c in (0, 1)) else ready
-    raw = boosted.transform(third).select("label", vector_to_array("probability")[1].alias("features"))
-    return Scorer(share, words, boosted, IsotonicRegression().fit(raw.coalesce(4)))
+
+    def ready_rows(part: DataFrame, words: dict[str, float]) -> DataFrame:
+        return part.select(F.col("toxic").cast("double").alias("label"), "weight", group().alias("group"), dense(spark, words)("text").alias("dense"))
+
+    crossed = any(counts.get((c, g), 0) < least for c in (0, 1) for g in (0, 1))
+    if crossed:
+        words = lexicon(rows)
+        fold = F.col("part") % FOLDS
+        ready = reduce(DataFrame.unionByName, [ready_rows(rows.where(fold == i), lexicon(rows.where(fold != i))) for i in range(FOLDS)])
+    else:
+        words = lexicon(rows.where(group() == 0))
+        ready = ready_rows(rows.where(group() > 0), words)
+    ready = stored(ready).select("label", "weight", "group", array_to_vector("dense").alias("features"))
+    boosted = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.2, maxBins=64, seed=seed).fit((ready if crossed else ready.where("group = 1")).coalesce(4))
+    third = ready.where("group = 2") if not crossed and all(counts.get((c, 2), 0) >= least for c in (0, 1)) else ready
+    raw = boosted.transform(third).select("label", "weight", vector_to_array("probability")[1].alias("features"))
+    return Scorer(share, words, boosted, IsotonicRegression(weightCol="weight").fit(raw.coalesce(4)))
 
 
 def group() -> Column:
@@ -222,8 +253,10 @@ def toxicity(documents: DataFrame, labels: DataFrame, threshold: float = 0.5, **
 
 
 def without_toxic(documents: DataFrame, labels: DataFrame, threshold: float = 0.5, **fit) -> DataFrame:
-    """The rows of ``documents`` that are not predicted toxic, with all their columns."""
+    """The rows of ``documents`` that are not predicted toxic, with all their columns; all rows without a classifier."""
     scorer = fitted(documents, labels, **fit)
+    if scorer.trees is None:
+        return documents
     rows = documents.select(F.struct("*").alias("__row"), F.col("text").alias("__text"))
     return scorer.score(rows, ["__row"]).where(F.col("__score") < threshold).select("__row.*")
 

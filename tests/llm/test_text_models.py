@@ -6,7 +6,7 @@ import re
 import cases
 from conftest import SMALL
 from larderline.llm import op5_pii as pii
-from larderline.llm.op2_toxicity import fitted, toxicity, without_toxic
+from larderline.llm.op2_toxicity import fitted, learnable, toxicity, without_toxic
 from pyspark.sql import functions as F
 
 PLAIN = [
@@ -139,3 +139,35 @@ def test_toxicity_of_awkward_rows(spark):
 def test_toxicity_of_the_table(spark):
     docs, labels = (spark.read.parquet(f"{SMALL}/{n}.parquet") for n in ("documents", "labels"))
     assert toxicity(docs, labels).count() == docs.count()
+
+
+def test_a_rare_class_is_learned_from(spark):
+    rows, labels = planted(3000)
+    toxic = [i for i, t in labels if t]
+
+    def case(few, sample_labels):
+        known = [(i, t) for i, t in labels if not t or i in few]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        return docs, spark.createDataFrame(known, "doc_id long, toxic int"), {"sample_labels": sample_labels}
+
+    # 60 toxic labels among 2,600, and a sample of which a share by hash would hold four; ten without a sample.
+    learned = {r.doc_id for r in spark.createDataFrame(rows, "doc_id long, text string").where(learnable(F.col("doc_id"))).collect()}
+    few = [i for i in toxic if i in learned]
+    for docs, known, fit in (case(few[:60], 200), case(few[:10], 20_000)):
+        assert fitted(docs, known, **fit).trees is not None
+        got = {r.doc_id: r.predicted for r in toxicity(docs, known, **fit).collect()}
+        assert sum(got[i] for i in toxic) >= 0.9 * len(toxic)
+        assert sum(got.values()) - sum(got[i] for i in toxic) <= 0.02 * len(rows)
+        assert without_toxic(docs, known, **fit).count() == len(rows) - sum(got.values())
+
+
+def test_toxicity_without_a_classifier_drops_nothing(spark):
+    rows, _ = planted(100)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame([(i, int(i > 2)) for i, _ in rows], "doc_id long, toxic int")
+    assert fitted(docs, known).trees is None and without_toxic(docs, known).count() == len(rows)
+
+
+def test_few_toxic_labels_of_the_table_are_enough(spark):
+    docs, labels = (spark.read.parquet(f"{SMALL}/{n}.parquet") for n in ("documents", "labels"))
+    assert fitted(docs, labels).trees is not None
