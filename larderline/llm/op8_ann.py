@@ -11,8 +11,8 @@ share is the one at which the queue has met ``aim`` of them. Largest inner produ
 more component, sqrt(longest norm^2 - norm^2), which is 0 for a query.
 
 Rows left out and repeated ids: see ``vectors.clean``. Equal scores go to the smaller id. An empty table gives an empty
-result, and so does one without queries; extra columns are left out. A leaf of very many rows (equal vectors cannot be
-split) is dealt to several tasks.
+result, and so does one without queries; extra columns are left out. The rows of a leaf are dealt to parts of about
+``leaf_block`` and its visitors to blocks of about ``query_block``; each part meets each block by itself.
 """
 
 from __future__ import annotations
@@ -118,6 +118,26 @@ class Forest:
             yield leaf, seen
 
 
+def cells(index: DataFrame, asking: DataFrame, sizes: np.ndarray, leaf_block: int, query_block: int) -> tuple[DataFrame, DataFrame, int]:
+    """Rows of the visited leaves and their visitors by cell (leaf, part, block), and the number of both.
+
+    A cell holds one part of a leaf's rows and one block of its visitors; every part of a leaf meets every block.
+    """
+    spark = index.sparkSession
+    counts = asking.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()
+    dealt = [(r.leaf, -(-int(sizes[r.leaf]) // leaf_block), -(-r.n // query_block)) for r in counts if sizes[r.leaf]]
+    # Bounded by trees x leaves.
+    facts = F.broadcast(spark.createDataFrame(dealt, "leaf long, parts long, blocks long"))
+    total = sum(int(sizes[leaf]) * blocks for leaf, _, blocks in dealt) + sum(r.n * -(-int(sizes[r.leaf]) // leaf_block) for r in counts)
+    one = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n))
+    all_ = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    held = index.select("vec_id", "vector", F.explode("leaves").alias("leaf")).join(facts, "leaf")
+    held = held.select("leaf", one("parts").alias("part"), all_("blocks").alias("block"), "vec_id", "vector")
+    asked = asking.select("vec_id", "vector", F.explode("leaves").alias("leaf")).join(facts, "leaf")
+    asked = asked.select("leaf", all_("parts").alias("part"), one("blocks").alias("block"), F.col("vec_id").alias("query_id"), "vector")
+    return held, asked, total
+
+
 def search(
     embeddings: DataFrame,
     k: int = 20,
@@ -128,6 +148,7 @@ def search(
     probe_queries: int = 100,
     aim: float = 0.95,
     leaf_block: int = 4096,
+    query_block: int = 2048,
     seed: int = 11,
 ) -> DataFrame:
     """query_id, rank, vec_id, score of the k nearest found for every query (ids divisible by ``every``)."""
@@ -170,45 +191,24 @@ def search(
     needed = sorted(min(seen_by[r.query_id][leaf] for leaf in r.leaves) for r in met)
     enough = float(needed[min(len(needed) - 1, int(aim * len(needed)))]) if needed else np.inf
 
-    parts_of = np.maximum(1, -(-sizes // leaf_block))
-
     def visits(batch):
-        out = {"leaf": [], "part": [], "query_id": [], "vector": []}
-        vectors = column_of(batch, "vector").to_pylist()
-        for query_id, vector in zip(column_of(batch, "vec_id").to_pylist(), vectors):
-            for leaf, _ in shared.value.visit(np.array(vector), sizes, enough):
-                for part in range(parts_of[leaf]):
-                    out["leaf"].append(leaf)
-                    out["part"].append(part)
-                    out["query_id"].append(query_id)
-                    out["vector"].append(vector)
-        return out
-
-    def members(batch):
-        ids, found = column_of(batch, "vec_id").to_numpy(), matrix_of_longs(column_of(batch, "leaves"))
-        which = np.repeat(np.arange(len(ids)), found.shape[1])
-        leaf = found.ravel()
-        mixed = (ids[which].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
-        return {
-            "leaf": leaf,
-            "part": (mixed % parts_of[leaf].astype(np.uint64)).astype(np.int64),
-            "vec_id": ids[which],
-            "vector": column_of(batch, "vector").take(which),
-        }
-
-    # Groups of leaf parts: some leaves' rows and their visitors meet in one task, which merges each query's best.
-    groups = int(max(1, sizes.sum() // 20_000))
-    group = F.pmod(F.xxhash64("leaf", "part"), F.lit(groups).cast("long")).alias("group")
-    asked = arrow_map(rows.where(is_query), "leaf long, part long, query_id long, vector array<double>", visits)
-    held = arrow_map(index, "leaf long, part long, vec_id long, vector array<double>", members)
+        vectors = column_of(batch, "vector")
+        visited = [[leaf for leaf, _ in shared.value.visit(v, sizes, enough)] for v in matrix(vectors)]
+        return {"vec_id": column_of(batch, "vec_id"), "vector": vectors, "leaves": visited}
+
+    asking = stored(arrow_map(rows.where(is_query), "vec_id long, vector array<double>, leaves array<long>", visits))
+    held, asked, total = cells(index, asking, sizes, leaf_block, query_block)
+    # Groups of cells: a task merges what each query finds in several cells.
+    groups = int(max(1, total // 20_000))
+    group = F.pmod(F.xxhash64("leaf", "part", "block"), F.lit(groups).cast("long")).alias("group")
 
     def rerank(key, left, right):
         import pandas as pd
 
         found = []
         if len(left) and len(right):
-            by = {key_: part for key_, part in right.groupby(["leaf", "part"])}
-            for key_, part in left.groupby(["leaf", "part"]):
+            by = {key_: part for key_, part in right.groupby(["leaf", "part", "block"])}
+            for key_, part in left.groupby(["leaf", "part", "block"]):
                 if key_ in by:
                     queries = by[key_]
                     q, c, s = best(np.stack(queries.vector), queries.query_id.to_numpy(), np.stack(part.vector), part.vec_id.to_numpy(), k)
@@ -222,9 +222,5 @@ def search(
     return ranked(local.dropDuplicates(["query_id", "vec_id"]), k)
 
 
-def matrix_of_longs(column) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
-
-
 def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "embeddings"))

@@ -2,7 +2,7 @@
 
 import numpy as np
 from conftest import SMALL
-from larderline.llm.op8_ann import Forest, search
+from larderline.llm.op8_ann import Forest, cells, search
 from larderline.llm.op9_exact_top_k import top_k
 from pyspark.sql import functions as F
 
@@ -97,3 +97,23 @@ def test_shared_queue_visits_every_leaf_once():
     visited = [leaf for leaf, _ in forest.visit(row, sizes, np.inf)]
     assert sorted(visited) == list(range(forest.first[-1]))
     assert set(visited[:3]) == set(forest.leaves(row[None])[0].tolist())
+
+
+def test_rows_and_visitors_of_a_leaf_meet_in_bounded_cells(spark):
+    rows = spark.range(600).select(F.col("id").alias("vec_id"), F.array(F.lit(1.0)).alias("vector"), F.array(F.lit(0), F.lit(1)).cast("array<long>").alias("leaves"))
+    queries = rows.where("vec_id % 2 = 0").withColumn("leaves", F.array(F.lit(0).cast("long")))
+    held, asked, total = cells(rows, queries, np.array([600, 600]), leaf_block=60, query_block=30)
+    one, other = held.groupBy("leaf", "part", "block").count().collect(), asked.groupBy("leaf", "part", "block").count().collect()
+    # Ten parts and ten blocks of leaf 0; nobody visits leaf 1.
+    assert {(r.leaf, r.part, r.block) for r in one} == {(r.leaf, r.part, r.block) for r in other} == {(0, p, b) for p in range(10) for b in range(10)}
+    assert max(r["count"] for r in one) < 120 and max(r["count"] for r in other) < 60
+    assert total == sum(r["count"] for r in one + other) == 6000 + 3000
+    on = ["leaf", "part", "block"]
+    assert held.join(asked.drop("vector"), on).select("query_id", "vec_id").distinct().count() == held.join(asked.drop("vector"), on).count() == 300 * 600
+
+
+def test_blocks_of_visitors_change_no_result(spark):
+    random = np.random.default_rng(9)
+    frame = spark.createDataFrame([(i, random.normal(size=6).tolist(), 0) for i in range(800)], SCHEMA)
+    got = [sorted(tuple(r) for r in search(frame, every=2, leaf_block=40, query_block=b).collect()) for b in (10**6, 16)]
+    assert got[0] == got[1] and len(got[0]) == 400 * 20
