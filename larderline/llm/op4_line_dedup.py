@@ -10,9 +10,10 @@ without words are left alone.
    one order makes the join exact; this one keeps frequent tokens out of the prefixes.
 3. The rarest tokens of a line, so many that similar lines must share one, are dealt out by token. Lines that meet and
    pass the length and positional filters are candidates, confirmed on their full sets.
+   Prefix rows of a hot token (of more lines than a task should hold) are dealt to several groups by line.
 4. In a token's group of up to HEADS + 1 lines all pairs are tried, in a larger one each line and HEADS of the others.
-   Lines of larger groups without an earlier match by then are held against the whole group, in blocks, without
-   writing out pairs. So nothing is left untried, and a frequent token makes no square of pairs.
+   Lines of larger groups, and of hot tokens, without an earlier match by then are held against all lines of the
+   token, in blocks, without writing out pairs. So nothing is left untried, and a frequent token makes no square of pairs.
 
 Null text has no lines. Documents with a null id come after all others. Rows that repeat an id and a line are one place
 and fare alike. An empty table gives an empty result. Extra columns are left out by ``marked`` and kept by ``cleaned``.
@@ -84,13 +85,20 @@ def parts(texts: list[bytes | None]):
         yield first, part
 
 
+def firsts_of(names: np.ndarray) -> np.ndarray:
+    """Which lines are the first of their name."""
+    first = np.zeros(len(names), bool)
+    first[np.unique(names, return_index=True)[1]] = True
+    return first
+
+
 def line_rows(documents: DataFrame) -> DataFrame:
     """doc_id, place, name, words of every line (name null: no words); and tokens that repeat in a batch, as rows of
-    place -1 with the token as name and its count as words."""
+    place -1 with the token as name and its count as words (lines that say the same count once in a part)."""
 
     def read(batch):
         found = [(first, Lines(part)) for first, part in parts(column_of(batch, "text").to_pylist())]
-        tokens = np.concatenate([lines.tokens for _, lines in found])
+        tokens = np.concatenate([lines.tokens[firsts_of(lines.name)[lines.owner]] for _, lines in found])
         cells = (tokens & np.uint64(2**21 - 1)).astype(np.int64)
         again = tokens[np.bincount(cells, minlength=2**21)[cells] > 2]
         token, n = np.unique(again, return_counts=True)
@@ -110,13 +118,21 @@ def line_rows(documents: DataFrame) -> DataFrame:
     return arrow_map(rows, "doc_id long, place int, name long, words long", read)
 
 
-def frequent(rows: DataFrame, entries: int) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent tokens (ascending) and their rank by frequency, the most frequent last; at most ``entries``."""
+def frequent(rows: DataFrame, entries: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The most frequent tokens (ascending) and their rank by frequency, the most frequent last; at most ``entries``.
+    And the counts by rank."""
     counts = rows.where("place = -1").groupBy("name").agg(F.sum("words").alias("n")).where("n > 2")
-    top = [r.name for r in counts.orderBy(F.desc("n"), "name").limit(entries).collect()]
-    tokens = np.array(top[::-1], np.int64).view(np.uint64)
+    top = counts.orderBy(F.desc("n"), "name").limit(entries).collect()[::-1]
+    tokens = np.array([r.name for r in top], np.int64).view(np.uint64)
     order = np.argsort(tokens)
-    return tokens[order], order
+    return tokens[order], order, np.array([r.n for r in top], np.int64)
+
+
+def first_hot(counts: np.ndarray, buckets: int, bucket_lines: int) -> int:
+    """Place in the order from which on tokens are hot: seen in more than ``bucket_lines`` lines. With one bucket none is."""
+    if buckets == 1:
+        return 2**COLD_BITS + len(counts)
+    return 2**COLD_BITS + int(np.searchsorted(counts, bucket_lines, "right"))
 
 
 class Order:
@@ -137,22 +153,27 @@ class Order:
         return places
 
 
-def prefixes(documents: DataFrame, order: tuple[np.ndarray, np.ndarray], buckets: int) -> DataFrame:
-    """Prefix tokens of all lines, packed by bucket: place in the order, line's name, its tokens, position."""
-    shared = documents.sparkSession.sparkContext.broadcast(order)  # bounded by ``entries``
+def prefixes(documents: DataFrame, order: tuple[np.ndarray, np.ndarray, np.ndarray], buckets: int, bucket_lines: int) -> DataFrame:
+    """Prefix tokens of all lines, packed by bucket: place in the order, line's name, its tokens, position.
+
+    A hot token has several buckets, of about ``bucket_lines`` of its lines each; a line is in one of them.
+    """
+    hot = first_hot(order[2], buckets, bucket_lines)
+    salts = np.minimum(-(-order[2] // bucket_lines), buckets)[hot - 2**COLD_BITS :].astype(np.uint64)
+    shared = documents.sparkSession.sparkContext.broadcast((*order[:2], salts))  # bounded by ``entries``
     made: list[Order] = []
 
     def pack(batch):
         if not made:
-            made.append(Order(*shared.value))
+            made.append(Order(*shared.value[:2]))
+        salts = shared.value[2]
         out = {"bucket": [], "low": [], "high": [], "name": [], "size": [], "position": []}
         texts = column_of(batch, "text").to_pylist()
         for _, part in parts(texts):
             lines = Lines(part)
             names = lines.name.view(np.int64)
             # The first of the lines that say the same is enough for this part.
-            first = np.zeros(len(names), bool)
-            first[np.unique(names, return_index=True)[1]] = True
+            first = firsts_of(names)
             use = first[lines.owner] if len(names) else np.zeros(0, bool)
             owner, token = in_order(lines.owner[use], made[0](lines.tokens[use]), len(names))
             size = np.bincount(owner, minlength=len(names))
@@ -162,6 +183,10 @@ def prefixes(documents: DataFrame, order: tuple[np.ndarray, np.ndarray], buckets
             keep = position < n - -(-3 * n // 4) + 1
             owner, token, position, n = owner[keep], token[keep], position[keep], n[keep]
             bucket = (token * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % buckets
+            split = np.nonzero(token >= np.uint64(hot))[0]
+            salt = names[owner[split]].view(np.uint64) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(33)
+            salt = salt % salts[(token[split] - np.uint64(hot)).astype(np.int64)]
+            bucket[split] = (bucket[split] + salt.astype(np.int64)) % buckets
             by = np.argsort(bucket.astype(np.uint16) if buckets <= 2**16 else bucket, kind="stable")
             owner, token, position, n, bucket = owner[by], token[by], position[by], n[by], bucket[by]
             cuts = np.nonzero(np.diff(bucket))[0] + 1
@@ -204,8 +229,11 @@ def passing(n1: np.ndarray, p1: np.ndarray, n2: np.ndarray, p2: np.ndarray) -> n
     return (100 * np.minimum(n1, n2) >= 75 * np.maximum(n1, n2)) & (np.minimum(n1 - p1, n2 - p2) >= common)
 
 
-def met(packed: DataFrame) -> DataFrame:
-    """a, b of candidate pairs (token null); and the lines of groups too large for all pairs: token, a (name), no b."""
+def met(packed: DataFrame, hot: int) -> DataFrame:
+    """a, b of candidate pairs (token null); and the lines of groups too large for all pairs: token, a (name), no b.
+
+    Tokens from place ``hot`` on have lines in other groups too, so theirs are always too large.
+    """
     ship_code(packed.sparkSession)
 
     def meet(table):
@@ -232,7 +260,7 @@ def met(packed: DataFrame) -> DataFrame:
             ones.append(name[j[ok]])
             others.append(name[i[ok]])
         a, b = distinct_pairs(np.concatenate(ones), np.concatenate(others))
-        large = count > HEADS + 1
+        large = (count > HEADS + 1) | (token >= np.uint64(hot))
         return pd.DataFrame(
             {
                 "token": pd.array([None] * len(a) + token[large].astype(np.int64).tolist(), "Int64"),
@@ -292,11 +320,12 @@ def earlier_matches(block: dict, key: np.ndarray) -> list[tuple[int]]:
     return found
 
 
-def removed_names(documents: DataFrame, rows: DataFrame, firsts: DataFrame, entries: int) -> DataFrame:
+def removed_names(documents: DataFrame, rows: DataFrame, firsts: DataFrame, entries: int, bucket_lines: int) -> DataFrame:
     """name of every line of words whose first place has a similar line before it."""
-    spread = max(1, firsts.count() // 20_000)
-    packed = prefixes(documents, frequent(rows, entries), spread)
-    found = stored(met(packed))
+    spread = max(1, firsts.count() // bucket_lines)
+    order = frequent(rows, entries)
+    packed = prefixes(documents, order, spread, bucket_lines)
+    found = stored(met(packed, first_hot(order[2], spread, bucket_lines)))
     pairs = found.where("token is null").select("a", "b").distinct()
     wanted = pairs.select(F.col("a").alias("name")).unionByName(pairs.select(F.col("b").alias("name"))).distinct()
     sets = stored(sets_of(wanted, firsts, documents).join(firsts, "name"))
@@ -334,22 +363,22 @@ def removed_names(documents: DataFrame, rows: DataFrame, firsts: DataFrame, entr
     return settled.unionByName(rest).distinct()
 
 
-def judged(documents: DataFrame, entries: int = 2**18) -> DataFrame:
+def judged(documents: DataFrame, entries: int = 2**18, bucket_lines: int = 20_000) -> DataFrame:
     """doc_id, place, name (null: no words) and removed of every line."""
     rows = stored(line_rows(documents))
     lines = rows.where("place >= 0")
     place = F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "place")
     firsts = stored(lines.where("name is not null").groupBy("name").agg(F.min(place).alias("first"), F.first("words").alias("words")))
-    gone = removed_names(documents, rows, firsts, entries).withColumn("gone", F.lit(True))
+    gone = removed_names(documents, rows, firsts, entries, bucket_lines).withColumn("gone", F.lit(True))
     facts = firsts.select("name", "first").join(gone, "name", "left")
     joined = lines.join(facts, "name", "left")
     again = F.col("first").isNotNull() & (place != F.col("first"))
     return joined.select("doc_id", "place", "name", (F.coalesce(F.col("gone"), F.lit(False)) | again).alias("removed"))
 
 
-def marked(documents: DataFrame, entries: int = 2**18) -> DataFrame:
+def marked(documents: DataFrame, entries: int = 2**18, bucket_lines: int = 20_000) -> DataFrame:
     """doc_id, n_lines, n_removed and removed (places from 0, comma-joined) of every document."""
-    lines = judged(documents, entries)
+    lines = judged(documents, entries, bucket_lines)
     by = lines.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.sum(F.col("removed").cast("long")).alias("n_removed"),

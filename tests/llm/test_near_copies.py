@@ -120,6 +120,38 @@ def test_lines_equal_brute_force(spark):
     assert cases.rows_of(got) == sorted(removed_lines(rows), key=repr)
 
 
+def template_lines(n=120, others=120):
+    """Variants of one line, one word changed in most, between lines of their own; in no order."""
+    random.seed(12)
+    base = [f"t{i}" for i in range(24)]
+    lines = [" ".join(base[:12] + [f"v{i}"] + base[13:]) for i in range(n)]
+    # Further from each other: these meet at the template's tokens and may stay.
+    lines += [" ".join(base[:8] + [f"u{i}x{j}" for j in range(9)]) for i in range(n // 2)]
+    lines += [" ".join(f"o{i}w{j}" for j in range(8)) for i in range(others)]
+    random.shuffle(lines)
+    return [(i, "\n".join(lines[3 * i : 3 * i + 3])) for i in range(len(lines) // 3)]
+
+
+def test_lines_of_a_hot_token_are_dealt_to_several_groups(spark):
+    from larderline.llm import op4_line_dedup as op4
+
+    rows = template_lines()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    order = op4.frequent(op4.line_rows(docs), 2**18)
+    packed = op4.prefixes(docs, order, 16, 20).collect()
+    by_token = defaultdict(lambda: defaultdict(set))
+    for r in packed:
+        token = np.frombuffer(r.low, np.uint32) | np.frombuffer(r.high, np.uint16).astype(np.uint64) << np.uint64(32)
+        for t, name in zip(token.tolist(), np.frombuffer(r.name, np.int64).tolist()):
+            by_token[t][r.bucket].add(name)
+    sizes = {t: [len(x) for x in b.values()] for t, b in by_token.items()}
+    assert max(sum(s) for s in sizes.values()) >= 60 and max(max(s) for s in sizes.values()) <= 40
+    # A line is in one bucket of a token.
+    assert all(sum(s) == len(set().union(*by_token[t].values())) for t, s in sizes.items())
+    got = marked(docs, bucket_lines=20)
+    assert cases.rows_of(got) == sorted(removed_lines(rows), key=repr)
+
+
 def test_lines_of_awkward_rows(spark):
     # Distinct rows: repeated ones are one place and checked below.
     rows = [r for i, r in enumerate(cases.ROWS) if r not in cases.ROWS[:i]]
