@@ -40,16 +40,21 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id stays; of rows that repeat its id, one.
+    """Of each group of near-duplicates the row with the smallest id stays, of its texts the one with the smallest hash.
 
-    A document without an id goes by the hash of its text here.
+    Rows are told apart by id and text, so rows that share an id compete only if their texts are near-duplicates; rows
+    that repeat both are one. A document without an id comes after all with one. Rows without words all stay.
     """
-    key = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
-    kept = near_duplicates(docs.select(key.alias("doc_id"), "text")).where("kept").select(F.col("doc_id").alias("__key")).distinct()
-    rows = docs.select(F.struct("*").alias("__row"), key.alias("__key"), F.xxhash64("text").alias("__text"))
-    # The window finds the rows where the join has dealt them.
-    first = Window.partitionBy("__key").orderBy("__text")
-    joined = rows.join(kept, "__key", "left_semi").withColumn("__place", F.row_number().over(first))
+    null_id, doc_id = F.col("doc_id").isNull(), F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long"))
+    key = F.struct(null_id.alias("__null"), doc_id.alias("__id"), F.xxhash64("text").alias("__text"))
+    decided = near_duplicates(docs.select(key.alias("doc_id"), "text")).where("kept")
+    kept = decided.select("doc_id.*", (F.col("n_shingles") == 0).alias("__alone")).distinct()
+    rows = docs.select(F.struct("*").alias("__row"), key.alias("__key")).select("__row", "__key.*")
+    on = ["__null", "__id", "__text"]
+    # The window finds the rows where the join has dealt them; rows without words are a group each.
+    alone = F.when(F.col("__alone"), F.monotonically_increasing_id()).otherwise(-1)
+    first = Window.partitionBy(*on, "__each").orderBy("__text")
+    joined = rows.join(kept, on).withColumn("__each", alone).withColumn("__place", F.row_number().over(first))
     return joined.where("__place = 1").select("__row.*")
 
 

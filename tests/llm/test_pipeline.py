@@ -63,6 +63,19 @@ def test_stages_take_awkward_and_empty_documents(spark):
         assert packed.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
 
 
+def test_rows_that_share_an_id_compete_only_with_their_near_duplicates(spark):
+    one, two, three, four = (" ".join(f"{w}{i}" for i in range(40)) for w in "abcd")
+    rows = [
+        (3, one), (5, one + " more"), (5, two), (5, three), (5, three), (6, two + " more"), (6, four), (6, four + " more"),
+        (None, one + " else"), (None, "only here " + " ".join(f"n{i}" for i in range(40))), (42, None), (None, None), (7, ""), (7, ""),
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows], cases.SCHEMA).repartition(3)
+    got = cases.rows_of(corpus_pipeline.drop_near_duplicates(spark, docs, SMALL).select("doc_id", "text"))
+    assert len([r for r in got if r in ((6, four), (6, four + " more"))]) == 1
+    got = [r for r in got if r != (6, four + " more") and r != (6, four)]
+    assert got == sorted([rows[0], rows[2], rows[3], *rows[9:]], key=repr)
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, name):
     assert differences(QUERIES[name](spark, SMALL), connect(SMALL), ORACLES[name]) == []
