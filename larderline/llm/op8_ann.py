@@ -3,7 +3,7 @@
 The trees are fitted on a bounded sample (``sample_rows``); a split is the hyperplane between two centres drawn by a
 few steps of two-means over random rows, put at the sample's median. Every row is then indexed: it goes down every
 tree to a leaf. A query keeps one queue over all trees, ordered by the smallest margin crossed on the way, and visits
-leaves until those hold a given share of the index. All candidates in the visited leaves are scored exactly on the
+leaves until those hold a given share of the index and, in one of the trees, more than k rows. All candidates in the visited leaves are scored exactly on the
 original vectors.
 
 The share is set by measurement: the exact neighbours of ``probe_queries`` queries are found over all rows, and the
@@ -99,14 +99,17 @@ class Forest:
         lifted = self.lifted(rows)
         return np.stack([t.route(lifted) + self.first[i] for i, t in enumerate(self.trees)], axis=1)
 
-    def visit(self, query: np.ndarray, sizes: np.ndarray, enough: float):
-        """Leaves in the order of the shared queue, each with the rows that it and those before hold, up to ``enough``."""
+    def visit(self, query: np.ndarray, sizes: np.ndarray, enough: float, distinct: int = 0):
+        """Leaves in the order of the shared queue, each with the rows that it and those before hold, up to ``enough``.
+
+        It goes on until the leaves of one tree hold ``distinct`` rows: a tree has each row once.
+        """
         vector = np.append(query, 0.0)
         vector /= np.linalg.norm(vector) or 1
         margins = [t.planes @ vector - t.offsets for t in self.trees]
         queue = [(0.0, i, 0 if len(t.planes) else -1) for i, t in enumerate(self.trees)]
-        seen = 0
-        while queue and seen < enough:
+        seen, by_tree = 0, [0] * len(self.trees)
+        while queue and (seen < enough or max(by_tree) < distinct):
             crossed, i, node = heapq.heappop(queue)
             children, margin = self.trees[i].children, margins[i]
             while node >= 0:
@@ -115,6 +118,7 @@ class Forest:
                 node = int(children[node, int(m > 0)])
             leaf = int(self.first[i] - node - 1)
             seen += int(sizes[leaf])
+            by_tree[i] += int(sizes[leaf])
             yield leaf, seen
 
 
@@ -193,7 +197,7 @@ def search(
 
     def visits(batch):
         vectors = column_of(batch, "vector")
-        visited = [[leaf for leaf, _ in shared.value.visit(v, sizes, enough)] for v in matrix(vectors)]
+        visited = [[leaf for leaf, _ in shared.value.visit(v, sizes, enough, k + 1)] for v in matrix(vectors)]
         return {"vec_id": column_of(batch, "vec_id"), "vector": vectors, "leaves": visited}
 
     asking = stored(arrow_map(rows.where(is_query), "vec_id long, vector array<double>, leaves array<long>", visits))

@@ -117,3 +117,12 @@ def test_blocks_of_visitors_change_no_result(spark):
     frame = spark.createDataFrame([(i, random.normal(size=6).tolist(), 0) for i in range(800)], SCHEMA)
     got = [sorted(tuple(r) for r in search(frame, every=2, leaf_block=40, query_block=b).collect()) for b in (10**6, 16)]
     assert got[0] == got[1] and len(got[0]) == 400 * 20
+
+
+def test_queries_of_small_clusters_get_all_their_rows(spark):
+    random = np.random.default_rng(3)
+    centres = random.normal(size=(40, 16)) * 10
+    rows = [(i, (centres[i % 40] + random.normal(size=16) * 0.01).tolist(), 0) for i in range(500)]
+    # An aim of nothing: the share alone would end a query in its first leaf of eight rows.
+    got = search(spark.createDataFrame(rows, SCHEMA), aim=0.0).groupBy("query_id").count().collect()
+    assert len(got) == 25 and all(r["count"] == 20 for r in got)
