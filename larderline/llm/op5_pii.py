@@ -205,10 +205,14 @@ def features(codes: list[int]) -> np.ndarray:
 
 
 def classifier(counts: dict[int, int], chance: dict[int, float], steps: int = 30, ridge: float = 1.0) -> dict[int, float]:
-    """Logistic regression on the counted patterns, each weighing as the spans it stands for; probability by pattern."""
+    """Logistic regression on the counted patterns, each weighing as the spans it stands for; probability by pattern.
+
+    Very large counts are scaled by one common factor: the weights between patterns stay.
+    """
     codes = list(counts)
     x, target = features(codes), np.array([chance[c] for c in codes])
-    n = np.minimum(np.array([counts[c] for c in codes], float), 1e6)
+    n = np.array([counts[c] for c in codes], float)
+    n *= min(1.0, 1e6 / n.max())
     w = np.zeros(x.shape[1])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))

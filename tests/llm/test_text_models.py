@@ -89,6 +89,14 @@ def test_reliabilities_separate_good_from_bad_patterns():
     assert pii.parts_of(good) == (2, [2, 2, 2, 2, 2], 4)
 
 
+def test_the_classifier_weighs_patterns_alike_at_every_size():
+    # Three sizes of one vote, which no line through the sizes fits: the weights decide.
+    codes = [pii.pattern(0, [0, 2, 0, 0, 2], n) for n in (0, 12, 28)]
+    chance = dict(zip(codes, (0.9, 0.1, 0.9)))
+    small, large = (pii.classifier({c: n * m for c, n in zip(codes, (900_000, 300_000, 20_000))}, chance) for m in (1, 100))
+    assert all(abs(small[c] - large[c]) < 1e-3 for c in codes)
+
+
 def planted(n=1500):
     """Documents of neutral words; one in eight holds insults, some disguised."""
     random.seed(3)
