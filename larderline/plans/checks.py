@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from larderline.functions import labels
 from larderline.functions.columns import rounded_ratio, to_units
 from larderline.operators.anomaly import Metric, bucket_metrics, fill_gaps, score
+from larderline.operators.drift import Watched, divergence, histograms
 from larderline.operators.quality import (
     Check,
     accepted_values,
@@ -74,12 +75,11 @@ RAW_SUITE: list[Check] = [
 LOADED_AT = {"stores": "opened_date", "inventory_snapshots": "snapshot_date", "pos_sales": "sale_date"}
 
 
-def _model(name: str, keys: str = "", filled: str = "", *others: Check) -> list[Check]:
+def _model(name: str, keys: list[str], filled: list[str], *others: Check) -> list[Check]:
     """Tests of one model: key columns are unique and filled, the others filled."""
-    key_names, filled_names = keys.split(), filled.split()
     return [
-        *[no_nulls(name, c) for c in key_names + filled_names],
-        *[unique(name, c) for c in key_names],
+        *[no_nulls(name, c) for c in keys + filled],
+        *[unique(name, c) for c in keys],
         *others,
     ]
 
@@ -87,41 +87,41 @@ def _model(name: str, keys: str = "", filled: str = "", *others: Check) -> list[
 SOURCE_TESTS: dict[str, list[Check]] = {
     "stores": _model(
         "stores",
-        "store_id",
-        "store_cluster state is_active",
+        ["store_id"],
+        ["store_cluster", "state", "is_active"],
         accepted_values("stores", "store_cluster", labels.CLUSTERS),
         accepted_values("stores", "state", labels.STATES),
     ),
     "suppliers": _model(
         "suppliers",
-        "supplier_id",
-        "lead_time_days",
+        ["supplier_id"],
+        ["lead_time_days"],
         accepted_values("suppliers", "payment_terms", labels.PAYMENT_TERMS),
     ),
     "products": _model(
         "products",
-        "product_id",
-        "category supplier_id unit_price cost_price",
+        ["product_id"],
+        ["category", "supplier_id", "unit_price", "cost_price"],
         accepted_values("products", "category", labels.CATEGORIES),
         references("products", "supplier_id", "suppliers", "supplier_id"),
     ),
     "product_price_history": _model(
         "product_price_history",
-        "",
-        "product_id effective_from unit_price",
+        [],
+        ["product_id", "effective_from", "unit_price"],
         references("product_price_history", "product_id", "products", "product_id"),
     ),
     "inventory_snapshots": _model(
         "inventory_snapshots",
-        "",
-        "store_id product_id snapshot_date quantity_on_hand",
+        [],
+        ["store_id", "product_id", "snapshot_date", "quantity_on_hand"],
         references("inventory_snapshots", "store_id", "stores", "store_id"),
         references("inventory_snapshots", "product_id", "products", "product_id"),
     ),
     "purchase_orders": _model(
         "purchase_orders",
-        "po_id",
-        "store_id product_id supplier_id quantity_ordered",
+        ["po_id"],
+        ["store_id", "product_id", "supplier_id", "quantity_ordered"],
         accepted_values("purchase_orders", "status", labels.ORDER_STATUSES),
         references("purchase_orders", "store_id", "stores", "store_id"),
         references("purchase_orders", "product_id", "products", "product_id"),
@@ -129,8 +129,8 @@ SOURCE_TESTS: dict[str, list[Check]] = {
     ),
     "pos_sales": _model(
         "pos_sales",
-        "",
-        "sale_id store_id product_id sale_date quantity unit_price total_amount",
+        [],
+        ["sale_id", "store_id", "product_id", "sale_date", "quantity", "unit_price", "total_amount"],
         references("pos_sales", "store_id", "stores", "store_id"),
         references("pos_sales", "product_id", "products", "product_id"),
     ),
@@ -139,40 +139,40 @@ SOURCE_TESTS: dict[str, list[Check]] = {
 STAGING_TESTS: dict[str, list[Check]] = {
     "stg_stores": _model(
         "stg_stores",
-        "store_id",
-        "store_cluster state is_active is_metro",
+        ["store_id"],
+        ["store_cluster", "state", "is_active", "is_metro"],
         accepted_values("stg_stores", "store_cluster", labels.CLUSTERS),
     ),
     "stg_suppliers": _model(
         "stg_suppliers",
-        "supplier_id",
-        "lead_time_days is_reliable_supplier",
+        ["supplier_id"],
+        ["lead_time_days", "is_reliable_supplier"],
         values_between("stg_suppliers", "lead_time_days", 1, 21),
     ),
     "stg_products": _model(
         "stg_products",
-        "product_version_key",
-        "product_id unit_price gross_margin_pct is_current_version",
+        ["product_version_key"],
+        ["product_id", "unit_price", "gross_margin_pct", "is_current_version"],
         values_between("stg_products", "unit_price", 0.50, 100.00),
         values_between("stg_products", "gross_margin_pct", 0, 100),
     ),
     "stg_inventory": _model(
         "stg_inventory",
-        "inventory_snapshot_key",
-        "store_id product_id snapshot_date quantity_on_hand is_stockout is_below_reorder_point",
+        ["inventory_snapshot_key"],
+        ["store_id", "product_id", "snapshot_date", "quantity_on_hand", "is_stockout", "is_below_reorder_point"],
         values_between("stg_inventory", "quantity_on_hand", 0, 10_000),
     ),
     "stg_purchase_orders": _model(
         "stg_purchase_orders",
-        "po_id",
-        "store_id product_id supplier_id quantity_ordered is_late is_fulfilled",
+        ["po_id"],
+        ["store_id", "product_id", "supplier_id", "quantity_ordered", "is_late", "is_fulfilled"],
         values_between("stg_purchase_orders", "quantity_ordered", 1, 1000),
         accepted_values("stg_purchase_orders", "status", labels.ORDER_STATUSES),
     ),
     "stg_sales": _model(
         "stg_sales",
-        "sale_key",
-        "sale_id store_id product_id sale_date quantity total_amount is_weekend has_price_discrepancy",
+        ["sale_key"],
+        ["sale_id", "store_id", "product_id", "sale_date", "quantity", "total_amount", "is_weekend", "has_price_discrepancy"],
         values_between("stg_sales", "quantity", 1, 1000),
         values_between("stg_sales", "total_amount", 0.01, 50_000),
     ),
@@ -181,41 +181,41 @@ STAGING_TESTS: dict[str, list[Check]] = {
 MART_TESTS: dict[str, list[Check]] = {
     "dim_stores": _model(
         "dim_stores",
-        "store_id",
-        "store_cluster cluster_tier is_active",
+        ["store_id"],
+        ["store_cluster", "cluster_tier", "is_active"],
         values_between("dim_stores", "cluster_tier", 1, 6),
     ),
     "dim_products": _model(
         "dim_products",
-        "product_version_key",
-        "product_id unit_price is_current_version perishability",
+        ["product_version_key"],
+        ["product_id", "unit_price", "is_current_version", "perishability"],
         values_between("dim_products", "unit_price", 0.50, 100.00),
         accepted_values("dim_products", "perishability", ["Perishable", "Non-Perishable"]),
     ),
     "fct_inventory": _model(
         "fct_inventory",
-        "inventory_snapshot_key",
-        "store_id product_id snapshot_date stock_status",
+        ["inventory_snapshot_key"],
+        ["store_id", "product_id", "snapshot_date", "stock_status"],
         accepted_values("fct_inventory", "stock_status", labels.STOCK_STATUSES),
         values_between("fct_inventory", "days_of_stock_remaining", 0, 365),
     ),
     "fct_purchase_orders": _model(
         "fct_purchase_orders",
-        "po_id",
-        "store_id product_id total_order_value days_overdue",
+        ["po_id"],
+        ["store_id", "product_id", "total_order_value", "days_overdue"],
         accepted_values("fct_purchase_orders", "status", labels.ORDER_STATUSES),
         values_between("fct_purchase_orders", "total_order_value", 0, 100_000),
     ),
     "fct_sales": _model(
         "fct_sales",
-        "sale_key",
-        "store_id product_id sale_date revenue gross_profit category store_cluster",
+        ["sale_key"],
+        ["store_id", "product_id", "sale_date", "revenue", "gross_profit", "category", "store_cluster"],
         values_between("fct_sales", "revenue", 0.01, 50_000),
     ),
     "fct_stockouts": _model(
         "fct_stockouts",
-        "",
-        "store_id product_id stockout_date urgency estimated_lost_revenue_7d",
+        [],
+        ["store_id", "product_id", "stockout_date", "urgency", "estimated_lost_revenue_7d"],
         accepted_values("fct_stockouts", "urgency", labels.URGENCIES),
         values_between("fct_stockouts", "estimated_lost_revenue_7d", 0, 100_000),
     ),
@@ -284,10 +284,36 @@ COLUMN_MONITORS = [
 ]
 
 
+# Distributions watched for drift: model, timestamp, bucket, columns.
+DRIFT_MONITORS = [
+    ("fct_sales", "sale_date", "day", [Watched("revenue", 2), Watched("quantity")]),
+    ("fct_inventory", "snapshot_date", "week", [Watched("quantity_on_hand")]),
+]
+
+
+def at_grain(warehouse: Warehouse, model: str) -> DataFrame:
+    """The staged table whose rows are those of ``model``, with its monitored columns that need no dimension.
+
+    Facts are left joins of one staged table to lookups with one row per key, so that table fixes their rows.
+    """
+    if model == "dim_products":
+        return warehouse.stg_products
+    if model == "fct_purchase_orders":
+        return warehouse.stg_purchase_orders
+    if model == "fct_sales":
+        return warehouse.stg_sales.withColumn("revenue", F.col("total_amount"))
+    if model == "fct_inventory":
+        return warehouse.stg_inventory
+    if model == "fct_stockouts":
+        stock = warehouse.stg_inventory.filter("is_stockout OR is_below_reorder_point")
+        return stock.withColumn("stockout_date", F.col("snapshot_date"))
+    raise ValueError(f"no staged table is known for {model}")
+
+
 def volume_anomalies(warehouse: Warehouse) -> DataFrame:
     """Scored row counts per bucket of every monitored model."""
     parts = [
-        bucket_metrics(model, getattr(warehouse, model), at, bucket, [Metric("*", "row_count", sensitivity)])
+        bucket_metrics(model, at_grain(warehouse, model), at, bucket, [Metric("*", "row_count", sensitivity)])
         for model, at, bucket, sensitivity in VOLUME_MONITORS
     ]
     return score(fill_gaps(reduce(DataFrame.unionByName, parts))).drop("column_name", "metric")
@@ -295,13 +321,24 @@ def volume_anomalies(warehouse: Warehouse) -> DataFrame:
 
 def column_anomalies(warehouse: Warehouse) -> DataFrame:
     """Scored column metrics per bucket of every monitored model."""
+
+    def rows(model: str, metrics: list[Metric]) -> DataFrame:
+        staged = at_grain(warehouse, model)
+        return staged if {m.column for m in metrics} <= set(staged.columns) else getattr(warehouse, model)
+
     parts = [
-        bucket_metrics(model, getattr(warehouse, model), at, bucket, metrics)
+        bucket_metrics(model, rows(model, metrics), at, bucket, metrics)
         for model, at, bucket, metrics in COLUMN_MONITORS
     ]
     return score(fill_gaps(reduce(DataFrame.unionByName, parts)))
 
 
+def distribution_drift(warehouse: Warehouse) -> DataFrame:
+    """Divergence per bucket of every watched distribution."""
+    parts = [histograms(model, at_grain(warehouse, model), at, bucket, watched) for model, at, bucket, watched in DRIFT_MONITORS]
+    return divergence(reduce(DataFrame.unionByName, parts))
+
+
 def load_spot_checks(warehouse: Warehouse) -> DataFrame:
     """(check_name, value): sales of known stores, of known products, stock-out rate, repriced products."""
     raw = warehouse.raw

@@ -239,6 +239,7 @@ _BY_SHOP: dict[str, Callable[[Shop], DataFrame]] = {
     "dq_suite_models": checks.model_test_results,
     "anomaly_volume": checks.volume_anomalies,
     "anomaly_column": checks.column_anomalies,
+    "anomaly_drift": checks.distribution_drift,
     "weekly_demand": lambda s: s.weekly_demand,
     "series_profile": lambda s: demand.series_profile(s.weekly_demand),
     "forecast_eligibility": lambda s: demand.eligibility(s.series),

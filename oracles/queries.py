@@ -806,3 +806,75 @@ SELECT expectation, table_name, column_name, passed, '2001-12-01T06:00:00' AS ru
 FROM (
 {QUERIES["dq_suite_raw"]}
 ) AS results"""
+
+# ---- drift of distributions -------------------------------------------------
+
+
+def binned(model: str, column: str, units_: str, at: str, days: int, source: str) -> str:
+    """Rows of a watched column with their histogram bin: four steps in each power of two."""
+    size = f"abs({units_})"
+    return f"""
+SELECT '{model}' AS model, '{column}' AS column_name, {days} AS step_days, bucket, top, size, u
+FROM (SELECT {at} AS bucket, {units_} AS u, {size} AS size, length(bin({size})) - 1 AS top FROM {source})
+WHERE u IS NOT NULL AND bucket IS NOT NULL"""
+
+
+DRIFT = f"""
+SELECT model, column_name, bucket, CAST(c_all AS BIGINT) AS rows, CAST(coalesce(trained, 0) AS BIGINT) AS training_buckets,
+       CAST(r_all AS BIGINT) AS training_rows, round(psi, 6) AS psi, round(noise, 6) AS psi_noise, round(ks, 6) AS ks,
+       round(critical, 6) AS ks_critical,
+       coalesce(trained >= 7 AND ks > critical AND psi > 0.25 + noise, FALSE) AS is_drifting
+FROM (
+  SELECT model, column_name, bucket, c_all, r_all, any_value(trained) AS trained,
+         CASE WHEN r_all > 0 THEN sum((p - q) * ln(p / q) ORDER BY bin) END AS psi,
+         CASE WHEN r_all > 0 THEN (count(*) - 1) * CAST(c_all + r_all AS DOUBLE) / (CAST(c_all AS DOUBLE) * r_all) END AS noise,
+         CASE WHEN r_all > 0 THEN max(abs(c_run * r_all - r_run * c_all)) / (CAST(c_all AS DOUBLE) * r_all) END AS ks,
+         CASE WHEN r_all > 0 THEN sqrt(CAST(c_all + r_all AS DOUBLE) / (CAST(c_all AS DOUBLE) * r_all)) * 1.628 END AS critical
+  FROM (
+    SELECT *, (c + 0.5) / (c_all + 0.5 * bins) AS p, (r + 0.5) / (r_all + 0.5 * bins) AS q,
+           CAST(sum(c) OVER running AS DOUBLE) AS c_run, CAST(sum(r) OVER running AS DOUBLE) AS r_run
+    FROM (
+      SELECT *, sum(c) OVER each AS c_all, sum(r) OVER each AS r_all, count(*) OVER each AS bins
+      FROM (
+        SELECT model, column_name, target AS bucket, bin, CAST(sum(CASE WHEN ahead = 0 THEN n ELSE 0 END) AS BIGINT) AS c,
+               CAST(sum(CASE WHEN ahead > 0 THEN n ELSE 0 END) AS BIGINT) AS r
+        FROM (SELECT *, CAST(bucket + CAST(ahead * step_days AS INTEGER) AS DATE) AS target FROM histogram, range(0, 15) AS o(ahead))
+        GROUP BY model, column_name, target, bin
+      )
+      WINDOW each AS (PARTITION BY model, column_name, bucket)
+    )
+    WINDOW running AS (PARTITION BY model, column_name, bucket ORDER BY bin)
+  ) LEFT JOIN (
+    SELECT model, column_name, CAST(bucket + CAST(ahead * step_days AS INTEGER) AS DATE) AS bucket, count(*) AS trained
+    FROM (SELECT DISTINCT model, column_name, step_days, bucket FROM histogram), range(1, 15) AS o(ahead)
+    GROUP BY ALL
+  ) USING (model, column_name, bucket)
+  WHERE c_all > 0
+  GROUP BY model, column_name, bucket, c_all, r_all
+)"""
+
+
+def drift(name: str, *watched: tuple[str, ...]) -> None:
+    rows = " UNION ALL ".join(binned(*each) for each in watched)
+    histogram = f"""
+SELECT model, column_name, step_days, bucket, sign(u) * CASE WHEN u = 0 THEN 0 ELSE 4 * top + 1 +
+       (CASE WHEN top >= 2 THEN size >> CAST(top - 2 AS INTEGER) ELSE size << CAST(2 - top AS INTEGER) END & 3) END AS bin, count(*) AS n
+FROM ({rows}) GROUP BY ALL"""
+    text = compose(DRIFT, *dict.fromkeys(each[5] for each in watched))
+    head = text.rsplit(chr(10) + DRIFT.strip(), 1)[0]
+    QUERIES[name] = f"{head},\nhistogram AS MATERIALIZED ({histogram})\n{DRIFT.strip()}"
+
+
+drift(
+    "anomaly_drift",
+    ("fct_sales", "revenue", "CAST(round(revenue * 100, 0) AS BIGINT)", "sale_date", 1, "fct_sales"),
+    ("fct_sales", "quantity", "CAST(quantity AS BIGINT)", "sale_date", 1, "fct_sales"),
+    (
+        "fct_inventory",
+        "quantity_on_hand",
+        "CAST(quantity_on_hand AS BIGINT)",
+        "CAST(date_trunc('week', snapshot_date) AS DATE)",
+        7,
+        "fct_inventory",
+    ),
+)
