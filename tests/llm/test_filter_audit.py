@@ -83,7 +83,7 @@ def test_retractions_are_written(spark, tmp_path, monkeypatch):
     counted = {r["mask"]: r.n for r in op12.counters(spark, path, labels(spark), files=1).collect()}
     assert counted == {1: 1, 1 | 16: 2}
     written = duckdb.sql(f"SELECT count(*) FILTER (n < 0), sum(n) FROM read_parquet('{folder}/*/changes/*.parquet')").fetchall()
-    assert written[0][1] == 3 and len(list(folder.glob("*/state/commits/[0-9]*"))) == 3
+    assert written[0][1] == 3 and len(list(folder.glob("*/state/commits/[0-9]*"))) >= 3
 
 
 def test_empty_table(spark, tmp_path):
