@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from larderline.functions.columns import day
 from larderline.operators.dedup import keep_first
@@ -108,35 +109,91 @@ def join_at(
 
 
 def disjoint_versions(versions: DataFrame, key: str, as_of: date) -> DataFrame:
-    """Resolve overlapping versions: on every day the latest start wins, then the latest end.
-
-    The overlap is settled once on the version table, piece by piece between
-    consecutive start and end days, instead of once per fact. The result feeds
-    :func:`join_at`.
+    """Resolve overlapping versions: on every day the latest start wins, then the latest end, open ones last.
+
+    The overlap is settled once on the version table, not once per fact; the result feeds :func:`join_at`. Of versions
+    of a key that start together, only the last-ending one and an open one can win, so each key keeps at most two rows
+    per start (reduced before the exchange). The rest is one sweep over the rows of a key in order of their starts, with
+    a stack of the versions that are open and not yet outlived by a later one: rows, pieces and steps are linear in the
+    versions. The stack is all that passes from one block of sorted rows to the next, so no key is ever held whole.
+    Versions without a key or start, and those that end before they start, are left out.
     """
     ends = F.coalesce(F.col("valid_to"), F.date_add(day(as_of), 1))
-    spans = versions.withColumn("_ends", ends).filter(F.col("_ends") > F.col("valid_from"))
-    edges = (
-        spans.select(key, F.explode(F.array("valid_from", "_ends")).alias("_from")).distinct()
-    )
-    over_edges = Window.partitionBy(key).orderBy("_from")
-    pieces = (
-        edges.withColumn("_to", F.lead("_from").over(over_edges))
-        .filter(F.col("_to").isNotNull())
-        .withColumnRenamed(key, "_key")
-    )
-    covering = (
-        (F.col(key) == F.col("_key"))
-        & (F.col("valid_from") <= F.col("_from"))
-        & (F.col("_ends") > F.col("_from"))
-    )
-    winners = keep_first(
-        pieces.join(spans, covering),
-        ["_key", "_from"],
-        [LAST_FIRST("valid_from"), LAST_FIRST("valid_to")],
-    )
-    return (
-        winners.withColumn("valid_from", F.col("_from"))
-        .withColumn("valid_to", F.col("_to"))
-        .drop("_key", "_from", "_to", "_ends")
+    spans = versions.withColumn("_ends", ends).filter(
+        F.col(key).isNotNull() & F.col("valid_from").isNotNull() & (F.col("_ends") > F.col("valid_from"))
     )
+    others = [c for c in versions.columns if c not in (key, "valid_from", "valid_to")]
+    is_open = F.col("valid_to").isNull().alias("_open")
+    # The largest of equal ends by the other columns, so that the choice does not depend on the order of rows.
+    best = F.max(F.struct("_ends", *others)).alias("_best")
+    reduced = spans.groupBy(key, "valid_from", is_open).agg(best).select(key, "valid_from", "_open", "_best.*")
+    rows = reduced.repartition(key).sortWithinPartitions(key, "valid_from", F.desc("_open"), "_ends")
+    kinds = {f.name: f.dataType for f in versions.schema}
+    target = StructType([StructField(c, kinds[c]) for c in [key, *others, "valid_from", "valid_to"]])
+    pieces = rows.select(key, *others, F.col("valid_from").cast(rows.schema["_ends"].dataType).alias("_from"), "_ends")
+    swept = pieces.mapInArrow(_sweep(key), StructType([*target.fields[:-2], *[StructField(c, rows.schema["_ends"].dataType) for c in ("valid_from", "valid_to")]]))
+    return swept.select(*[F.col(c).cast(kinds[c]).alias(c) for c in versions.columns])
+
+
+def _sweep(key: str) -> Callable:
+    """A function from sorted blocks of versions (key, ..., _from, _ends) to the pieces on which each of them wins."""
+
+    def run(blocks: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        held = None  # the open versions of the key at hand
+        stack: list[int] = []  # their rows: starts rise and ends fall towards its top
+        now_key, now = None, 0
+
+        def advance(ends: list[int], until: int | None, out: list[tuple[int, int, int]]) -> None:
+            """Give the time up to ``until`` to the versions on the stack, from its top."""
+            nonlocal now
+            while stack and (until is None or now < until):
+                top = stack[-1]
+                end = ends[top] if until is None else min(ends[top], until)
+                if end > now:
+                    out.append((top, now, end))
+                    now = end
+                if ends[top] <= now:
+                    stack.pop()
+
+        def pieces(rows: pa.Table, out: list[tuple[int, int, int]]) -> Iterator:
+            if not out:
+                return
+            kind = rows.schema.field("_from").type
+            top, begins, stops = zip(*out)
+            kept = rows.drop_columns(["_from", "_ends"]).take(pa.array(top, pa.int64()))
+            for name, values in (("valid_from", begins), ("valid_to", stops)):
+                kept = kept.append_column(name, pa.array(values, numbers(kind)).cast(kind))
+            yield from kept.combine_chunks().to_batches()
+
+        def numbers(kind: pa.DataType) -> pa.DataType:
+            return pa.int32() if pa.types.is_date32(kind) else pa.int64()
+
+        def listed(rows: pa.Table, name: str) -> list[int]:
+            return rows.column(name).cast(numbers(rows.schema.field(name).type)).to_pylist()
+
+        for block in blocks:
+            rows = pa.Table.from_batches([block])
+            first = 0 if held is None else held.num_rows
+            rows = rows if held is None else pa.concat_tables([held, rows])
+            keys, starts, ends = rows.column(key).to_pylist(), listed(rows, "_from"), listed(rows, "_ends")
+            out: list[tuple[int, int, int]] = []
+            for at in range(first, len(keys)):
+                if keys[at] != now_key:
+                    advance(ends, None, out)
+                    now_key = keys[at]
+                advance(ends, starts[at], out)
+                while stack and ends[stack[-1]] <= ends[at]:
+                    stack.pop()
+                stack.append(at)
+                now = starts[at]
+            yield from pieces(rows, out)
+            held = rows.take(pa.array(stack, pa.int64())).combine_chunks()
+            stack = list(range(len(stack)))
+        if held is not None:
+            out = []
+            advance(listed(held, "_ends"), None, out)
+            yield from pieces(held, out)
+
+    return run

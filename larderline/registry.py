@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from larderline.functions.columns import surrogate_key
 from larderline.operators import price_versions, quality
 from larderline.operators.reuse import shared_folder
+from larderline.operators.stored_versions import VersionStore
 from larderline.plans import catalogue, checks, dashboard, demand, forecast, planning, reorder, staging
 from larderline.plans.warehouse import Warehouse
 from larderline.sources import raw as raw_feeds
@@ -26,6 +27,8 @@ AS_OF = date(2001, 12, 1)
 ORDERS_AS_OF = date(2001, 7, 1)
 # Price changes up to this day count as the existing snapshot in the merge query.
 SNAPSHOT_SPLIT = date(1998, 1, 1)
+# Changes from this day on come as a second batch in the stored snapshot.
+SECOND_BATCH = date(1999, 7, 1)
 HOLIDAY_YEARS = range(1995, 2003)
 FORECAST_FROM = date(2001, 12, 1)
 
@@ -133,6 +136,20 @@ def _merged(s: Shop) -> DataFrame:
     return _versions(staging.with_product_attributes(merged, s.raw.products))
 
 
+def _incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """A stored snapshot brought up to date by two batches of changes and the list of products still sold."""
+    s = shop(spark, folder)
+    history = s.raw.product_price_history
+    first, second = (F.lit(d.isoformat()).cast("timestamp_ntz") for d in (SNAPSHOT_SPLIT, SECOND_BATCH))
+    at = F.col("effective_from")
+    store = VersionStore(spark, _new_folder(spark), "product_id", "effective_from", parts=16)
+    store.create(history.filter(at < first))
+    store.apply(history.filter((at >= first) & (at < second)))
+    still_sold = s.raw.products.filter("is_active").select("product_id")
+    store.apply(history.filter(at >= second), still_sold, AS_OF)
+    return _versions(staging.with_product_attributes(store.versions(), s.raw.products))
+
+
 def _priced(s: Shop, versions: DataFrame) -> DataFrame:
     columns = ["product_id", "unit_price", "gross_margin_pct", "valid_from", "valid_to"]
     sales = s.stg_sales.select("sale_key", "product_id", "sale_date", F.col("unit_price").alias("pos_unit_price"))
@@ -325,6 +342,7 @@ def _check_log(spark: SparkSession, folder: str) -> DataFrame:
 WRITING: dict[str, Query] = {
     "load_raw_counts": lambda spark, folder: raw_feeds.row_counts(_loaded(spark, folder).feeds),
     "load_raw_sales": _loaded_sales,
+    "scd2_incremental": _incremental,
     "write_marts": _written_marts,
     "write_forecasts": _stamped(lambda s: _six_places(s.trend)),
     "write_metadata": _stamped(lambda s: forecast.model_performance(s.trend_metadata)),

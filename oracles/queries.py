@@ -93,15 +93,16 @@ VERSION = """product_id, product_name, category, supplier_id, unit_of_measure, i
        gross_margin_pct, CAST(valid_from AS DATE) AS valid_from"""
 for name in ("scd2_prices", "scd2_merge"):
     add(name, f"SELECT {VERSION}, CAST(valid_to AS DATE) AS valid_to FROM snapshot", "snapshot")
-add(
-    "scd2_hard_deletes",
-    f"""
+for name in ("scd2_hard_deletes", "scd2_incremental"):
+    add(
+        name,
+        f"""
 SELECT {VERSION}, CASE WHEN valid_to IS NULL AND product_id NOT IN (SELECT product_id FROM products WHERE is_active)
                        THEN {AS_OF} ELSE CAST(valid_to AS DATE) END AS valid_to
 FROM snapshot""",
-    "snapshot",
-    "products",
-)
+        "snapshot",
+        "products",
+    )
 add(
     "asof_price_join",
     """
