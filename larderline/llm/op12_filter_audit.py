@@ -5,10 +5,11 @@ D (holds one of # $ % & * |), E (identical to the text of a smaller doc_id). Wha
 the counts of documents by part and by mask, the set of filters that a document fails.
 
 A to D need the text alone. E is incremental: the files are read as a stream in available-now micro-batches, and keyed
-state holds, for each text (by its SHA-256), the smallest doc_id met and how its documents are counted. When a
-smaller id arrives later, the earlier documents are retracted from the part counters and counted again with E. Increments
-are written by an exactly-once file sink and added up at the end: state, offsets and sink lie in the shared folder, so a
-run that loses executors goes on from the last batch.
+state holds, for each text (by its SHA-256), the smallest doc_id met and how its documents are counted; texts are dealt
+by hash to groups of a few hundred, which are read and written together. When a smaller id arrives later, the earlier
+documents are retracted from the part counters and counted again with E. Increments are written by an exactly-once file
+sink and added up at the end: state, offsets and sink lie in the shared folder, so a run that loses executors goes on
+from the last batch.
 
 Copies are reduced before they meet: each map task sends, for a text, one row for each way in which its documents with
 the smallest id are counted and one for each way of the others, so a text that a third of the documents share
@@ -112,42 +113,51 @@ def reduced(rows: DataFrame) -> DataFrame:
 
 
 CHANGE = "part string, mask int, good boolean, toxic boolean, n long"
-STATE = "doc_id long, part array<string>, good array<boolean>, toxic array<boolean>, n array<long>"
+#: The state of a group of texts: one entry for each way in which the documents of a text's smallest id are counted.
+STATE = "key array<binary>, doc_id array<long>, part array<string>, good array<boolean>, toxic array<boolean>, n array<long>"
 
 
-def changes(key: tuple, frames: Iterator, state) -> Iterator:
-    """Increments of the part counters by the rows of one text; retractions when a smaller id comes."""
+def changes(group: tuple, frames: Iterator, state) -> Iterator:
+    """Increments of the part counters by the rows of a group of texts; retractions when a smaller id of a text comes."""
     import pandas as pd
 
-    least, ways = None, Counter()
+    least: dict[bytes, int] = {}
+    ways: dict[bytes, Counter] = {}
     if state.exists:
-        name, parts, good, toxic, counts = state.get
-        least, ways = int(name), Counter(dict(zip(zip(parts, good, toxic), map(int, counts))))
+        for key, name, part, good, toxic, n in zip(*state.get):
+            key = bytes(key)
+            least[key] = int(name)
+            ways.setdefault(key, Counter())[part, good, toxic] = int(n)
     out: Counter = Counter()
-    before = least
+    copy = BIT["E"]
     for frame in frames:
-        for mask, name, part, good, toxic, n in zip(*[frame[c].tolist() for c in ("mask", "doc_id", "part", "good", "toxic", "n")]):
+        missing = frame["doc_id"].isna().tolist()
+        rows = zip(*[frame[c].tolist() for c in ("key", "mask", "doc_id", "part", "good", "toxic", "n")], missing)
+        for key, mask, name, part, good, toxic, n, is_missing in rows:
             way = part, good, toxic
-            if pd.isna(name):
+            if is_missing:
                 out[(*way, mask)] += n
                 continue
+            known = least.get(key)
             if n < 0:
-                out[(*way, mask | BIT["E"])] -= n
+                out[(*way, mask | copy)] -= n
                 continue
-            if least is not None and name > least:
-                out[(*way, mask | BIT["E"])] += n
+            if known is not None and name > known:
+                out[(*way, mask | copy)] += n
                 continue
-            if least is not None and name < least:
-                for known, m in ways.items():
-                    out[(*known, mask)] -= m
-                    out[(*known, mask | BIT["E"])] += m
-                ways.clear()
-            least = int(name)
-            ways[way] += n
+            if known is None:
+                ways[key] = Counter()
+            elif name < known:
+                for old, m in ways[key].items():
+                    out[(*old, mask)] -= m
+                    out[(*old, mask | copy)] += m
+                ways[key].clear()
+            least[key] = int(name)
+            ways[key][way] += n
             out[(*way, mask)] += n
-    if least is not None:
-        known = list(ways)
-        state.update((least, *[[w[i] for w in known] for i in range(3)], [ways[w] for w in known]))
+    if least:
+        entries = [(key, least[key], *way, n) for key, of in ways.items() for way, n in of.items()]
+        state.update(tuple(map(list, zip(*entries))))
     rows = [(part, mask, good, toxic, n) for (part, good, toxic, mask), n in out.items() if n]
     if rows:
         yield pd.DataFrame(rows, columns=["part", "mask", "good", "toxic", "n"])
@@ -163,10 +173,18 @@ def added(rows: DataFrame) -> DataFrame:
     return arrow_map(rows, CHANGE, total)
 
 
-def counters(spark: SparkSession, documents_path: str, labels: DataFrame, batches: int = 4, files: int | None = None) -> DataFrame:
+def counters(
+    spark: SparkSession,
+    documents_path: str,
+    labels: DataFrame,
+    batches: int = 4,
+    files: int | None = None,
+    group_texts: int = 200,
+) -> DataFrame:
     """n documents by part, mask, good and toxic, after all files have gone through the stream.
 
-    ``files`` a micro-batch; by default as many as make ``batches`` of them.
+    ``files`` a micro-batch; by default as many as make ``batches`` of them. Texts are dealt by hash to state groups of
+    about ``group_texts``, since a call of the state function costs more than a text.
     """
     held = spark.read.parquet(documents_path)
     names = held.inputFiles()
@@ -179,7 +197,10 @@ def counters(spark: SparkSession, documents_path: str, labels: DataFrame, batche
     folder = f"{shared_folder(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
     stream = spark.readStream.schema(held.schema).option("maxFilesPerTrigger", files).parquet(source)
     rows = reduced(marked(judged(stream), labels))
-    made = rows.groupBy("key").applyInPandasWithState(changes, CHANGE, STATE, "append", GroupStateTimeout.NoTimeout)
+    n_rows = held.count()
+    groups = max(1, n_rows // group_texts)
+    dealt = rows.withColumn("group", F.pmod(F.xxhash64("key"), F.lit(groups).cast("long")))
+    made = dealt.groupBy("group").applyInPandasWithState(changes, CHANGE, STATE, "append", GroupStateTimeout.NoTimeout)
     provider = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(provider, None)
     spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
