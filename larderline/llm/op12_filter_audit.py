@@ -180,11 +180,13 @@ def counters(
     batches: int = 4,
     files: int | None = None,
     group_texts: int = 200,
+    partition_rows: int = 20_000,
 ) -> DataFrame:
     """n documents by part, mask, good and toxic, after all files have gone through the stream.
 
     ``files`` a micro-batch; by default as many as make ``batches`` of them. Texts are dealt by hash to state groups of
-    about ``group_texts``, since a call of the state function costs more than a text.
+    about ``group_texts``, since a call of the state function costs more than a text. The state has the session's number
+    of shuffle partitions, fewer if they would get less than ``partition_rows``.
     """
     held = spark.read.parquet(documents_path)
     names = held.inputFiles()
@@ -201,16 +203,23 @@ def counters(
     groups = max(1, n_rows // group_texts)
     dealt = rows.withColumn("group", F.pmod(F.xxhash64("key"), F.lit(groups).cast("long")))
     made = dealt.groupBy("group").applyInPandasWithState(changes, CHANGE, STATE, "append", GroupStateTimeout.NoTimeout)
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider, None)
-    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    # A state store costs some megabytes of disk for each partition, however few texts it holds.
+    sessions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    settings = {
+        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.shuffle.partitions": str(max(1, min(sessions, n_rows // partition_rows))),
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         query = (
             added(made).writeStream.format("parquet").outputMode("append").option("path", f"{folder}/changes")
             .option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
         )
     finally:
-        spark.conf.unset(provider) if before is None else spark.conf.set(provider, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
     query.awaitTermination()
     written = spark.read.schema(CHANGE).parquet(f"{folder}/changes")
     return written.groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n")).where("n != 0")
