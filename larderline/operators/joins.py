@@ -1,43 +1,11 @@
-"""Join helpers: measured broadcasts and joins that adaptive execution can split."""
+"""Join helpers: joins that adaptive execution can split, tables dealt out before they grow."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
-
-# A lookup is broadcast only when its measured rows and bytes stay below both.
-BROADCAST_ROWS = 500_000
-BROADCAST_BYTES = 64 * 2**20
-FIXED_WIDTH = 16
-
-
-def widest_rows(tables: dict[str, DataFrame]) -> dict[str, int]:
-    """Bytes of the widest row of several tables: string payload plus fixed slots, in one job."""
-
-    def widest(name: str, df: DataFrame) -> DataFrame:
-        text = [f"coalesce(octet_length(`{f.name}`), 0)" for f in df.schema if isinstance(f.dataType, StringType)]
-        payload = " + ".join(["0", *text])
-        slots = FIXED_WIDTH * len(df.columns)
-        return df.selectExpr(f"'{name}' AS name", f"bigint({payload}) AS w").groupBy("name").agg(
-            (F.max("w") + slots).alias("w")
-        )
-
-    parts = [widest(name, df) for name, df in tables.items()]
-    return {row["name"]: row["w"] for row in reduce(DataFrame.union, parts).collect()}
-
-
-def fits_broadcast(rows: int, row_bytes: int) -> bool:
-    return rows <= BROADCAST_ROWS and rows * row_bytes <= BROADCAST_BYTES
-
-
-def broadcast_if(small: bool, df: DataFrame) -> DataFrame:
-    """Hint a broadcast for a side measured to be small; otherwise leave the choice to the planner."""
-    return F.broadcast(df) if small else df
-
 
 def splittable_left_join(facts: DataFrame, lookup: DataFrame, on: Sequence[str]) -> DataFrame:
     """facts LEFT JOIN lookup, planned so that a hot key's facts can be split.

@@ -93,12 +93,91 @@ def _result(check: Check, passed: Column, **details: Column) -> Column:
     )
 
 
-def _fused(df: DataFrame, checks: list[Check], as_of: date) -> DataFrame:
-    """Row-wise, row-count and freshness checks of one table from a single aggregate."""
-    measures = [F.count(F.lit(1)).alias("n")]
+@dataclass(frozen=True)
+class Keyed:
+    """A column whose values are counted one by one; with ``parent``, they are looked up in its ``parent_column``."""
+
+    column: str
+    parent: DataFrame | None = None
+    parent_column: str | None = None
+
+
+def counted_once(df: DataFrame, sums: dict[str, Column], maxima: dict[str, Column], keyed: dict[str, Keyed]) -> DataFrame:
+    """One row of everything that checks need to know of a table, from one pass over it and one exchange.
+
+    Columns: ``n`` rows, the sums and maxima by name, and for each entry of ``keyed`` ``<name>_repeated`` (values seen
+    more than once, all NULLs being one value), ``<name>_null_repeated`` (whether NULL is one of them), ``<name>_lost``
+    (rows whose value is no value of the parent) and ``<name>_parent_null``.
+
+    Each row becomes one row for its measures and one for each keyed column (entry, value as text); partial counts
+    reduce them before the exchange, so a value held by a third of the table is one row of each task. Parents bring
+    their values as rows of the same form, so children meet them without a join.
+    """
+    measures = {**sums, **maxima}
+    if not keyed:
+        return df.agg(
+            F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(m) for m, c in sums.items()], *[F.max(c).alias(m) for m, c in maxima.items()]
+        )
+    named = df.select(*[c.alias(f"_m_{m}") for m, c in measures.items()], *[F.col(k.column).cast("string").alias(f"_v_{x}") for x, k in keyed.items()])
+    kinds = {m: named.schema[f"_m_{m}"].dataType for m in measures}
+    whole = F.struct(
+        F.lit("").alias("entry"), F.lit(None).cast("string").alias("value"), *[F.col(f"_m_{m}").alias(m) for m in measures]
+    )
+    single = [
+        F.struct(F.lit(x).alias("entry"), F.col(f"_v_{x}").alias("value"), *[F.lit(None).cast(kinds[m]).alias(m) for m in measures])
+        for x in keyed
+    ]
+    rows = named.select(F.inline(F.array(whole, *single))).withColumns({"_own": F.lit(1).cast("bigint"), "_known": F.lit(0)})
+    for x, k in keyed.items():
+        if k.parent is not None:
+            values = k.parent.select(F.lit(x).alias("entry"), F.col(k.parent_column).cast("string").alias("value"))
+            empty = {m: F.lit(None).cast(kinds[m]) for m in measures}
+            rows = rows.unionByName(values.withColumns({**empty, "_own": F.lit(0).cast("bigint"), "_known": F.lit(1)}))
+    by_value = rows.groupBy("entry", "value").agg(
+        F.sum("_own").alias("_own"), F.max("_known").alias("_known"), *[F.sum(m).alias(m) for m in sums], *[F.max(m).alias(m) for m in maxima]
+    )
+    own, is_null = F.col("_own"), F.col("value").isNull()
+    out = [F.coalesce(F.sum(F.when(F.col("entry") == "", own)), F.lit(0)).cast("bigint").alias("n")]
+    out += [F.sum(m).alias(m) for m in sums] + [F.max(m).alias(m) for m in maxima]
+    for x in keyed:
+        here = F.col("entry") == x
+        out += [
+            F.count_if(here & (own > 1)).alias(f"{x}_repeated"),
+            F.count_if(here & (own > 1) & is_null).alias(f"{x}_null_repeated"),
+            F.coalesce(F.sum(F.when(here & (F.col("_known") == 0) & ~is_null, own)), F.lit(0)).cast("bigint").alias(f"{x}_lost"),
+            F.coalesce(F.bool_or(here & is_null & (F.col("_known") == 1)), F.lit(False)).alias(f"{x}_parent_null"),
+        ]
+    return by_value.agg(*out)
+
+
+def _flag(condition: str) -> Column:
+    return F.expr(f"CASE WHEN {condition} THEN 1L ELSE 0L END")
+
+
+def _keyed(checks: list[Check], parents: dict[str, DataFrame]) -> dict[str, Keyed]:
+    found = {}
+    for i, check in enumerate(checks):
+        if check.expectation == UNIQUE:
+            found[f"k{i}"] = Keyed(check.column)
+        elif check.expectation == REFERENCE:
+            found[f"k{i}"] = Keyed(check.column, parents[check.options["parent"]], check.options["parent_column"])
+    return found
+
+
+def _table_results(df: DataFrame, checks: list[Check], parents: dict[str, DataFrame], as_of: date) -> DataFrame:
+    """All checks of one table from one pass over it."""
+    sums, maxima = {}, {}
+    for i, check in enumerate(checks):
+        if check.expectation == FRESH:
+            maxima[f"m{i}"] = F.col(check.column).cast("date")
+        elif check.expectation in (NO_NULLS, ACCEPTED, BETWEEN):
+            sums[f"m{i}"] = _flag(bad_rows(check))
+    counted = counted_once(df, sums, maxima, _keyed(checks, parents))
     results = []
     for i, check in enumerate(checks):
         m, o = F.col(f"m{i}"), check.options
+        if check.expectation not in (ROW_COUNT, FRESH, UNIQUE, REFERENCE):
+            m = F.coalesce(m, F.lit(0).cast("bigint"))
         if check.expectation == ROW_COUNT:
             results.append(
                 _result(
@@ -109,16 +188,19 @@ def _fused(df: DataFrame, checks: list[Check], as_of: date) -> DataFrame:
                     max_rows=F.lit(o["high"]),
                 )
             )
-            continue
-        if check.expectation == FRESH:
-            measures.append(F.max(F.col(check.column).cast("date")).alias(f"m{i}"))
+        elif check.expectation == FRESH:
             age = F.datediff(day(as_of), m)
             results.append(
                 _result(check, age <= o["max_days"], days_since_latest=age, max_allowed=F.lit(o["max_days"]))
             )
-            continue
-        measures.append(F.expr(f"count_if({bad_rows(check)}) AS m{i}"))
-        if check.expectation == NO_NULLS:
+        elif check.expectation == UNIQUE:
+            repeated = F.col(f"k{i}_repeated")
+            results.append(_result(check, repeated == 0, duplicate_count=repeated))
+        elif check.expectation == REFERENCE:
+            has_null = F.col(f"k{i}_parent_null")
+            orphans = F.when(has_null, F.lit(0).cast("bigint")).otherwise(F.col(f"k{i}_lost"))
+            results.append(_result(check, orphans == 0, orphan_count=orphans, parent_has_null=has_null))
+        elif check.expectation == NO_NULLS:
             results.append(_result(check, m == 0, null_count=m))
         elif check.expectation == ACCEPTED:
             allowed = F.array(*[F.lit(v) for v in o["values"]])
@@ -137,60 +219,22 @@ def _fused(df: DataFrame, checks: list[Check], as_of: date) -> DataFrame:
                     bad_count=m,
                 )
             )
-    return df.agg(*measures).select(F.inline(F.array(*results)))
-
-
-def _unique(df: DataFrame, check: Check) -> DataFrame:
-    """Number of values seen more than once; all NULLs together count as one value."""
-    repeated = df.groupBy(check.column).agg(F.count(F.lit(1)).alias("n")).agg(F.count_if(F.col("n") > 1).alias("m"))
-    return repeated.select(F.inline(F.array(_result(check, F.col("m") == 0, duplicate_count=F.col("m")))))
+    return counted.select(F.inline(F.array(*results)))
 
 
 def orphan_count(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """One row (orphans, parent_has_null) under NOT IN rules: a NULL in the parent hides all orphans.
-
-    The child is reduced to one row per key value before it meets the parent,
-    so a key held by a third of the table is a single row in the join.
-    """
-    keys = (
-        child.filter(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("_key"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    parent_key = F.col(parent_column)
-    known = parent.select(parent_key.alias("_parent")).filter(F.col("_parent").isNotNull())
-    has_null = parent.agg(F.coalesce(F.bool_or(parent_key.isNull()), F.lit(False))).scalar()
-    lost = keys.join(known, F.col("_key") == F.col("_parent"), "left_anti")
-    return lost.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_lost")).select(
-        F.when(has_null, F.lit(0).cast("bigint")).otherwise(F.col("_lost")).alias("orphans"),
-        has_null.alias("parent_has_null"),
+    """One row (orphans, parent_has_null) under NOT IN rules: a NULL in the parent hides all orphans."""
+    counted = counted_once(child, {}, {}, {"k": Keyed(column, parent, parent_column)})
+    has_null = F.col("k_parent_null")
+    return counted.select(
+        F.when(has_null, F.lit(0).cast("bigint")).otherwise(F.col("k_lost")).alias("orphans"), has_null.alias("parent_has_null")
     )
 
 
-def _references(df: DataFrame, check: Check, parent: DataFrame) -> DataFrame:
-    counted = orphan_count(df, check.column, parent, check.options["parent_column"])
-    result = _result(
-        check,
-        F.col("orphans") == 0,
-        orphan_count=F.col("orphans"),
-        parent_has_null=F.col("parent_has_null"),
-    )
-    return counted.select(F.inline(F.array(result)))
-
-
 def run_checks(tables: dict[str, DataFrame], checks: Sequence[Check], as_of: date) -> DataFrame:
-    """(expectation, table_name, column_name, passed, details as JSON), one row per check."""
-    parts: list[DataFrame] = []
-    for name in dict.fromkeys(check.table for check in checks):
-        own = [check for check in checks if check.table == name]
-        fused = [check for check in own if check.expectation not in (UNIQUE, REFERENCE)]
-        if fused:
-            parts.append(_fused(tables[name], fused, as_of))
-        for check in own:
-            if check.expectation == UNIQUE:
-                parts.append(_unique(tables[name], check))
-            elif check.expectation == REFERENCE:
-                parts.append(_references(tables[name], check, tables[check.options["parent"]]))
+    """(expectation, table_name, column_name, passed, details as JSON), one row per check; each table is read once."""
+    names = dict.fromkeys(check.table for check in checks)
+    parts = [_table_results(tables[name], [c for c in checks if c.table == name], tables, as_of) for name in names]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -252,62 +296,45 @@ def run_model_tests(
 
     ``failures`` counts failing rows; for uniqueness it counts repeated values
     and ignores NULLs, and a relationship ignores NULLs on both sides. The model
-    is evaluated once: its counts are taken per unique key and then added up, so
-    uniqueness needs no second pass over an expensive model; further unique columns take a grouped count each. A kind
-    of test that is not known is refused, and freshness needs ``as_of``.
+    is evaluated once, whatever its tests. A kind of test that is not known is
+    refused, and freshness needs ``as_of``.
     """
     unknown = [check.expectation for check in checks if check.expectation not in TEST_NAMES]
     if unknown:
         raise ValueError(f"{model}: no such test: {', '.join(unknown)}")
-    keys = [check for check in checks if check.expectation == UNIQUE]
-    plain = [check for check in checks if check.expectation in (NO_NULLS, ACCEPTED, BETWEEN)]
-    bad = {f"m{i}": bad_rows(check) for i, check in enumerate(plain)}
-
-    def row(check: Check, failures: str) -> str:
-        fixed = {"layer": layer, "model": model, "column_name": check.column, "test": TEST_NAMES[check.expectation]}
-        named = ", ".join(f"'{name}', {_text(value)}" for name, value in fixed.items())
-        return f"named_struct({named}, 'failures', {failures}, 'passed', {failures} = 0)"
-
-    rows = [row(check, f"coalesce(m{i}, 0L)") for i, check in enumerate(plain)]
-    counts = [F.expr(f"count_if({condition}) AS {name}") for name, condition in bad.items()]
-    if keys:
-        grouped = df.groupBy(F.col(keys[0].column).alias("_key")).agg(F.expr("count(1) AS _n"), *counts)
-        repeated = F.expr("count_if(_n > 1 AND _key IS NOT NULL) AS _repeated")
-        totals = grouped.agg(repeated, *[F.expr(f"sum({name}) AS {name}") for name in bad])
-        rows.append(row(keys[0], "_repeated"))
-    elif counts:
-        totals = df.agg(*counts)
-    parts = [totals.selectExpr(f"inline(array({', '.join(rows)}))")] if rows else []
-    for check in keys[1:]:
-        values = df.groupBy(F.col(check.column).alias("_key")).agg(F.expr("count(1) AS _n"))
-        repeated = values.agg(F.expr("count_if(_n > 1 AND _key IS NOT NULL) AS _repeated"))
-        parts.append(repeated.selectExpr(f"inline(array({row(check, '_repeated')}))"))
-    whole = [check for check in checks if check.expectation in (ROW_COUNT, FRESH)]
-    if any(check.expectation == FRESH for check in whole) and as_of is None:
+    if any(check.expectation == FRESH for check in checks) and as_of is None:
         raise ValueError(f"{model}: freshness needs as_of")
-    if whole:
-        # One failure at most: the table's size or age is out of bounds.
-        verdicts = _fused(df, whole, as_of).groupBy("expectation", "column_name").agg(
-            F.sum((~F.col("passed")).cast("bigint")).alias("failures")
-        )
-        names = F.create_map(*[F.lit(x) for kind in (ROW_COUNT, FRESH) for x in (kind, TEST_NAMES[kind])])
-        parts.append(
-            verdicts.select(
-                F.lit(layer).alias("layer"),
-                F.lit(model).alias("model"),
-                "column_name",
-                names[F.col("expectation")].alias("test"),
-                "failures",
-                (F.col("failures") == 0).alias("passed"),
-            )
+    plain = {f"m{i}": check for i, check in enumerate(checks) if check.expectation in (NO_NULLS, ACCEPTED, BETWEEN)}
+    latest = {f"m{i}": F.col(check.column).cast("date") for i, check in enumerate(checks) if check.expectation == FRESH}
+    counted = counted_once(df, {m: _flag(bad_rows(check)) for m, check in plain.items()}, latest, _keyed(list(checks), parents))
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    # Bounds on size or age of one column are one test: it counts the bounds that do not hold.
+    failing: dict[tuple[str, str, int | None], Column] = {}
+    for i, check in enumerate(checks):
+        if check.expectation == UNIQUE:
+            failures = F.col(f"k{i}_repeated") - F.col(f"k{i}_null_repeated")
+        elif check.expectation == REFERENCE:
+            failures = F.col(f"k{i}_lost")
+        elif check.expectation == ROW_COUNT:
+            failures = F.when(F.col("n").between(check.options["low"], check.options["high"]), zero).otherwise(one)
+        elif check.expectation == FRESH:
+            failures = F.when(F.datediff(day(as_of), f"m{i}") <= check.options["max_days"], zero).otherwise(one)
+        else:
+            failures = F.coalesce(F.col(f"m{i}"), zero)
+        name = check.expectation, check.column, None if check.expectation in (ROW_COUNT, FRESH) else i
+        failing[name] = failing[name] + failures if name in failing else failures
+    rows = [
+        F.struct(
+            F.lit(layer).alias("layer"),
+            F.lit(model).alias("model"),
+            F.lit(column).alias("column_name"),
+            F.lit(TEST_NAMES[expectation]).alias("test"),
+            failures.alias("failures"),
+            (failures == 0).alias("passed"),
         )
-    for check in checks:
-        if check.expectation == REFERENCE:
-            parent = parents[check.options["parent"]]
-            column = check.options["parent_column"]
-            lost = orphan_count(df, check.column, parent.filter(F.col(column).isNotNull()), column)
-            parts.append(lost.selectExpr(f"inline(array({row(check, 'orphans')}))"))
-    return reduce(DataFrame.unionByName, parts)
+        for (expectation, column, _), failures in failing.items()
+    ]
+    return counted.select(F.inline(F.array(*rows)))
 
 
 TEST_NAMES = {

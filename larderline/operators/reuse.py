@@ -1,10 +1,10 @@
-"""Keeping a small result that several later steps read."""
+"""The folder that driver and executors share."""
 
 from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -26,8 +26,3 @@ def shared_folder(spark: SparkSession) -> str:
     ensure_checkpoint_dir(spark)
     return spark.sparkContext.getCheckpointDir()
 
-
-def kept(df: DataFrame) -> DataFrame:
-    """Compute once and store reliably: later steps read the stored rows, also after an executor is lost."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

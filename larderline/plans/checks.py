@@ -17,7 +17,9 @@ from larderline.operators.anomaly import Metric, bucket_metrics, fill_gaps, scor
 from larderline.operators.drift import Watched, divergence, histograms
 from larderline.operators.quality import (
     Check,
+    Keyed,
     accepted_values,
+    counted_once,
     fresh,
     no_nulls,
     references,
@@ -343,25 +345,24 @@ def load_spot_checks(warehouse: Warehouse) -> DataFrame:
     """(check_name, value): sales of known stores, of known products, stock-out rate, repriced products."""
     raw = warehouse.raw
 
-    def known(column: str, parent: DataFrame, name: str) -> DataFrame:
-        counted = raw.pos_sales.groupBy(F.col(column).alias("_key")).agg(F.count(F.lit(1)).alias("n"))
-        kept = counted.join(parent.select(F.col(column).alias("_key")), "_key", "left_semi")
-        return kept.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("double").alias("value")).select(
-            F.lit(name).alias("check_name"), "value"
+    keyed = {"store": Keyed("store_id", raw.stores, "store_id"), "product": Keyed("product_id", raw.products, "product_id")}
+    nulls = {k: F.col(of.column).isNull().cast("bigint") for k, of in keyed.items()}
+    counted = counted_once(raw.pos_sales, nulls, {}, keyed)
+    found = [
+        F.struct(
+            F.lit(f"Sales with valid {k}").alias("check_name"),
+            (F.col("n") - F.col(f"{k}_lost") - F.coalesce(k, F.lit(0))).cast("double").alias("value"),
         )
-
+        for k in keyed
+    ]
+    known = counted.select(F.inline(F.array(*found)))
     rate = stockout_rate(warehouse).select(
         F.lit("Inventory stockout rate").alias("check_name"), F.col("pct_stockout").alias("value")
     )
     repriced = repriced_products(warehouse).agg(F.count(F.lit(1)).cast("double").alias("value")).select(
         F.lit("Products with price changes").alias("check_name"), "value"
     )
-    return (
-        known("store_id", raw.stores, "Sales with valid store")
-        .unionByName(known("product_id", raw.products, "Sales with valid product"))
-        .unionByName(rate)
-        .unionByName(repriced)
-    )
+    return known.unionByName(rate).unionByName(repriced)
 
 
 def stockout_rate(warehouse: Warehouse) -> DataFrame:

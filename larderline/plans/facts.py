@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larderline.functions import labels
@@ -12,6 +12,7 @@ from larderline.functions.columns import day, in_cents, rounded_ratio, to_units
 from larderline.operators.joins import splittable_left_join
 from larderline.operators.price_versions import join_at
 from larderline.plans.dimensions import current_products
+from larderline.plans.staging import stg_inventory
 
 STORE_PRODUCT = ["store_id", "product_id"]
 
@@ -24,7 +25,19 @@ def stock_levels(stg_inventory: DataFrame) -> DataFrame:
     )
 
 
-def fct_inventory(stg_inventory: DataFrame, dim_stores: DataFrame, dim_products: DataFrame) -> DataFrame:
+LEVELS = ["on_hand_sum", "on_hand_count"]
+
+
+def with_levels(inventory_snapshots: DataFrame) -> DataFrame:
+    """Raw inventory with the sum and count of on-hand units of its store and product.
+
+    A pair holds one row a week, so this is one exchange of narrow raw rows; keys and flags are made after it.
+    """
+    units, pair = F.col("quantity_on_hand").cast("int"), Window.partitionBy(*STORE_PRODUCT)
+    return inventory_snapshots.withColumns({"on_hand_sum": F.sum(units).over(pair), "on_hand_count": F.count(units).over(pair)})
+
+
+def fct_inventory(inventory_snapshots: DataFrame, dim_stores: DataFrame, dim_products: DataFrame) -> DataFrame:
     """One row per store, product and snapshot day, with stock cover and status.
 
     Days of stock = on hand / (average level / 7) to one decimal, from exact integers.
@@ -49,7 +62,7 @@ def fct_inventory(stg_inventory: DataFrame, dim_stores: DataFrame, dim_products:
         .otherwise("healthy")
     )
     return (
-        splittable_left_join(stg_inventory, stock_levels(stg_inventory), STORE_PRODUCT)
+        stg_inventory(with_levels(inventory_snapshots), LEVELS)
         .join(stores, "store_id", "left")
         .join(products, "product_id", "left")
         .select(

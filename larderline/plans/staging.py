@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -54,8 +55,8 @@ def stg_suppliers(suppliers: DataFrame) -> DataFrame:
     )
 
 
-def stg_inventory(inventory_snapshots: DataFrame) -> DataFrame:
-    """One row per store, product and snapshot day."""
+def stg_inventory(inventory_snapshots: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
+    """One row per store, product and snapshot day; ``carried`` columns are kept as they are."""
     on_hand = F.col("quantity_on_hand")
     return inventory_snapshots.select(
         surrogate_key("store_id", "product_id", "snapshot_date").alias("inventory_snapshot_key"),
@@ -67,6 +68,7 @@ def stg_inventory(inventory_snapshots: DataFrame) -> DataFrame:
         integer("reorder_qty"),
         true_when(on_hand == 0).alias("is_stockout"),
         true_when((on_hand > 0) & (on_hand <= F.col("reorder_point"))).alias("is_below_reorder_point"),
+        *carried,
     )
 
 

@@ -59,7 +59,7 @@ class Warehouse:
 
     @cached_property
     def fct_inventory(self) -> DataFrame:
-        return facts.fct_inventory(self.stg_inventory, self.dim_stores, self.dim_products)
+        return facts.fct_inventory(self.raw.inventory_snapshots, self.dim_stores, self.dim_products)
 
     @cached_property
     def fct_purchase_orders(self) -> DataFrame:
@@ -90,7 +90,7 @@ class Warehouse:
 
         stores = put("dim_stores", self.dim_stores)
         products = put("dim_products", self.dim_products)
-        inventory = put("fct_inventory", facts.fct_inventory(self.stg_inventory, stores, products), "snapshot_date")
+        inventory = put("fct_inventory", facts.fct_inventory(self.raw.inventory_snapshots, stores, products), "snapshot_date")
         put(
             "fct_purchase_orders",
             facts.fct_purchase_orders(self.stg_purchase_orders, stores, products, self.stg_suppliers, as_of_orders),

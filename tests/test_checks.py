@@ -3,6 +3,8 @@
 import json
 from datetime import date, timedelta
 
+from pyspark.sql import functions as F
+
 from larderline.operators import anomaly, quality as q
 
 AS_OF = date(2023, 12, 31)
@@ -76,3 +78,35 @@ def test_missing_day_counts_as_zero_and_is_anomalous(spark):
     gap = out[8]
     assert gap["value"] == 0.0 and gap["is_anomalous"] and gap["z_score"] < -3
     assert all(r["z_score"] is None for r in out[:7])
+
+
+def test_one_pass_counts_equal_separate_ones(spark):
+    rows = [(i, None if i % 10 == 0 else f"K{i % 7}", None if i < 3 else i % 5, i % 4) for i in range(200)] + [(1, "K1", 99, 0)]
+    t = spark.createDataFrame(rows, "id int, k string, parent int, v int")
+    parents = spark.createDataFrame([(0,), (1,), (1,), (2,)], "p int")
+    with_null = spark.createDataFrame([(0,), (None,)], "p int")
+    keyed = {
+        "a": q.Keyed("id"),
+        "b": q.Keyed("k"),
+        "c": q.Keyed("parent", parents, "p"),
+        "d": q.Keyed("parent", with_null, "p"),
+    }
+    got = q.counted_once(t, {"s": F.col("v")}, {"x": F.col("v")}, keyed).first()
+    assert (got.n, got.s, got.x) == (201, sum(r[3] for r in rows), 3)
+    assert (got.a_repeated, got.a_null_repeated) == (1, 0) and (got.b_repeated, got.b_null_repeated) == (8, 1)
+    assert (got.c_lost, got.c_parent_null) == (sum(r[2] in (3, 4, 99) for r in rows if r[2] is not None), False)
+    assert (got.d_lost, got.d_parent_null) == (sum(r[2] != 0 for r in rows if r[2] is not None), True)
+    empty = q.counted_once(t.limit(0), {"s": F.col("v")}, {}, keyed).first()
+    assert (empty.n, empty.s, empty.a_repeated, empty.c_lost, empty.d_parent_null) == (0, None, 0, 0, True)
+
+
+def test_model_tests_build_the_model_once(spark):
+    t = spark.range(100).selectExpr("id", "id % 7 AS k", "id % 3 AS p")
+    parents = {"a": spark.range(3).toDF("p"), "b": spark.range(9).toDF("k")}
+    tests = [
+        q.unique("t", "id"), q.unique("t", "k"), q.no_nulls("t", "p"),
+        q.references("t", "p", "a", "p"), q.references("t", "k", "b", "k"),
+    ]
+    out = q.run_model_tests("mart", "t", t, tests, parents)
+    assert [(r.test, r.failures) for r in out.collect()] == [("unique", 0), ("unique", 7), ("not_null", 0), ("relationships", 0), ("relationships", 0)]
+    assert out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Range (0, 100") == 1

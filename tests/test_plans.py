@@ -2,11 +2,12 @@
 
 import re
 
+import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
 from larderline import registry
-from larderline.operators.joins import broadcast_if, fits_broadcast, splittable_left_join
+from larderline.operators.joins import splittable_left_join
 from larderline.plans import facts
 
 
@@ -16,6 +17,12 @@ def plan(df) -> str:
     )
 
 
+@pytest.fixture(autouse=True)
+def fresh_queries():
+    """A query that was executed prints its finished plan besides the first one."""
+    registry.forget()
+
+
 def test_dedup_limits_groups_before_the_shuffle(spark):
     text = plan(registry.QUERIES["stg_sales"](spark, SMALL))
     above, below = text.split("Exchange hashpartitioning(sale_id", 1)
@@ -71,7 +78,22 @@ def test_hot_key_is_split_in_the_average_join(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def test_broadcast_needs_a_measured_bound(spark):
-    assert fits_broadcast(100, 50) and not fits_broadcast(10**7, 8) and not fits_broadcast(400_000, 10_000)
-    df = spark.range(3)
-    assert broadcast_if(False, df) is df
+@pytest.mark.parametrize("name", ["dq_suite_raw", "load_spot_checks"])
+def test_checks_read_sales_once(spark, name):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = plan(registry.QUERIES[name](spark, SMALL))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum("FileScan parquet" in line and "l_orderkey" in line for line in text.splitlines()) == 1
+
+
+def test_inventory_is_built_and_exchanged_once(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = plan(registry.QUERIES["fct_inventory"](spark, SMALL))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert text.count("Exchange hashpartitioning(store_id") == 1 and text.count("[n_nationkey % 5") <= 1
+    window = text.index("Window [sum(")
+    assert "md5" in text[:window] and "md5" not in text[window:]
