@@ -12,6 +12,7 @@ own result, an empty table gives an empty result, extra columns are left out.
 from __future__ import annotations
 
 import base64
+import re
 from hashlib import sha256
 from heapq import heappop, heappush
 from struct import pack
@@ -21,7 +22,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from larderline.llm.common import arrow_map, column_of, table, texts_of
-from larderline.llm.pretokens import Cache, chunks, pretoken_pattern
+from larderline.llm.pretokens import SPACE, Cache, pretoken_pattern
+
+#: Chunks on which the pattern works independently: a word of common letters up to a mark or white space, since a run of
+#: letters always ends a pre-token; else a run without white space. Each takes the one space before it along.
+COMMON = "A-Za-z\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\u024f"
+PIECES = re.compile(f" ?[{COMMON}]+(?=[!-/:-@\\[-`{{-~{SPACE}]|$)| ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 
 
 class RankQueue:
@@ -127,7 +133,7 @@ class Encoder(Cache):
         return pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, chunks(text)))
+        return b"".join(map(self.__getitem__, PIECES.findall(text)))
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.words.__getitem__, np.frombuffer(ids, "<u4").tolist()))
