@@ -5,7 +5,7 @@ D (holds one of # $ % & * |), E (identical to the text of a smaller doc_id). Wha
 the counts of documents by part and by mask, the set of filters that a document fails.
 
 A to D need the text alone. E is incremental: the files are read as a stream in available-now micro-batches, and keyed
-state holds, for each text (by its SHA-256), the smallest doc_id met and how its documents are counted; texts are dealt
+state holds, for each text (by 128 bits of its SHA-256), the smallest doc_id met and how its documents are counted; texts are dealt
 by hash to groups of a few hundred, which are read and written together. When a smaller id arrives later, the earlier
 documents are retracted from the part counters and counted again with E. Increments are written by an exactly-once file
 sink and added up at the end: state, offsets and sink lie in the shared folder, so a run that loses executors goes on
@@ -29,6 +29,7 @@ from collections.abc import Iterator
 from hashlib import sha256
 from itertools import permutations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,12 +59,12 @@ def failed(text: str) -> int:
 
 
 def judged(documents: DataFrame) -> DataFrame:
-    """key (SHA-256 of the text), mask of A to D, doc_id and part of every row."""
+    """key (128 bits of the SHA-256 of the text), mask of A to D, doc_id and part of every row."""
 
     def rows(batch):
         texts = texts_of(batch)
         return {
-            "key": [sha256(t.encode()).digest() for t in texts],
+            "key": [sha256(t.encode()).digest()[:16] for t in texts],
             "mask": [failed(t) for t in texts],
             "doc_id": column_of(batch, "doc_id"),
             "part": column_of(batch, "part"),
@@ -113,8 +114,10 @@ def reduced(rows: DataFrame) -> DataFrame:
 
 
 CHANGE = "part string, mask int, good boolean, toxic boolean, n long"
-#: The state of a group of texts: one entry for each way in which the documents of a text's smallest id are counted.
-STATE = "key array<binary>, doc_id array<long>, part array<string>, good array<boolean>, toxic array<boolean>, n array<long>"
+#: The state of a group of texts: packed entries, one for each way in which the documents of a text's smallest id are
+#: counted, and the ways that occur.
+STATE = "entries binary, part array<string>, good array<boolean>, toxic array<boolean>"
+ENTRY = np.dtype([("key", "V16"), ("doc_id", "<i8"), ("way", "<u4"), ("n", "<i8")])
 
 
 def changes(group: tuple, frames: Iterator, state) -> Iterator:
@@ -124,10 +127,11 @@ def changes(group: tuple, frames: Iterator, state) -> Iterator:
     least: dict[bytes, int] = {}
     ways: dict[bytes, Counter] = {}
     if state.exists:
-        for key, name, part, good, toxic, n in zip(*state.get):
-            key = bytes(key)
-            least[key] = int(name)
-            ways.setdefault(key, Counter())[part, good, toxic] = int(n)
+        entries, *columns = state.get
+        known_ways = list(zip(*columns))
+        for key, name, way, n in np.frombuffer(bytes(entries), ENTRY).tolist():
+            least[key] = name
+            ways.setdefault(key, Counter())[known_ways[way]] = n
     out: Counter = Counter()
     copy = BIT["E"]
     for frame in frames:
@@ -156,8 +160,9 @@ def changes(group: tuple, frames: Iterator, state) -> Iterator:
             ways[key][way] += n
             out[(*way, mask)] += n
     if least:
-        entries = [(key, least[key], *way, n) for key, of in ways.items() for way, n in of.items()]
-        state.update(tuple(map(list, zip(*entries))))
+        place = {way: i for i, way in enumerate(dict.fromkeys(way for of in ways.values() for way in of))}
+        entries = np.array([(key, least[key], place[way], n) for key, of in ways.items() for way, n in of.items()], ENTRY)
+        state.update((entries.tobytes(), *map(list, zip(*place))))
     rows = [(part, mask, good, toxic, n) for (part, good, toxic, mask), n in out.items() if n]
     if rows:
         yield pd.DataFrame(rows, columns=["part", "mask", "good", "toxic", "n"])
@@ -180,13 +185,13 @@ def counters(
     batches: int = 4,
     files: int | None = None,
     group_texts: int = 200,
-    partition_rows: int = 20_000,
 ) -> DataFrame:
     """n documents by part, mask, good and toxic, after all files have gone through the stream.
 
     ``files`` a micro-batch; by default as many as make ``batches`` of them. Texts are dealt by hash to state groups of
-    about ``group_texts``, since a call of the state function costs more than a text. The state has the session's number
-    of shuffle partitions, fewer if they would get less than ``partition_rows``.
+    about ``group_texts``, since a call of the state function costs more than a text.
+    The state store is the session's. Some 40 bytes a text are kept; the default store holds them in executor memory,
+    so name a store on disk (spark.sql.streaming.stateStore.providerClass) where that is too much.
     """
     held = spark.read.parquet(documents_path)
     names = held.inputFiles()
@@ -199,27 +204,13 @@ def counters(
     folder = f"{shared_folder(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
     stream = spark.readStream.schema(held.schema).option("maxFilesPerTrigger", files).parquet(source)
     rows = reduced(marked(judged(stream), labels))
-    n_rows = held.count()
-    groups = max(1, n_rows // group_texts)
+    groups = max(1, held.count() // group_texts)
     dealt = rows.withColumn("group", F.pmod(F.xxhash64("key"), F.lit(groups).cast("long")))
     made = dealt.groupBy("group").applyInPandasWithState(changes, CHANGE, STATE, "append", GroupStateTimeout.NoTimeout)
-    # A state store costs some megabytes of disk for each partition, however few texts it holds.
-    sessions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    settings = {
-        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-        "spark.sql.shuffle.partitions": str(max(1, min(sessions, n_rows // partition_rows))),
-    }
-    before = {name: spark.conf.get(name, None) for name in settings}
-    for name, value in settings.items():
-        spark.conf.set(name, value)
-    try:
-        query = (
-            added(made).writeStream.format("parquet").outputMode("append").option("path", f"{folder}/changes")
-            .option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
-        )
-    finally:
-        for name, value in before.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    query = (
+        added(made).writeStream.format("parquet").outputMode("append").option("path", f"{folder}/changes")
+        .option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
+    )
     query.awaitTermination()
     written = spark.read.schema(CHANGE).parquet(f"{folder}/changes")
     return written.groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n")).where("n != 0")
