@@ -3,16 +3,19 @@
 The trees are fitted on a bounded sample (``sample_rows``); a split is the hyperplane between two centres drawn by a
 few steps of two-means over random rows, put at the sample's median. Every row is then indexed: it goes down every
 tree to a leaf. A query keeps one queue over all trees, ordered by the smallest margin crossed on the way, and visits
-leaves until those hold a given share of the index and, in one of the trees, more than k rows. All candidates in the visited leaves are scored exactly on the
-original vectors.
+leaves until those hold a given share of the index and, in one of the trees, more than k rows. All candidates in the
+visited leaves are scored exactly on the original vectors.
 
 The share is set by measurement: the exact neighbours of ``probe_queries`` queries are found over all rows, and the
 share is the one at which the queue has met ``aim`` of them. Largest inner product becomes a nearest direction by one
 more component, sqrt(longest norm^2 - norm^2), which is 0 for a query.
 
 Rows left out and repeated ids: see ``vectors.clean``. Equal scores go to the smaller id. An empty table gives an empty
-result, and so does one without queries; extra columns are left out. The rows of a leaf are dealt to parts of about
-``leaf_block`` and its visitors to blocks of about ``query_block``; each part meets each block by itself.
+result, and so does one without queries; extra columns are left out.
+
+Queries are dealt to blocks of about ``query_block``. A task streams the leaves that its block visits, sorted so that a
+leaf's visitors come before its rows, and keeps the k best of each query: memory holds one block, whatever the size of a
+leaf, and what comes out is k rows for each query and slot.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from __future__ import annotations
 import heapq
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -122,24 +126,117 @@ class Forest:
             yield leaf, seen
 
 
-def cells(index: DataFrame, asking: DataFrame, sizes: np.ndarray, leaf_block: int, query_block: int) -> tuple[DataFrame, DataFrame, int]:
-    """Rows of the visited leaves and their visitors by cell (leaf, part, block), and the number of both.
+#: What a row of the stream is: a query of the block, a visitor of a leaf, a row held by a leaf (in order of arrival).
+QUERY, VISITOR, HELD = 0, 1, 2
+STREAM = ["block", "slot", "leaf", "kind", "vec_id", "vector"]
+
+
+def meetings(index: DataFrame, asking: DataFrame, sizes: np.ndarray, queries: int, query_block: int, leaf_block: int, slots: int) -> DataFrame:
+    """Rows by (block of queries, slot), in order of leaf and kind, so that each leaf's visitors come before its rows.
 
-    A cell holds one part of a leaf's rows and one block of its visitors; every part of a leaf meets every block.
+    A block's leaves are dealt to a fixed number of slots; the rows of a leaf larger than ``leaf_block`` are dealt to
+    all of them, and so are its visitors. A query's vector is sent once for each slot, not for each leaf it visits.
     """
     spark = index.sparkSession
-    counts = asking.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()
-    dealt = [(r.leaf, -(-int(sizes[r.leaf]) // leaf_block), -(-r.n // query_block)) for r in counts if sizes[r.leaf]]
+    blocks = max(1, -(-queries // query_block))
+    block = F.pmod(F.xxhash64("vec_id"), F.lit(blocks).cast("long")).alias("block")
     # Bounded by trees x leaves.
-    facts = F.broadcast(spark.createDataFrame(dealt, "leaf long, parts long, blocks long"))
-    total = sum(int(sizes[leaf]) * blocks for leaf, _, blocks in dealt) + sum(r.n * -(-int(sizes[r.leaf]) // leaf_block) for r in counts)
-    one = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n))
-    all_ = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    held = index.select("vec_id", "vector", F.explode("leaves").alias("leaf")).join(facts, "leaf")
-    held = held.select("leaf", one("parts").alias("part"), all_("blocks").alias("block"), "vec_id", "vector")
-    asked = asking.select("vec_id", "vector", F.explode("leaves").alias("leaf")).join(facts, "leaf")
-    asked = asked.select("leaf", all_("parts").alias("part"), one("blocks").alias("block"), F.col("vec_id").alias("query_id"), "vector")
-    return held, asked, total
+    wide = F.broadcast(spark.createDataFrame([(leaf, bool(n > leaf_block)) for leaf, n in enumerate(sizes.tolist())], "leaf long, wide boolean"))
+    all_slots = F.sequence(F.lit(0).cast("long"), F.lit(slots - 1).cast("long"))
+    dealt = lambda c: F.pmod(F.xxhash64(c), F.lit(slots).cast("long"))
+    nothing = F.lit(None).cast("array<double>")
+    asked = asking.select(block, "vec_id", "vector", F.explode(all_slots).alias("slot"))
+    visits = asking.select(block, "vec_id", F.explode("leaves").alias("leaf")).join(wide, "leaf")
+    come = visits.select("block", F.explode(F.when(F.col("wide"), all_slots).otherwise(F.array(dealt("leaf")))).alias("slot"), "leaf", "vec_id")
+    rows = index.select("vec_id", "vector", F.explode("leaves").alias("leaf")).join(wide, "leaf").join(visits.select("leaf", "block").distinct(), "leaf")
+    held = rows.select("block", F.when(F.col("wide"), dealt("vec_id")).otherwise(dealt("leaf")).alias("slot"), "leaf", "vec_id", "vector")
+    parts = [
+        asked.select("block", "slot", F.lit(-1).cast("long").alias("leaf"), F.lit(QUERY).alias("kind"), "vec_id", "vector"),
+        come.select("block", "slot", "leaf", F.lit(VISITOR).alias("kind"), "vec_id", nothing.alias("vector")),
+        held.select("block", "slot", "leaf", F.lit(HELD).alias("kind"), "vec_id", "vector"),
+    ]
+    together = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return together.repartition(blocks * slots, "block", "slot").sortWithinPartitions("block", "slot", "leaf", "kind")
+
+
+class Running:
+    """The k best rows found so far for the queries of one block, as rows of (query, row, score)."""
+
+    def __init__(self, k: int, limit: int = 400_000) -> None:
+        self.k, self.limit, self.parts, self.size = k, limit, [], 0
+
+    def add(self, found: tuple[np.ndarray, np.ndarray, np.ndarray]) -> None:
+        self.parts.append(found)
+        self.size += len(found[0])
+        if self.size > self.limit:
+            self.parts = [self.top()]
+            self.size = len(self.parts[0][0])
+            # At least twice what a cleaned-up list holds, so that cleaning stays linear.
+            self.limit = max(self.limit, 2 * self.size)
+
+    def top(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if not self.parts:
+            return np.array([], np.int64), np.array([], np.int64), np.array([])
+        q, c, s = (np.concatenate(part) for part in zip(*self.parts))
+        order = np.lexsort((c, -s, q))
+        q, c, s = q[order], c[order], s[order]
+        # A row met in several trees has the same score each time, so its repeats stand together.
+        new = np.append(True, (q[1:] != q[:-1]) | (c[1:] != c[:-1])) if len(q) else np.zeros(0, bool)
+        q, c, s = q[new], c[new], s[new]
+        kept = np.arange(len(q)) - np.searchsorted(q, q) < self.k
+        return q[kept], c[kept], s[kept]
+
+
+def reranked(stream: DataFrame, k: int) -> DataFrame:
+    """query_id, vec_id, score: the k best of every query in each slot; memory holds a block of queries and their best."""
+
+    def run(batches):
+        schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+        at, leaf_at = None, None
+        ids, vectors, visitors, best_of = [], [], [], Running(k)
+        block_ids = block_vectors = wanted = None
+
+        def done():
+            columns = [pa.array(x) for x in best_of.top()]
+            return pa.RecordBatch.from_arrays(columns, schema=schema)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([column_of(batch, c).to_numpy().astype(np.int64) for c in ("block", "slot", "leaf", "kind")], axis=1)
+            names, values = column_of(batch, "vec_id").to_numpy(), column_of(batch, "vector")
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+            for begin, end in zip(cuts, cuts[1:]):
+                block, slot, leaf, kind = keys[begin].tolist()
+                if (block, slot) != at:
+                    if at is not None:
+                        yield done()
+                    at, leaf_at = (block, slot), None
+                    ids, vectors, visitors, best_of = [], [], [], Running(k)
+                    block_ids = None
+                if kind == QUERY:
+                    ids.append(names[begin:end])
+                    vectors.append(matrix(values.slice(begin, end - begin)))
+                    continue
+                if block_ids is None:
+                    order = np.argsort(np.concatenate(ids), kind="stable")
+                    block_ids, block_vectors = np.concatenate(ids)[order], np.concatenate(vectors)[order]
+                if leaf != leaf_at:
+                    leaf_at, visitors, wanted = leaf, [], None
+                if kind == VISITOR:
+                    visitors.append(names[begin:end])
+                    continue
+                if not visitors:
+                    continue
+                if wanted is None:
+                    wanted = np.searchsorted(block_ids, np.concatenate(visitors))
+                held = matrix(values.slice(begin, end - begin))
+                best_of.add(best(block_vectors[wanted], block_ids[wanted], held, names[begin:end], k))
+        if at is not None:
+            yield done()
+
+    ship_code(stream.sparkSession)
+    return stream.mapInArrow(run, "query_id long, vec_id long, score double")
 
 
 def search(
@@ -148,6 +245,8 @@ def search(
     every: int = 20,
     trees: int = 8,
     leaves: int = 64,
+    leaf_rows: int = 2048,
+    slots: int = 8,
     sample_rows: int = 16_384,
     probe_queries: int = 100,
     aim: float = 0.95,
@@ -159,13 +258,18 @@ def search(
     spark = embeddings.sparkSession
     rows = stored(clean(embeddings, zero_counts=False))
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
-    facts = rows.agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("longest")).first()
+    sizes_ = [F.min(F.size("vector")).alias("least"), F.max(F.size("vector")).alias("most")]
+    facts = rows.agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("longest"), *sizes_).first()
     if not facts.n:
         return ranked(rows.select(F.col("vec_id").alias("query_id"), "vec_id", F.lit(0.0).alias("score")), k)
+    if facts.least != facts.most:
+        raise ValueError(f"vectors of {facts.least} to {facts.most} components: all must have the same length")
     is_query = F.col("vec_id") % every == 0
     by_hash = F.xxhash64("vec_id")
     sample = np.array([r.vector for r in rows.orderBy(by_hash, "vec_id").limit(sample_rows).collect()])
     ship_code(spark)
+    # Leaves grow with the table, as far as the sample can split them.
+    leaves = max(leaves, min(-(-facts.n // leaf_rows), len(sample) // 8))
     forest = Forest(sample, facts.longest, trees, max(2, -(-len(sample) // leaves)), seed)
     shared = spark.sparkContext.broadcast(forest)  # bounded by the sample
 
@@ -201,28 +305,10 @@ def search(
         return {"vec_id": column_of(batch, "vec_id"), "vector": vectors, "leaves": visited}
 
     asking = stored(arrow_map(rows.where(is_query), "vec_id long, vector array<double>, leaves array<long>", visits))
-    held, asked, total = cells(index, asking, sizes, leaf_block, query_block)
-    # Groups of cells: a task merges what each query finds in several cells.
-    groups = int(max(1, total // 20_000))
-    group = F.pmod(F.xxhash64("leaf", "part", "block"), F.lit(groups).cast("long")).alias("group")
-
-    def rerank(key, left, right):
-        import pandas as pd
-
-        found = []
-        if len(left) and len(right):
-            by = {key_: part for key_, part in right.groupby(["leaf", "part", "block"])}
-            for key_, part in left.groupby(["leaf", "part", "block"]):
-                if key_ in by:
-                    queries = by[key_]
-                    q, c, s = best(np.stack(queries.vector), queries.query_id.to_numpy(), np.stack(part.vector), part.vec_id.to_numpy(), k)
-                    found.append(pd.DataFrame({"query_id": q, "vec_id": c, "score": s}))
-        if not found:
-            return pd.DataFrame({"query_id": np.array([], "int64"), "vec_id": np.array([], "int64"), "score": np.array([])})
-        merged = pd.concat(found).drop_duplicates(["query_id", "vec_id"]).sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
-        return merged.groupby("query_id").head(k)
-
-    local = held.groupBy(group).cogroup(asked.groupBy(group)).applyInPandas(rerank, "query_id long, vec_id long, score double")
+    queries = asking.count()
+    if not queries:
+        return ranked(rows.limit(0).select(F.col("vec_id").alias("query_id"), "vec_id", F.lit(0.0).alias("score")), k)
+    local = reranked(meetings(index, asking, sizes, queries, query_block, leaf_block, slots), k)
     return ranked(local.dropDuplicates(["query_id", "vec_id"]), k)
 
 

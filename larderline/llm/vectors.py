@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -28,7 +29,10 @@ def clean(embeddings: DataFrame, zero_counts: bool) -> DataFrame:
 
 
 def matrix(column: pa.Array) -> np.ndarray:
-    """A column of equally long arrays of doubles as a matrix; other lengths are an error."""
+    """A column of equally long arrays as a matrix; other lengths are an error."""
+    lengths = column.value_lengths()
+    if len(lengths) and (short := pc.min(lengths).as_py()) != (long := pc.max(lengths).as_py()):
+        raise ValueError(f"vectors of {short} to {long} components: all must have the same length")
     flat = column.flatten().to_numpy(zero_copy_only=False)
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 

@@ -1,8 +1,9 @@
 """Searches against brute force."""
 
 import numpy as np
+import pytest
 from conftest import SMALL
-from larderline.llm.op8_ann import Forest, cells, search
+from larderline.llm.op8_ann import Forest, Running, meetings, reranked, search
 from larderline.llm.op9_exact_top_k import top_k
 from pyspark.sql import functions as F
 
@@ -99,17 +100,43 @@ def test_shared_queue_visits_every_leaf_once():
     assert set(visited[:3]) == set(forest.leaves(row[None])[0].tolist())
 
 
-def test_rows_and_visitors_of_a_leaf_meet_in_bounded_cells(spark):
+def test_visitors_come_before_the_rows_of_their_leaf_in_every_slot(spark):
     rows = spark.range(600).select(F.col("id").alias("vec_id"), F.array(F.lit(1.0)).alias("vector"), F.array(F.lit(0), F.lit(1)).cast("array<long>").alias("leaves"))
     queries = rows.where("vec_id % 2 = 0").withColumn("leaves", F.array(F.lit(0).cast("long")))
-    held, asked, total = cells(rows, queries, np.array([600, 600]), leaf_block=60, query_block=30)
-    one, other = held.groupBy("leaf", "part", "block").count().collect(), asked.groupBy("leaf", "part", "block").count().collect()
-    # Ten parts and ten blocks of leaf 0; nobody visits leaf 1.
-    assert {(r.leaf, r.part, r.block) for r in one} == {(r.leaf, r.part, r.block) for r in other} == {(0, p, b) for p in range(10) for b in range(10)}
-    assert max(r["count"] for r in one) < 120 and max(r["count"] for r in other) < 60
-    assert total == sum(r["count"] for r in one + other) == 6000 + 3000
-    on = ["leaf", "part", "block"]
-    assert held.join(asked.drop("vector"), on).select("query_id", "vec_id").distinct().count() == held.join(asked.drop("vector"), on).count() == 300 * 600
+    stream = meetings(rows, queries, np.array([600, 600]), 300, query_block=30, leaf_block=60, slots=4)
+    parts = [p for p in stream.rdd.map(lambda r: (r.block, r.slot, r.leaf, r.kind, r.vec_id)).glom().collect() if p]
+    assert all([r[:4] for r in p] == sorted(r[:4] for r in p) for p in parts)
+    every = [r for p in parts for r in p]
+    # Leaf 0 is large: its rows are dealt to the slots, its visitors go to all of them; nobody visits leaf 1.
+    held = [(b, i) for b, _, leaf, kind, i in every if kind == 2 and leaf == 0]
+    come = [(b, s, i) for b, s, leaf, kind, i in every if kind == 1 and leaf == 0]
+    assert len(held) == len(set(held)) == 10 * 600 and len(come) == len(set(come)) == 4 * 300
+    assert sum(kind == 0 for *_, kind, _ in every) == 4 * 300 and not any(leaf == 1 for _, _, leaf, *_ in every)
+
+
+def test_reranked_rows_grow_with_the_queries_only(spark):
+    random = np.random.default_rng(5)
+    for n in (400, 2000):
+        frame = spark.createDataFrame([(i, random.normal(size=8).tolist(), 0) for i in range(n)], SCHEMA)
+        rows = frame.select("vec_id", F.col("embedding").cast("array<double>").alias("vector"), F.array(F.lit(0), F.lit(1), F.lit(2)).cast("array<long>").alias("leaves"))
+        asking = rows.where("vec_id % 20 = 0")
+        found = reranked(meetings(rows, asking, np.array([n, n, n]), n // 20, query_block=8, leaf_block=10**6, slots=4), 5)
+        assert found.count() <= n // 20 * 4 * 5
+
+
+def test_running_best_drops_repeats_and_keeps_ties_by_id():
+    best_of = Running(2, limit=3)
+    for q, c, s in [([1, 1, 2], [5, 6, 7], [1.0, 2.0, 0.5]), ([1, 1], [6, 4], [2.0, 1.0]), ([2], [7], [0.5]), ([1], [3], [1.0])]:
+        best_of.add((np.array(q), np.array(c), np.array(s)))
+    assert [x.tolist() for x in best_of.top()] == [[1, 1, 2], [6, 3, 7], [2.0, 1.0, 0.5]]
+    assert [len(x) for x in Running(2).top()] == [0, 0, 0]
+
+
+def test_vectors_of_different_lengths_are_refused(spark):
+    ragged = spark.createDataFrame([(i, [1.0] * (2 + i % 2), 0) for i in range(40)], SCHEMA).coalesce(1)
+    for run in (search, top_k):
+        with pytest.raises(Exception, match="same length"):
+            run(ragged).collect()
 
 
 def test_blocks_of_visitors_change_no_result(spark):
