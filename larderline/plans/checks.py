@@ -6,6 +6,7 @@ suites for the verdicts to match.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -16,6 +17,9 @@ from larderline.functions.columns import rounded_ratio, to_units
 from larderline.operators.anomaly import Metric, bucket_metrics, fill_gaps, score
 from larderline.operators.drift import Watched, divergence, histograms
 from larderline.operators.quality import (
+    ACCEPTED,
+    NO_NULLS,
+    UNIQUE,
     Check,
     Keyed,
     accepted_values,
@@ -237,6 +241,12 @@ def model_test_results(warehouse: Warehouse, layers: tuple[str, ...] = ("source"
     return reduce(DataFrame.unionByName, parts)
 
 
+def mart_gate(name: str, rows: DataFrame) -> DataFrame:
+    """What a written mart must pass to be published: its keys, filled columns and value lists."""
+    kinds = (NO_NULLS, UNIQUE, ACCEPTED)
+    return run_model_tests("mart", name, rows, [check for check in MART_TESTS[name] if check.expectation in kinds], {})
+
+
 # Row-volume monitors: model, timestamp, bucket, sensitivity.
 VOLUME_MONITORS = [
     ("dim_products", "valid_from", "day", 2),
@@ -312,13 +322,18 @@ def at_grain(warehouse: Warehouse, model: str) -> DataFrame:
     raise ValueError(f"no staged table is known for {model}")
 
 
-def volume_anomalies(warehouse: Warehouse) -> DataFrame:
-    """Scored row counts per bucket of every monitored model."""
+def volumes(warehouse: Warehouse, chosen: Callable[[DataFrame, str], DataFrame] = lambda rows, at: rows) -> DataFrame:
+    """Row counts per bucket of every monitored model; ``chosen`` takes the rows of a run by the model's day column."""
     parts = [
-        bucket_metrics(model, at_grain(warehouse, model), at, bucket, [Metric("*", "row_count", sensitivity)])
+        bucket_metrics(model, chosen(at_grain(warehouse, model), at), at, bucket, [Metric("*", "row_count", sensitivity)])
         for model, at, bucket, sensitivity in VOLUME_MONITORS
     ]
-    return score(fill_gaps(reduce(DataFrame.unionByName, parts))).drop("column_name", "metric")
+    return reduce(DataFrame.unionByName, parts)
+
+
+def volume_anomalies(warehouse: Warehouse) -> DataFrame:
+    """Scored row counts per bucket of every monitored model."""
+    return score(fill_gaps(volumes(warehouse))).drop("column_name", "metric")
 
 
 def column_anomalies(warehouse: Warehouse) -> DataFrame:

@@ -1,8 +1,8 @@
 """Twelve-week category forecasts, rolling-origin backtests and what is derived from them.
 
-Two models share every other step: an exact linear trend from grouped sums
-(built-in functions only) and an additive season model fitted per series in
-grouped tasks. A series holds one row per calendar week, whatever the sales volume.
+Two models share every other step: an exact linear trend and an additive season
+model, both from grouped sums and built-in functions. A series holds one row per
+calendar week, whatever the sales volume.
 """
 
 from __future__ import annotations
@@ -10,12 +10,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, timedelta
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larderline.operators.additive_model import INTERVAL_Z, fit_additive
+from larderline.operators.additive_model import INTERVAL_Z, SEASON, TREND, dealt, features, fold_sums, predicted, solved, systems
 from larderline.plans.demand import demand_shares, eligible_series
 
 HORIZON_WEEKS = 12
@@ -296,14 +294,27 @@ def model_performance(metadata: DataFrame) -> DataFrame:
     )
 
 
-def _days(stamps: pd.Series) -> np.ndarray:
-    return pd.to_datetime(stamps).to_numpy().astype("datetime64[D]").astype("int64")
+def _holiday_lists(years: Sequence[int] | None) -> list[list[int]]:
+    """Day numbers of each holiday and offset, in order of their names."""
+    by_name: dict[tuple[str, int], list[int]] = {}
+    for name, offset, when in holiday_days(years):
+        by_name.setdefault((name, offset), []).append((when - date(1970, 1, 1)).days)
+    return [sorted(by_name[key]) for key in sorted(by_name)]
 
 
-def _holiday_matrix(days: np.ndarray, calendar: list[tuple[str, int]]) -> np.ndarray:
-    names = sorted({name for name, _ in calendar})
-    hits = {name: {d for n, d in calendar if n == name} for name in names}
-    return np.array([[1.0 if int(d) in hits[name] else 0.0 for name in names] for d in days]).reshape(len(days), -1)
+def _with_features(weekly: DataFrame, holidays: list[list[int]]) -> DataFrame:
+    """Weekly rows with their day number, the first, last and span of their series, features ``_f`` and value ``_y``."""
+    series, day_ = Window.partitionBy("category"), epoch_day(F.col("week_start"))
+    rows = weekly.select(
+        "category",
+        "week_start",
+        day_.alias("_day"),
+        F.col("total_quantity").alias("_y"),
+        F.min(day_).over(series).alias("_first"),
+        F.max(day_).over(series).alias("_last"),
+    )
+    span = F.greatest(F.col("_last") - F.col("_first"), F.lit(1).cast("bigint"))
+    return rows.withColumn("_span", span).withColumn("_f", features(F.col("_day"), F.col("_first"), F.col("_span"), holidays))
 
 
 def additive_forecast(
@@ -312,61 +323,64 @@ def additive_forecast(
     anchor: str = "sunday",
     holiday_years: Sequence[int] | None = None,
 ) -> DataFrame:
-    """Additive season model per category, one grouped task each; same columns as the trend forecast."""
-    calendar = [(f"{n}/{k}", (d - date(1970, 1, 1)).days) for n, k, d in holiday_days(holiday_years)]
-
-    def one(series: pd.DataFrame) -> pd.DataFrame:
-        series = series.sort_values("week_start")
-        days, values = _days(series["week_start"]), series["total_quantity"].to_numpy(dtype=float)
-        last = days.max()
-        first_ahead = last + (6 if anchor == "sunday" else 7)
-        ahead = first_ahead + 7 * np.arange(horizon)
-        flags = _holiday_matrix(np.concatenate([days, ahead]), calendar)
-        yhat, trend, spread = fit_additive(days, values, ahead, flags)
-        cap = values.max() * HISTORY_CAP
-        band = INTERVAL_Z * spread
-        return pd.DataFrame(
-            {
-                "forecast_date": [date(1970, 1, 1) + timedelta(days=int(d)) for d in ahead],
-                "category": series["category"].iloc[0],
-                "store_cluster": ALL_CLUSTERS,
-                "yhat": np.round(np.clip(yhat, 0, cap), 2),
-                "yhat_lower": np.round(np.clip(yhat - band, 0, cap), 2),
-                "yhat_upper": np.round(np.clip(yhat + band, 0, cap), 2),
-                "trend": np.round(trend, 2),
-            }
-        )
-
-    layout = (
-        "forecast_date date, category string, store_cluster string, "
-        "yhat double, yhat_lower double, yhat_upper double, trend double"
+    """Additive season model per category, solved from sums of products; same columns as the trend forecast."""
+    holidays = _holiday_lists(holiday_years)
+    size = TREND + SEASON + len(holidays)
+    rows = _with_features(eligible_series(weekly), holidays)
+    facts = F.when(F.col("_day") == F.col("_last"), F.struct("_first", "_last", "_span", "week_start"))
+    one_fold = rows.select("category", F.lit(0).alias("_fold"), "_f", "_y", facts.alias("_carry"))
+    sums = dealt(fold_sums(one_fold, ["category"], size), "category")
+    peak = F.get("_sums", F.lit(size * (size + 1) // 2 + size + 3))["m"].cast("double")
+    equations = systems(sums.withColumn("_cap", peak * HISTORY_CAP), size, len(holidays))
+    fitted = solved(dealt(equations, "category"), size, len(holidays))
+    fitted = fitted.select("category", "_beta", "_scale", "_spread", "_cap", F.inline("_carried"))
+    ahead = _with_future(fitted.withColumn("last_week", F.col("week_start")), horizon, anchor)
+    ahead = ahead.withColumn("_f", features(epoch_day(F.col("forecast_date")), F.col("_first"), F.col("_span"), holidays))
+    yhat, band = F.col("_yhat"), F.col("_spread") * INTERVAL_Z
+    return ahead.withColumn("_yhat", predicted(F.col("_f"))).select(
+        "forecast_date",
+        "category",
+        F.lit(ALL_CLUSTERS).alias("store_cluster"),
+        F.round(_clipped(yhat, F.col("_cap")), 2).alias("yhat"),
+        F.round(_clipped(yhat - band, F.col("_cap")), 2).alias("yhat_lower"),
+        F.round(_clipped(yhat + band, F.col("_cap")), 2).alias("yhat_upper"),
+        F.round(predicted(F.col("_f"), TREND), 2).alias("trend"),
     )
-    series = eligible_series(weekly).select("category", "week_start", "total_quantity")
-    return series.groupBy("category").applyInPandas(one, layout)
 
 
 def additive_backtest(weekly: DataFrame, holiday_years: Sequence[int] | None = None) -> DataFrame:
-    """(category, cutoff, week_start, y, yhat): every fold is fitted in its own grouped task."""
-    calendar = [(f"{n}/{k}", (d - date(1970, 1, 1)).days) for n, k, d in holiday_days(holiday_years)]
-
-    def one(fold: pd.DataFrame) -> pd.DataFrame:
-        train = fold[fold["is_train"]].sort_values("week_start")
-        test = fold[~fold["is_train"]].sort_values("week_start")
-        days, ahead = _days(train["week_start"]), _days(test["week_start"])
-        flags = _holiday_matrix(np.concatenate([days, ahead]), calendar)
-        yhat, _, _ = fit_additive(days, train["total_quantity"].to_numpy(dtype=float), ahead, flags)
-        return pd.DataFrame(
-            {
-                "category": test["category"],
-                "cutoff": test["cutoff"],
-                "week_start": test["week_start"],
-                "y": test["total_quantity"],
-                "yhat": yhat,
-            }
-        )
+    """(category, cutoff, week_start, y, yhat) of the additive model on every held-out week.
 
-    layout = "category string, cutoff date, week_start date, y bigint, yhat double"
-    return folds(eligible_series(weekly)).groupBy("category", "cutoff").applyInPandas(one, layout)
+    Fold k ends 28 (k + 1) days before the last week. A week belongs to the training rows of every fold up to its own
+    number, which is a running sum, and is held out in at most one.
+    """
+    holidays = _holiday_lists(holiday_years)
+    size = TREND + SEASON + len(holidays)
+    rows = _with_features(eligible_series(weekly), holidays)
+    age = (F.col("_last") - F.col("_day")).cast("int")
+    room = (F.col("_last") - F.col("_first")).cast("int") - INITIAL_DAYS - FOLD_HORIZON_DAYS
+    folds_ = F.floor(room / PERIOD_DAYS).cast("int") + 1
+    held_out, trained = F.floor(age / PERIOD_DAYS).cast("int"), F.least(F.floor(age / PERIOD_DAYS).cast("int"), folds_) - 1
+    test = F.struct("week_start", "_day", F.col("_y").alias("y"), F.col("_f").alias("_made"))
+    cases = F.array_compact(
+        F.array(
+            F.when(trained >= 0, F.struct(trained.alias("_fold"), F.lit(True).alias("_trains"))),
+            F.when(held_out < folds_, F.struct(held_out.alias("_fold"), F.lit(False).alias("_trains"))),
+        )
+    )
+    each = rows.filter(room >= 0).select("category", "_f", "_y", test.alias("_test"), F.col("_last"), F.inline(cases))
+    parts = each.select(
+        "category",
+        "_fold",
+        F.when(F.col("_trains"), F.col("_f")).alias("_f"),
+        F.when(F.col("_trains"), F.col("_y")).alias("_y"),
+        F.when(~F.col("_trains"), F.struct("_test.*", "_last")).alias("_carry"),
+    )
+    sums = dealt(fold_sums(parts, ["category"], size), "category", "_fold")
+    fitted = solved(dealt(systems(sums, size, len(holidays)), "category", "_fold"), size, len(holidays))
+    tested = fitted.select("category", "_fold", "_beta", "_scale", F.inline("_carried"))
+    cutoff = F.date_add(F.lit(EPOCH).cast("date"), (F.col("_last") - (F.col("_fold") + 1) * PERIOD_DAYS).cast("int"))
+    return tested.select("category", cutoff.alias("cutoff"), "week_start", "y", predicted(F.col("_made")).alias("yhat"))
 
 
 def topdown_forecast(forecast: DataFrame, by_cluster: DataFrame) -> DataFrame:

@@ -80,3 +80,77 @@ def planning_quantity(
             (base + extra).alias("planned_units"),
         )
     )
+
+
+PAIR = ["store_id", "product_id"]
+
+
+def open_week_rates(fct_inventory: DataFrame, stg_sales: DataFrame, recent_weeks: int = RECENT_WEEKS) -> DataFrame:
+    """Demand per store and product from the weeks in which its shelf was not empty.
+
+    A week with a stock-out shows what could be sold, not what was wanted: it is masked for its own store and product,
+    and ``weekly_rate`` is the mean of the others (NULL if none is left). Only weeks with a snapshot count. Also
+    ``recent_units`` (mean of the last weeks, masked or not) and ``had_stockout`` in these.
+    """
+    week = F.trunc("snapshot_date", "week")
+    span = fct_inventory.agg(F.min(week).alias("first"), F.max(week).alias("last"))
+    first, last = span.select("first").scalar(), span.select("last").scalar()
+    stock = fct_inventory.groupBy(*PAIR, "category", "store_cluster", week.alias("week_start")).agg(F.bool_or("is_stockout").alias("masked"))
+    sold_in = F.trunc("sale_date", "week")
+    sold = stg_sales.filter(F.col("sale_date") >= first).groupBy(*PAIR, sold_in.alias("week_start")).agg(F.sum("quantity").alias("units"))
+    units = F.coalesce("units", F.lit(0).cast("bigint"))
+    recent = F.datediff(last, "week_start") < recent_weeks * 7
+    by_pair = stock.join(sold, [*PAIR, "week_start"], "left").groupBy(*PAIR, "category", "store_cluster").agg(
+        F.count_if(~F.col("masked")).alias("open_weeks"),
+        F.count_if("masked").alias("masked_weeks"),
+        F.sum(F.when(~F.col("masked"), units)).alias("open_units"),
+        (F.sum(F.when(recent, units).otherwise(0)).cast("double") / float(recent_weeks)).alias("recent_units"),
+        F.bool_or(recent & F.col("masked")).alias("had_stockout"),
+    )
+    rate = F.try_divide(F.col("open_units").cast("double"), F.col("open_weeks").cast("double"))
+    return by_pair.withColumn("weekly_rate", rate).drop("open_units")
+
+
+def planning_products(forecast: DataFrame, metadata: DataFrame, rates: DataFrame, stockout_uplift: float = STOCKOUT_UPLIFT) -> DataFrame:
+    """Units to plan per store, product and week: the category forecast by shares of uncensored demand.
+
+    The rules are those of :func:`planning_quantity`, with the stock-out rule for the very store and product. The
+    forecast is a category's mean over its horizon. Products without a forecast category or an open week have no plan.
+    """
+    totals = rates.groupBy("category").agg(F.sum("weekly_rate").alias("_total"))
+    ahead = forecast.groupBy("category").agg(F.avg("yhat").alias("_yhat"), F.avg("yhat_upper").alias("_upper"))
+    by_category = ahead.join(totals, "category").join(metadata.select("category", "mape"), "category", "left")
+    share = F.try_divide(F.col("weekly_rate"), F.col("_total"))
+    unreliable = F.coalesce(F.col("mape") > UNRELIABLE_MAPE, F.lit(False))
+    point, upper = F.col("_yhat") * F.col("_share"), F.col("_upper") * F.col("_share")
+    rule = (
+        F.when(unreliable, "unreliable")
+        .when(F.col("had_stockout"), "recent_stockout")
+        .when(F.col("category") == "fresh_produce", "fresh_produce")
+        .otherwise("point_forecast")
+    )
+    base = (
+        F.when(F.col("rule") == "unreliable", F.greatest(upper, F.col("recent_units")))
+        .when(F.col("rule") == "recent_stockout", upper * stockout_uplift)
+        .when(F.col("rule") == "fresh_produce", upper)
+        .otherwise(point)
+    )
+    spoils = lookup(F.col("category"), labels.PERISHABILITY) == "Perishable"
+    extra = F.when((F.col("store_cluster") == "rural") & spoils, point).otherwise(F.lit(0.0))
+    # One row a category: the planner may broadcast it.
+    return (
+        rates.join(by_category, "category", "left")
+        .withColumn("_share", share)
+        .withColumn("rule", rule)
+        .select(
+            *PAIR,
+            "category",
+            "store_cluster",
+            "open_weeks",
+            "masked_weeks",
+            "weekly_rate",
+            "rule",
+            unreliable.alias("needs_review"),
+            F.when(F.col("_share").isNotNull(), base + extra).alias("planned_weekly_units"),
+        )
+    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import date
 from functools import cached_property
@@ -9,6 +10,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from larderline.plans import dimensions, facts, staging
+from larderline.sources.publish import Gate, Publication
 from larderline.sources.raw import RawTables
 from larderline.sources.sinks import write_mart
 
@@ -79,22 +81,29 @@ class Warehouse:
     def fct_stockouts(self) -> DataFrame:
         return facts.fct_stockouts(self.fct_inventory, self.stg_sales)
 
-    def write_marts(self, folder: str) -> dict[str, DataFrame]:
-        """Full refresh of every mart under ``folder``; later marts read the written earlier ones."""
+    def written_marts(self, folder: str) -> Iterator[tuple[str, DataFrame]]:
+        """Write the marts under a new ``folder`` one by one and yield each as read back; later marts read earlier ones."""
         as_of_orders = self.orders_as_of or self.as_of
-        built: dict[str, DataFrame] = {}
-
-        def put(name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
-            built[name] = write_mart(df, f"{folder}/{name}", partition_by)
-            return built[name]
-
-        stores = put("dim_stores", self.dim_stores)
-        products = put("dim_products", self.dim_products)
-        inventory = put("fct_inventory", facts.fct_inventory(self.raw.inventory_snapshots, stores, products), "snapshot_date")
-        put(
-            "fct_purchase_orders",
-            facts.fct_purchase_orders(self.stg_purchase_orders, stores, products, self.stg_suppliers, as_of_orders),
-        )
-        put("fct_sales", facts.fct_sales(self.stg_sales, products, stores, self.as_of), "sale_date")
-        put("fct_stockouts", facts.fct_stockouts(inventory, self.stg_sales), "stockout_date")
-        return built
+
+        def put(name: str, df: DataFrame, partition_by: str | None = None) -> tuple[str, DataFrame]:
+            return name, write_mart(df, f"{folder}/{name}", partition_by)
+
+        yield (made := put("dim_stores", self.dim_stores))
+        stores = made[1]
+        yield (made := put("dim_products", self.dim_products))
+        products = made[1]
+        stock = facts.fct_inventory(self.raw.inventory_snapshots, stores, products)
+        yield (made := put("fct_inventory", stock, "snapshot_date"))
+        inventory = made[1]
+        orders = facts.fct_purchase_orders(self.stg_purchase_orders, stores, products, self.stg_suppliers, as_of_orders)
+        yield put("fct_purchase_orders", orders)
+        yield put("fct_sales", facts.fct_sales(self.stg_sales, products, stores, self.as_of), "sale_date")
+        yield put("fct_stockouts", facts.fct_stockouts(inventory, self.stg_sales), "stockout_date")
+
+    def write_marts(self, folder: str) -> dict[str, DataFrame]:
+        """Every mart under a new ``folder``."""
+        return dict(self.written_marts(folder))
+
+    def publish_marts(self, publication: Publication, run: str, gate: Gate) -> list:
+        """Write all marts as ``run``, check each as written, publish if all pass; returns the failing tests."""
+        return publication.publish(run, self.written_marts(publication.run_folder(run)), gate)

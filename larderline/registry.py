@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 import weakref
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from larderline.functions.columns import surrogate_key
 from larderline.operators import price_versions, quality
+from larderline.operators.metric_history import MetricHistory
 from larderline.operators.reuse import shared_folder
 from larderline.operators.stored_versions import VersionStore
 from larderline.plans import catalogue, checks, dashboard, demand, forecast, planning, reorder, staging
@@ -20,6 +21,8 @@ from larderline.plans.warehouse import Warehouse
 from larderline.sources import raw as raw_feeds
 from larderline.sources import sinks
 from larderline.sources.from_orders import derive_raw
+from larderline.sources.publish import Publication
+from larderline.sources.raw import RawTables
 from larderline.sources.schemas import RAW_SCHEMAS
 
 AS_OF = date(2001, 12, 1)
@@ -27,6 +30,9 @@ AS_OF = date(2001, 12, 1)
 ORDERS_AS_OF = date(2001, 7, 1)
 # Price changes up to this day count as the existing snapshot in the merge query.
 SNAPSHOT_SPLIT = date(1998, 1, 1)
+# The first of two monitoring runs ends here, without some rows of its last days.
+HISTORY_SPLIT = date(1999, 3, 10)
+LATE_DAYS = 6
 # Changes from this day on come as a second batch in the stored snapshot.
 SECOND_BATCH = date(1999, 7, 1)
 HOLIDAY_YEARS = range(1995, 2003)
@@ -272,8 +278,11 @@ _BY_SHOP: dict[str, Callable[[Shop], DataFrame]] = {
     "forecast_failure_modes": lambda s: s.trend_metadata.select("category", "failure_modes"),
     "model_performance": lambda s: forecast.model_performance(s.trend_metadata),
     "planning_quantity": lambda s: _six_places(_planning(s)),
+    "planning_products": lambda s: _six_places(
+        planning.planning_products(s.trend, s.trend_metadata, planning.open_week_rates(s.fct_inventory, s.stg_sales))
+    ),
     "forecast_additive": lambda s: forecast.additive_forecast(s.series, holiday_years=HOLIDAY_YEARS),
-    "forecast_backtest": lambda s: forecast.additive_backtest(s.series, HOLIDAY_YEARS),
+    "forecast_backtest": lambda s: _six_places(forecast.additive_backtest(s.series, HOLIDAY_YEARS)),
     "forecast_metadata": _additive_metadata,
     "latest_inventory": lambda s: s.latest_inventory,
     "reorder_literal": lambda s: s.stored_recommendations,
@@ -329,6 +338,39 @@ def _written_marts(spark: SparkSession, folder: str) -> DataFrame:
     return raw_feeds.row_counts(shop(spark, folder).write_marts(_new_folder(spark)))
 
 
+def _published_marts(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of every mart as readers see it after a good run and a later one whose stores are doubled."""
+    good = shop(spark, folder)
+    twice = RawTables(**{name: (lambda feed=feed: feed) for name, feed in (good.feeds | {"stores": good.raw.stores.unionByName(good.raw.stores)}).items()})
+    publication = Publication(spark, _new_folder(spark))
+    first = good.publish_marts(publication, "first", checks.mart_gate)
+    second = Shop(twice, AS_OF, ORDERS_AS_OF).publish_marts(publication, "second", checks.mart_gate)
+    rows = raw_feeds.row_counts({name: publication.table(name) for name in checks.MART_TESTS})
+    run = publication.current()
+    return rows.select(
+        "*", F.lit(run).alias("published_run"), F.lit(not first).alias("first_passed"), F.lit(", ".join(sorted(f"{r.column_name} {r.test}" for r in second))).alias("second_failed")
+    )
+
+
+def _history(spark: SparkSession, folder: str) -> DataFrame:
+    """Volumes recorded by two runs: the first misses late rows of its last days, the second measures from there on."""
+    s = shop(spark, folder)
+    history = MetricHistory(spark, _new_folder(spark))
+    split = F.lit(HISTORY_SPLIT.isoformat()).cast("date")
+    late_from = HISTORY_SPLIT - timedelta(days=LATE_DAYS)
+
+    def on_time(rows: DataFrame, at: str) -> DataFrame:
+        day = F.col(at).cast("date")
+        late = (day >= F.lit(late_from.isoformat()).cast("date")) & (F.pmod(F.xxhash64(*rows.columns), F.lit(5)) == 0)
+        return rows.filter((day < split) & ~late)
+
+    history.record(1, date(1970, 1, 1), checks.volumes(s, on_time))
+    # Weekly buckets begin on a Monday.
+    since = late_from - timedelta(days=late_from.weekday())
+    history.record(2, since, checks.volumes(s, lambda rows, at: rows.filter(F.col(at).cast("date") >= F.lit(since.isoformat()).cast("date"))))
+    return history.scored().drop("column_name", "metric")
+
+
 def _stamped(build: Callable[[Shop], DataFrame]) -> Query:
     return lambda spark, folder: sinks.write_stamped(build(shop(spark, folder)), _new_folder(spark), CREATED_AT)
 
@@ -344,6 +386,8 @@ WRITING: dict[str, Query] = {
     "load_raw_sales": _loaded_sales,
     "scd2_incremental": _incremental,
     "write_marts": _written_marts,
+    "publish_marts": _published_marts,
+    "anomaly_history": _history,
     "write_forecasts": _stamped(lambda s: _six_places(s.trend)),
     "write_metadata": _stamped(lambda s: forecast.model_performance(s.trend_metadata)),
     "write_recommendations": _stamped(lambda s: s.recommendations),

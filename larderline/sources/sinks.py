@@ -7,28 +7,23 @@ from pyspark.sql import functions as F
 
 
 def write_mart(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
-    """Full refresh of a mart as Parquet; returns the written table.
+    """A mart as Parquet under a new ``path``; returns the written table. A path in use is an error.
 
     A partitioned mart is rebalanced on its partition column first: few files
     per partition value, while a value holding much of the data is split over
     several tasks by adaptive execution.
     """
     if partition_by is None:
-        df.write.mode("overwrite").parquet(path)
+        df.write.parquet(path)
     else:
-        (
-            df.hint("rebalance", F.col(partition_by))
-            .write.mode("overwrite")
-            .partitionBy(partition_by)
-            .parquet(path)
-        )
+        df.hint("rebalance", F.col(partition_by)).write.partitionBy(partition_by).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
 def write_stamped(df: DataFrame, path: str, created_at: str) -> DataFrame:
-    """Full refresh of a result table (forecasts, metadata, recommendations) with the time of its making; read back."""
+    """A result table (forecasts, metadata, recommendations) with the time of its making, under a new path; read back."""
     stamped = df.withColumn("created_at", F.lit(created_at).cast("timestamp_ntz"))
-    stamped.write.mode("overwrite").parquet(path)
+    stamped.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -45,6 +40,5 @@ def write_check_log(results: DataFrame, path: str, run_at: str) -> DataFrame:
             "failed_total": F.count_if(~F.col("passed")).over(all_checks),
         }
     )
-    logged.write.mode("overwrite").json(path)
-    schema = f"{results._jdf.schema().toDDL()}, run_at string, passed_total bigint, failed_total bigint"
-    return results.sparkSession.read.schema(schema).json(path)
+    logged.write.json(path)
+    return results.sparkSession.read.schema(logged.schema).json(path)

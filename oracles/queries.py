@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from oracles.fragments import AS_OF, CATEGORIES, CLUSTERS, STATES, compose, key, ratio, units
+import math
+
+from oracles.fragments import AS_OF, CATEGORIES, CLUSTERS, FRAGMENTS, STATES, Z, compose, fragment, key, ratio, units
 
 QUERIES: dict[str, str] = {}
 
@@ -879,3 +881,214 @@ drift(
         "fct_inventory",
     ),
 )
+
+# ---- additive model ---------------------------------------------------------
+# Fixed values of the model: features in units of 2^-20, ten changepoints, waves of a year and of a month.
+
+UNIT = 2**20
+WAVES = [2.0 * math.pi * k / period for period, order in ((365.25, 10), (30.5, 3)) for k in range(1, order + 1)]
+SIZE = 2 + 10 + 2 * len(WAVES) + 16
+RIDGE = [1e-8] * 2 + [1.0 / 0.05**2] * 10 + [1.0 / 10.0**2] * (SIZE - 12)
+
+
+def doubles(values: list[float]) -> str:
+    return "[" + ", ".join(f"CAST('{v!r}' AS DOUBLE)" for v in values) + "]"
+
+
+def model_features(day: str) -> str:
+    """Level, slope, changepoints, sines, cosines and holiday flags of a day, as whole numbers."""
+    elapsed = f"(({day} - first_day) * {2 * UNIT} + span) // (2 * span)"
+    bends = ", ".join(f"greatest(0, {elapsed} - {round(UNIT * 0.8 * c / 10)})" for c in range(1, 11))
+    waves = [f"list_transform({doubles(WAVES)}, lambda w: CAST(floor({turn}(CAST({day} AS DOUBLE) * w) * {UNIT} + 0.5) AS BIGINT))" for turn in ("sin", "cos")]
+    flags = f"list_transform(holidays, lambda h: CAST(CASE WHEN list_contains(h, {day}) THEN {UNIT} ELSE 0 END AS BIGINT))"
+    return f"list_concat([CAST({UNIT} AS BIGINT), {elapsed}, {bends}], {waves[0]}, {waves[1]}, {flags})"
+
+
+fragment(
+    "holiday_lists",
+    f"""
+SELECT list(days ORDER BY holiday, k) AS holidays
+FROM (SELECT holiday, k, list(CAST(holiday_day + CAST(k AS INTEGER) - DATE '1970-01-01' AS BIGINT)) AS days
+      FROM (SELECT holiday, make_date(CAST(y AS INTEGER), m, d) AS holiday_day
+            FROM {HOLIDAYS}, range(1995, 2003) AS years(y) UNION ALL {MOVABLE}), range(0, 2) AS offsets(k)
+      GROUP BY holiday, k)""",
+)
+fragment(
+    "model_series",
+    """
+SELECT s.category, s.week_start, s.t, CAST(s.total_quantity AS BIGINT) AS y, x.first_day, x.last_day,
+       greatest(x.last_day - x.first_day, 1) AS span, h.holidays,
+       CAST(CASE WHEN x.last_day - x.first_day >= 322 THEN (x.last_day - x.first_day - 322) // 28 + 1 ELSE 0 END AS BIGINT) AS n_folds,
+       (x.last_day - s.t) // 28 AS period
+FROM series s JOIN (SELECT category, min(t) AS first_day, max(t) AS last_day FROM series GROUP BY category) x
+  ON s.category = x.category, holiday_lists h""",
+    "series",
+    "holiday_lists",
+)
+
+
+def additive(name: str, fold: str, folds: str, chosen: str) -> None:
+    """Fragment ``<name>_fits``: coefficients per category and fold from running sums over the folds' numbers."""
+    fragment(
+        f"{name}_rows",
+        f"SELECT category, {fold} AS fold, y, {model_features('t')} AS f FROM model_series WHERE {chosen}",
+        "model_series",
+    )
+    fragment(f"{name}_folds", f"SELECT DISTINCT category, k AS fold FROM model_series, range(0, 10000) AS n(k) WHERE {folds}", "model_series")
+    running = "OVER (PARTITION BY category, i, j ORDER BY fold DESC)"
+    fragment(
+        f"{name}_gram",
+        f"""
+SELECT category, fold, i, j, sum(coalesce(g, 0)) {running} AS g
+FROM (SELECT f.category, f.fold, i, j FROM {name}_folds f, range(1, {SIZE + 1}) AS a(i), range(1, {SIZE + 2}) AS b(j) WHERE j >= i)
+LEFT JOIN (SELECT category, fold, i, j, sum(CAST(f[i] AS HUGEINT) * CASE WHEN j > {SIZE} THEN y ELSE f[j] END) AS g
+           FROM {name}_rows, range(1, {SIZE + 1}) AS a(i), range(1, {SIZE + 2}) AS b(j) WHERE j >= i GROUP BY ALL)
+  USING (category, fold, i, j)""",
+        f"{name}_folds",
+        f"{name}_rows",
+    )
+    later = "OVER (PARTITION BY category ORDER BY fold DESC)"
+    fragment(
+        f"{name}_totals",
+        f"""
+SELECT *, greatest(peak, CAST(1 AS DOUBLE)) AS scale, greatest((syy / n - (sy / n) * (sy / n)) / (greatest(peak, 1) * greatest(peak, 1)), 1e-6) AS noise
+FROM (SELECT f.category, f.fold, CAST(sum(n) {later} AS DOUBLE) AS n, CAST(sum(sy) {later} AS DOUBLE) AS sy,
+             CAST(sum(syy) {later} AS DOUBLE) AS syy, CAST(max(peak) {later} AS DOUBLE) AS peak
+      FROM {name}_folds f LEFT JOIN (SELECT category, fold, count(*) AS n, sum(y) AS sy, sum(CAST(y AS HUGEINT) * y) AS syy, max(y) AS peak
+                                     FROM {name}_rows GROUP BY ALL) r USING (category, fold))""",
+        f"{name}_folds",
+        f"{name}_rows",
+    )
+    fragment(
+        f"{name}_fits",
+        f"""
+WITH RECURSIVE systems AS (
+  SELECT category, fold, list(r ORDER BY i) AS m
+  FROM (SELECT category, fold, i, list(v ORDER BY j) AS r
+        FROM (SELECT g.category, g.fold, i, j,
+                     CASE WHEN j > {SIZE} THEN CAST(g AS DOUBLE) / CAST({UNIT} AS DOUBLE) / t.scale
+                          ELSE CAST(g AS DOUBLE) / CAST({UNIT**2} AS DOUBLE) + CASE WHEN i = j THEN ({doubles(RIDGE)})[i] * t.noise ELSE CAST(0 AS DOUBLE) END
+                     END AS v
+              FROM (SELECT category, fold, i, j, g FROM {name}_gram
+                    UNION ALL SELECT category, fold, j, i, g FROM {name}_gram WHERE j > i AND j <= {SIZE}) g
+              JOIN {name}_totals t ON g.category = t.category AND g.fold = t.fold)
+        GROUP BY category, fold, i)
+  GROUP BY category, fold
+), steps AS (
+  SELECT category, fold, 1 AS k, m FROM systems
+  UNION ALL
+  SELECT category, fold, k + 1,
+         list_transform(m, lambda r, i: CASE WHEN i = k THEN list_transform(m[k][2:], lambda x: x / m[k][1])
+                                             ELSE list_transform(r[2:], lambda x, c: x - (r[1] / m[k][1]) * m[k][c + 1]) END)
+  FROM steps WHERE k <= {SIZE}
+)
+SELECT s.category, s.fold, flatten(s.m) AS beta, t.scale, t.noise, t.n, t.syy, t.peak,
+       (SELECT list(CAST(g AS DOUBLE) / CAST({UNIT} AS DOUBLE) / t.scale ORDER BY i) FROM {name}_gram g
+        WHERE g.category = s.category AND g.fold = s.fold AND j > {SIZE}) AS rhs
+FROM steps s JOIN {name}_totals t ON s.category = t.category AND s.fold = t.fold WHERE k = {SIZE + 1}""",
+        f"{name}_gram",
+        f"{name}_totals",
+    )
+
+
+def dot(features_: str, places: int = SIZE) -> str:
+    return f"list_sum(list_transform(({features_})[1:{places}], lambda x, c: CAST(x AS DOUBLE) / CAST({UNIT} AS DOUBLE) * beta[c])) * scale"
+
+
+additive("model_whole", "0", "k = 0", "TRUE")
+additive("model_fold", "least(period, n_folds) - 1", "k < n_folds", "n_folds > 0 AND period >= 1")
+SHRUNK = f"list_sum(list_transform({doubles(RIDGE)}, lambda w, c: beta[c] * beta[c] * (w * noise)))"
+fragment(
+    "additive_forecast",
+    f"""
+SELECT forecast_date, category, 'all' AS store_cluster, round(greatest(CAST(0 AS DOUBLE), least(yhat, cap)), 2) AS yhat,
+       round(greatest(CAST(0 AS DOUBLE), least(yhat - band, cap)), 2) AS yhat_lower,
+       round(greatest(CAST(0 AS DOUBLE), least(yhat + band, cap)), 2) AS yhat_upper, round(trend, 2) AS trend
+FROM (SELECT forecast_date, category, peak * CAST(3 AS DOUBLE) AS cap, {dot('f')} AS yhat, {dot('f', 12)} AS trend,
+             sqrt(greatest(syy / (scale * scale) - list_sum(list_transform(rhs, lambda x, c: x * beta[c])) - {SHRUNK}, CAST(0 AS DOUBLE))
+                  / greatest(n - 2, CAST(1 AS DOUBLE))) * scale * {Z} AS band
+      FROM (SELECT w.*, u.sunday AS forecast_date, {model_features("CAST(u.sunday - DATE '1970-01-01' AS BIGINT)")} AS f
+            FROM model_whole_fits w JOIN (SELECT DISTINCT category, first_day, span, holidays FROM model_series) m ON w.category = m.category
+            JOIN future u ON w.category = u.category))""",
+    "model_whole_fits",
+    "model_series",
+    "future",
+)
+fragment(
+    "additive_backtest",
+    f"""
+SELECT category, CAST(DATE '1970-01-01' + CAST(last_day - 28 * (fold + 1) AS INTEGER) AS DATE) AS cutoff, week_start, y, {dot('f')} AS yhat
+FROM (SELECT m.*, w.fold, w.beta, w.scale, {model_features('t')} AS f
+      FROM model_series m JOIN model_fold_fits w ON m.category = w.category AND m.period = w.fold)""",
+    "model_series",
+    "model_fold_fits",
+)
+fragment("additive_accuracy", FRAGMENTS["accuracy"].replace("FROM backtest", "FROM additive_backtest"), "additive_backtest")
+fragment("additive_metadata", FRAGMENTS["metadata"].replace("JOIN accuracy", "JOIN additive_accuracy"), "eligibility", "additive_accuracy")
+whole("forecast_additive", "additive_forecast")
+add("forecast_backtest", f"SELECT category, cutoff, week_start, y, {six('yhat')} FROM additive_backtest", "additive_backtest")
+add(
+    "forecast_metadata",
+    """
+SELECT m.category, m.store_cluster, m.mape, m.rmse,
+       CASE WHEN a.n_folds > 0 THEN 'success'
+            ELSE 'failed: history is shorter than the initial window plus one horizon' END AS cv_status,
+       m.n_weeks, m.failure_modes
+FROM additive_metadata m LEFT JOIN additive_accuracy a ON m.category = a.category""",
+    "additive_metadata",
+    "additive_accuracy",
+)
+
+# ---- planning by product ----------------------------------------------------
+fragment(
+    "open_rates",
+    """
+SELECT store_id, product_id, category, store_cluster, CAST(count(*) FILTER (NOT masked) AS BIGINT) AS open_weeks,
+       CAST(count(*) FILTER (masked) AS BIGINT) AS masked_weeks,
+       CAST(sum(units) FILTER (NOT masked) AS DOUBLE) / nullif(CAST(count(*) FILTER (NOT masked) AS DOUBLE), 0) AS weekly_rate,
+       CAST(coalesce(sum(units) FILTER (last_week - week_start < 28), 0) AS DOUBLE) / CAST(4 AS DOUBLE) AS recent_units,
+       bool_or(masked AND last_week - week_start < 28) AS had_stockout
+FROM (SELECT i.*, coalesce(s.units, 0) AS units, max(i.week_start) OVER () AS last_week
+      FROM (SELECT store_id, product_id, category, store_cluster, CAST(date_trunc('week', snapshot_date) AS DATE) AS week_start,
+                   bool_or(is_stockout) AS masked
+            FROM fct_inventory GROUP BY ALL) i
+      LEFT JOIN (SELECT store_id, product_id, CAST(date_trunc('week', sale_date) AS DATE) AS week_start, sum(quantity) AS units
+                 FROM stg_sales GROUP BY ALL) s USING (store_id, product_id, week_start))
+GROUP BY store_id, product_id, category, store_cluster""",
+    "fct_inventory",
+    "stg_sales",
+)
+
+# ---- runs over stored tables ------------------------------------------------
+QUERIES["anomaly_history"] = QUERIES["anomaly_volume"]
+add(
+    "publish_marts",
+    "\nUNION ALL ".join(
+        f"SELECT '{m}' AS table_name, count(*) AS row_count, 'first' AS published_run, TRUE AS first_passed, 'store_id unique' AS second_failed FROM {m}"
+        for m in MARTS
+    ),
+    *MARTS,
+)
+add(
+    "planning_products",
+    """
+SELECT r.store_id, r.product_id, r.category, r.store_cluster, r.open_weeks, r.masked_weeks, round(r.weekly_rate, 6) AS weekly_rate,
+       CASE WHEN a.mape > 80 THEN 'unreliable' WHEN r.had_stockout THEN 'recent_stockout'
+            WHEN r.category = 'fresh_produce' THEN 'fresh_produce' ELSE 'point_forecast' END AS rule,
+       coalesce(a.mape > 80, FALSE) AS needs_review,
+       round(CASE WHEN a.mape > 80 AND r.weekly_rate / a.total IS NOT NULL THEN greatest(a.up * (r.weekly_rate / a.total), r.recent_units)
+                  WHEN a.mape > 80 THEN NULL
+                  WHEN r.had_stockout THEN a.up * (r.weekly_rate / a.total) * CAST(1.15 AS DOUBLE)
+                  WHEN r.category = 'fresh_produce' THEN a.up * (r.weekly_rate / a.total)
+                  ELSE a.mid * (r.weekly_rate / a.total) END
+             + CASE WHEN r.store_cluster = 'rural' AND r.category IN ('fresh_produce', 'dairy', 'meat_seafood', 'bakery')
+                    THEN a.mid * (r.weekly_rate / a.total) ELSE CAST(0 AS DOUBLE) END, 6) AS planned_weekly_units
+FROM open_rates r LEFT JOIN (
+  SELECT f.category, f.mid, f.up, t.total, m.mape
+  FROM (SELECT category, avg(yhat) AS mid, avg(yhat_upper) AS up FROM forecast GROUP BY category) f
+  JOIN (SELECT category, sum(weekly_rate) AS total FROM open_rates GROUP BY category) t ON f.category = t.category
+  LEFT JOIN metadata m ON f.category = m.category) a ON r.category = a.category""",
+    "open_rates",
+    "forecast",
+    "metadata",
+)

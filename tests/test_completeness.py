@@ -101,3 +101,23 @@ def test_averages_of_stockouts_need_no_version_join(spark):
     below = text[text.index("revenue_cents"):] if "revenue_cents" in text else ""
     averages = below.split("Aggregate [store_id", 1)[-1]
     assert below and "valid_from" not in averages
+
+
+def test_weeks_with_an_empty_shelf_do_not_count_as_demand(spark):
+    from larderline.plans import planning
+
+    monday = lambda w: date(2023, 1, 2 + 7 * w)
+    stock = [("S1", "P1", w, w in (2, 3)) for w in range(4)] + [("S2", "P1", w, False) for w in range(4)] + [("S1", "P2", w, True) for w in range(4)]
+    inventory = spark.createDataFrame([(s, p, monday(w), out, "dairy", "rural" if s == "S2" else "suburban") for s, p, w, out in stock],
+                                      "store_id string, product_id string, snapshot_date date, is_stockout boolean, category string, store_cluster string")
+    sales = [("S1", "P1", 0, 10), ("S1", "P1", 1, 20), ("S1", "P1", 3, 1), ("S2", "P1", 0, 20), ("S2", "P1", 2, 20), ("S1", "P2", 0, 3)]
+    sold = spark.createDataFrame([(s, p, date(2023, 1, 4 + 7 * w), q_) for s, p, w, q_ in sales], "store_id string, product_id string, sale_date date, quantity int")
+    rates = {(r.store_id, r.product_id): r for r in planning.open_week_rates(inventory, sold, recent_weeks=1).collect()}
+    assert [(rates[k].open_weeks, rates[k].masked_weeks, rates[k].weekly_rate) for k in (("S1", "P1"), ("S2", "P1"), ("S1", "P2"))] == [(2, 2, 15.0), (4, 0, 10.0), (0, 4, None)]
+    assert rates["S1", "P1"].had_stockout and rates["S1", "P1"].recent_units == 1.0 and not rates["S2", "P1"].had_stockout
+    ahead = spark.createDataFrame([("dairy", 100.0, 200.0)], "category string, yhat double, yhat_upper double")
+    meta = spark.createDataFrame([("dairy", 30.0)], "category string, mape double")
+    plan = planning.planning_products(ahead, meta, planning.open_week_rates(inventory, sold, recent_weeks=1))
+    got = {(r.store_id, r.product_id): (r.rule, r.planned_weekly_units) for r in plan.collect()}
+    assert got["S1", "P1"] == ("recent_stockout", pytest.approx(200 * 0.6 * 1.15))
+    assert got["S2", "P1"] == ("point_forecast", pytest.approx(100 * 0.4 * 2)) and got["S1", "P2"] == ("recent_stockout", None)
