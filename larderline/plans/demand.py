@@ -1,4 +1,4 @@
-"""Weekly demand series built from the sales fact."""
+"""Weekly demand series built from the sales fact, or from its sums by store, product and day."""
 
 from __future__ import annotations
 
@@ -11,17 +11,17 @@ MIN_WEEKS = 26
 MAX_ZERO_SHARE = 0.3
 
 
-def weekly_sales(fct_sales: DataFrame) -> DataFrame:
+def weekly_sales(sales: DataFrame) -> DataFrame:
     """Units and revenue per Monday week and category, every week included."""
-    return fct_sales.groupBy(F.trunc("sale_date", "week").alias("week_start"), "category").agg(
+    return sales.groupBy(F.trunc("sale_date", "week").alias("week_start"), "category").agg(
         F.sum("quantity").alias("total_quantity"),
         F.sum("revenue").cast("decimal(38,2)").alias("total_revenue"),
     )
 
 
-def weekly_demand(fct_sales: DataFrame) -> DataFrame:
+def weekly_demand(sales: DataFrame) -> DataFrame:
     """The forecast input: weekly units, revenue and selling stores, without the partial first week."""
-    weekly = fct_sales.groupBy(F.trunc("sale_date", "week").alias("week_start"), "category").agg(
+    weekly = sales.groupBy(F.trunc("sale_date", "week").alias("week_start"), "category").agg(
         F.sum("quantity").alias("total_quantity"),
         F.sum("revenue").cast("decimal(38,2)").alias("total_revenue"),
         F.countDistinct("store_id").alias("store_count"),
@@ -93,9 +93,9 @@ def eligible_series(weekly: DataFrame) -> DataFrame:
     )
 
 
-def weekly_by_cluster(fct_sales: DataFrame) -> DataFrame:
+def weekly_by_cluster(sales: DataFrame) -> DataFrame:
     """Units per week, category and store cluster: the one pass over sales behind all forecast steps."""
-    return fct_sales.groupBy(F.trunc("sale_date", "week").alias("week_start"), "category", "store_cluster").agg(
+    return sales.groupBy(F.trunc("sale_date", "week").alias("week_start"), "category", "store_cluster").agg(
         F.sum("quantity").alias("total_quantity")
     )
 

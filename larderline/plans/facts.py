@@ -191,6 +191,20 @@ def fct_sales(
     )
 
 
+def daily_demand(stg_sales: DataFrame, dim_products: DataFrame, dim_stores: DataFrame, as_of: date) -> DataFrame:
+    """Units and revenue per store, product and day, with the category valid on it and the store's cluster.
+
+    What the demand series need of the sales: the sums are taken before versions and stores are joined, so the joins
+    see one narrow row for all sales of a product in a store on a day.
+    """
+    daily = stg_sales.groupBy(*STORE_PRODUCT, "sale_date").agg(F.sum("quantity").alias("quantity"), F.sum("total_amount").alias("revenue"))
+    versions = dim_products.select("product_id", "category", "valid_from", "valid_to")
+    priced = join_at(daily, versions, "product_id", "sale_date", as_of, by_year=True)
+    return priced.join(dim_stores.select("store_id", "store_cluster"), "store_id", "left").select(
+        *STORE_PRODUCT, "sale_date", "category", "store_cluster", "quantity", "revenue"
+    )
+
+
 def sales_averages(stg_sales: DataFrame) -> DataFrame:
     """Revenue (cents) and quantity sums with their counts per store and product.
 

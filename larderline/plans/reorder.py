@@ -98,11 +98,11 @@ def reorder_by_cluster(
 def reorder_by_share(
     latest: DataFrame,
     forecast: DataFrame,
-    fct_sales: DataFrame,
+    sales: DataFrame,
     multipliers: dict[str, float] = DOCUMENTED_MULTIPLIERS,
 ) -> DataFrame:
     """Category forecasts brought to each store and product by its share of the category's units."""
-    sold = fct_sales.filter(F.col("category").isNotNull()).groupBy("category", *STORE_PRODUCT).agg(
+    sold = sales.filter(F.col("category").isNotNull()).groupBy("category", *STORE_PRODUCT).agg(
         F.sum("quantity").alias("units")
     )
     totals = sold.groupBy("category").agg(F.sum("units").alias("category_units"))

@@ -77,6 +77,10 @@ class Warehouse:
     def fct_sales(self) -> DataFrame:
         return facts.fct_sales(self.stg_sales, self.dim_products, self.dim_stores, self.as_of)
 
+    @cached_property
+    def daily_demand(self) -> DataFrame:
+        return facts.daily_demand(self.stg_sales, self.dim_products, self.dim_stores, self.as_of)
+
     @cached_property
     def fct_stockouts(self) -> DataFrame:
         return facts.fct_stockouts(self.fct_inventory, self.stg_sales)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 import weakref
 from collections.abc import Callable
@@ -39,6 +40,7 @@ HOLIDAY_YEARS = range(1995, 2003)
 FORECAST_FROM = date(2001, 12, 1)
 
 Query = Callable[[SparkSession, str], DataFrame]
+Listing = tuple[tuple[str, int, int], ...]
 
 
 class Shop(Warehouse):
@@ -46,16 +48,16 @@ class Shop(Warehouse):
 
     @cached_property
     def weekly_sales(self) -> DataFrame:
-        return demand.weekly_sales(self.fct_sales)
+        return demand.weekly_sales(self.daily_demand)
 
     @cached_property
     def weekly_demand(self) -> DataFrame:
-        return demand.weekly_demand(self.fct_sales)
+        return demand.weekly_demand(self.daily_demand)
 
     @cached_property
     def by_cluster(self) -> DataFrame:
         """Weekly units by category and cluster: trend, backtest, shares and floors all read it."""
-        return demand.weekly_by_cluster(self.fct_sales)
+        return demand.weekly_by_cluster(self.daily_demand)
 
     @cached_property
     def series(self) -> DataFrame:
@@ -80,7 +82,7 @@ class Shop(Warehouse):
 
     @cached_property
     def recommendations(self) -> DataFrame:
-        return reorder.reorder_by_share(self.latest_inventory, self.trend, self.fct_sales)
+        return reorder.reorder_by_share(self.latest_inventory, self.trend, self.daily_demand)
 
     @cached_property
     def stored_recommendations(self) -> DataFrame:
@@ -91,15 +93,24 @@ class Shop(Warehouse):
         return dict(self.raw.items())
 
 
-_shops: weakref.WeakKeyDictionary[SparkSession, dict[str, Shop]] = weakref.WeakKeyDictionary()
+_shops: weakref.WeakKeyDictionary[SparkSession, dict[str, tuple[Listing, Shop]]] = weakref.WeakKeyDictionary()
+
+
+def _listing(folder: str) -> Listing | None:
+    """The files of a local folder with their sizes and times; None elsewhere."""
+    if not os.path.isdir(folder):
+        return None
+    names = [os.path.join(at, name) for at, _, found in os.walk(folder) for name in found]
+    return tuple(sorted((name, (stat := os.stat(name)).st_size, stat.st_mtime_ns) for name in names))
 
 
 def shop(spark: SparkSession, folder: str) -> Shop:
-    """One warehouse per session and folder: its file listing belongs together."""
+    """The warehouse over a folder: kept for a session as long as the files of a local folder stay as they are."""
+    listing = _listing(folder)
     known = _shops.setdefault(spark, {})
-    if folder not in known:
-        known[folder] = Shop(derive_raw(spark, folder), AS_OF, ORDERS_AS_OF)
-    return known[folder]
+    if listing is None or folder not in known or known[folder][0] != listing:
+        known[folder] = listing, Shop(derive_raw(spark, folder), AS_OF, ORDERS_AS_OF)
+    return known[folder][1]
 
 
 def forget() -> None:

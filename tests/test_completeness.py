@@ -121,3 +121,29 @@ def test_weeks_with_an_empty_shelf_do_not_count_as_demand(spark):
     got = {(r.store_id, r.product_id): (r.rule, r.planned_weekly_units) for r in plan.collect()}
     assert got["S1", "P1"] == ("recent_stockout", pytest.approx(200 * 0.6 * 1.15))
     assert got["S2", "P1"] == ("point_forecast", pytest.approx(100 * 0.4 * 2)) and got["S1", "P2"] == ("recent_stockout", None)
+
+
+def test_a_changed_folder_is_read_anew(spark, tmp_path):
+    import os
+    import shutil
+
+    folder = str(tmp_path / "tables")
+    os.mkdir(folder)
+    for name in ("region", "nation", "supplier", "part", "customer", "orders", "lineitem"):
+        shutil.copy(f"{SMALL}/{name}.parquet", folder)
+    first = registry.shop(spark, folder)
+    assert registry.shop(spark, folder) is first and first.raw.suppliers.count() > 3
+    os.remove(f"{folder}/supplier.parquet")
+    spark.read.parquet(f"{SMALL}/supplier.parquet").limit(3).write.parquet(f"{folder}/supplier.parquet")
+    assert registry.shop(spark, folder).raw.suppliers.count() == 3
+
+
+def test_optional_queries_may_be_absent():
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parents[1]
+    blocked = "import sys; sys.modules['larderline.llm'] = None; import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    made = subprocess.run([sys.executable, "-c", blocked], cwd=root, capture_output=True, text=True)
+    assert made.stdout.split() == [str(len(registry.QUERIES))] * 2

@@ -97,3 +97,17 @@ def test_inventory_is_built_and_exchanged_once(spark):
     assert text.count("Exchange hashpartitioning(store_id") == 1 and text.count("[n_nationkey % 5") <= 1
     window = text.index("Window [sum(")
     assert "md5" in text[:window] and "md5" not in text[window:]
+
+
+@pytest.mark.parametrize("name", ["weekly_demand", "forecast_trend", "reorder_topdown"])
+def test_sales_are_summed_before_versions_are_joined(spark, name):
+    text = registry.QUERIES[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    lines = text.splitlines()
+    joins = [i for i, line in enumerate(lines) if re.search(r"Join LeftOuter.*valid_from", line)]
+    depth = lambda line: len(re.match(r"[ :+|-]*", line)[0])
+    for i in joins:
+        below = lines[i + 1 :]
+        first = below[0]
+        inside = [line for k, line in enumerate(below) if k == 0 or all(depth(x) >= depth(first) for x in below[: k + 1])]
+        assert any("Aggregate [store_id" in line and "sale_date" in line for line in inside)
+    assert joins
