@@ -67,26 +67,29 @@ def _entries(size: int) -> Column:
     return F.concat(products, moments, rest)
 
 
-def fold_sums(rows: DataFrame, keys: Sequence[str], size: int) -> DataFrame:
-    """(*keys, _fold, _sums, _carried): for every fold the sums over all rows of its number or a higher one.
+def places(size: int) -> int:
+    """Number of sums of a fold with ``size`` features."""
+    return size * (size + 1) // 2 + size + 4
 
-    ``rows`` hold keys, ``_fold``, ``_f`` and ``_y`` (both NULL on rows that only carry) and ``_carry`` (a struct to be
-    handed on to the fold of the same number, or NULL). A fold without rows of either kind does not appear.
+
+def fold_sums(rows: DataFrame, keys: Sequence[str], size: int, constants: Sequence[str]) -> DataFrame:
+    """(*keys, _fold, *constants, _sums, _tests): for every fold the sums over all rows of its number or a higher one.
+
+    ``rows`` hold keys, ``_fold``, ``_y``, ``_f``, ``_day`` and columns that are constant for a key. A row without ``_f`` is
+    not summed: it is handed on as (g: day, h: value) in ``_tests`` of its fold, which must have rows of its own.
     """
-    # A row that only carries stands for every place of its fold, so that a fold without rows of its own has its sums.
-    nothing = F.struct(F.lit(None).cast("bigint").alias("g"), F.lit(None).cast("decimal(38,0)").alias("h"))
-    empty = F.array_repeat(nothing, size * (size + 1) // 2 + size + 4)
-    each = rows.select(*keys, "_fold", "_carry", F.posexplode(F.when(F.col("_f").isNotNull(), _entries(size)).otherwise(empty)))
-    by_place = each.groupBy(*keys, "_fold", "pos").agg(
-        F.sum("col.g").alias("g"), F.sum("col.h").alias("h"), F.max("col.g").alias("m"),
-        F.collect_list(F.when(F.col("pos") == 0, F.col("_carry"))).alias("_carry"),
-    )
+    test = F.array(F.struct(F.col("_day").cast("bigint").alias("g"), F.col("_y").cast("decimal(38,0)").alias("h")))
+    each = rows.select(*keys, "_fold", *constants, "_day", F.col("_f").isNull().alias("_is_test"), F.posexplode(F.coalesce(F.when(F.col("_f").isNotNull(), _entries(size)), test)))
+    place = F.when(F.col("_is_test"), F.col("_day") + places(size)).otherwise(F.col("pos").cast("bigint")).alias("pos")
+    by_place = each.groupBy(*keys, "_fold", place).agg(
+        F.sum("col.g").alias("g"), F.sum("col.h").alias("h"), F.max("col.g").alias("m"), *[F.max(c).alias(c) for c in constants]
+    )
     # One row a fold and place; the sums run from the fold with the earliest cutoff.
     later = Window.partitionBy(*keys, "pos").orderBy(F.desc("_fold"))
-    running = by_place.select(
-        *keys, "_fold", "_carry", F.struct("pos", F.sum("g").over(later).alias("g"), F.sum("h").over(later).alias("h"), F.max("m").over(later).alias("m")).alias("_sum")
-    )
-    return running.groupBy(*keys, "_fold").agg(F.sort_array(F.collect_list("_sum")).alias("_sums"), F.flatten(F.collect_list("_carry")).alias("_carried"))
+    sums = F.struct("pos", F.sum("g").over(later).alias("g"), F.sum("h").over(later).alias("h"), F.max("m").over(later).alias("m"))
+    running = by_place.select(*keys, "_fold", *constants, sums.alias("_sum"))
+    whole = running.groupBy(*keys, "_fold").agg(F.sort_array(F.collect_list("_sum")).alias("_sums"), *[F.max(c).alias(c) for c in constants])
+    return whole.withColumn("_tests", F.slice("_sums", places(size) + 1, F.greatest(F.size("_sums") - places(size), F.lit(0))))
 
 
 def dealt(df: DataFrame, *keys: str) -> DataFrame:
@@ -109,24 +112,24 @@ def systems(sums: DataFrame, size: int, holidays: int) -> DataFrame:
     spread = (F.col("_yy") / F.col("_n") - F.col("_mean") * F.col("_mean")) / (F.col("_scale") * F.col("_scale"))
     named = named.withColumn("_noise", F.greatest(spread, F.lit(LEAST_NOISE)))
     weights = F.array(*map(F.lit, penalties(holidays)))
-    places = F.sequence(F.lit(0), F.lit(size - 1))
+    rows_ = F.sequence(F.lit(0), F.lit(size - 1))
 
     def product(i: Column, j: Column) -> Column:
         low, high = F.least(i, j), F.greatest(i, j)
         return at(low * size - F.call_function("div", low * (low - 1), F.lit(2)).cast("int") + high - low)["g"].cast("double") / float(UNIT**2)
 
     right = lambda i: at(i + pairs)["h"].cast("double") / float(UNIT) / F.col("_scale")
-    row = lambda i: F.transform(places, lambda j: product(i, j) + F.when(i == j, F.get(weights, i) * F.col("_noise")).otherwise(0.0))
+    row = lambda i: F.transform(rows_, lambda j: product(i, j) + F.when(i == j, F.get(weights, i) * F.col("_noise")).otherwise(0.0))
     made = {
-        "_system": F.transform(places, lambda i: F.concat(row(i), F.array(right(i)))),
-        "_right": F.transform(places, right),
+        "_system": F.transform(rows_, lambda i: F.concat(row(i), F.array(right(i)))),
+        "_right": F.transform(rows_, right),
     }
     return named.withColumns(made).drop("_sums", "_mean")
 
 
 def solved(equations: DataFrame, size: int, holidays: int) -> DataFrame:
     """Adds ``_beta`` (coefficients of the features in their natural scale) and ``_spread`` of the residuals to every fold."""
-    places = F.sequence(F.lit(0), F.lit(size - 1))
+    rows_ = F.sequence(F.lit(0), F.lit(size - 1))
 
     def eliminate(m: Column, k: Column) -> Column:
         """Solve for unknown k: its column leaves every row, so that what is left at the end is the solution."""
@@ -139,7 +142,7 @@ def solved(equations: DataFrame, size: int, holidays: int) -> DataFrame:
             ),
         )
 
-    named = equations.withColumn("_beta", F.flatten(F.aggregate(places, F.col("_system"), eliminate)))
+    named = equations.withColumn("_beta", F.flatten(F.aggregate(rows_, F.col("_system"), eliminate)))
     explained = F.zip_with("_beta", "_right", lambda b, r: b * r)
     weights = F.array(*map(F.lit, penalties(holidays)))
     shrunk = F.zip_with("_beta", weights, lambda b, w: b * b * (w * F.col("_noise")))

@@ -13,7 +13,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larderline.operators.additive_model import INTERVAL_Z, SEASON, TREND, dealt, features, fold_sums, predicted, solved, systems
+from larderline.operators.additive_model import INTERVAL_Z, SEASON, TREND, dealt, features, fold_sums, places, predicted, solved, systems
 from larderline.plans.demand import demand_shares, eligible_series
 
 HORIZON_WEEKS = 12
@@ -327,14 +327,13 @@ def additive_forecast(
     holidays = _holiday_lists(holiday_years)
     size = TREND + SEASON + len(holidays)
     rows = _with_features(eligible_series(weekly), holidays)
-    facts = F.when(F.col("_day") == F.col("_last"), F.struct("_first", "_last", "_span", "week_start"))
-    one_fold = rows.select("category", F.lit(0).alias("_fold"), "_f", "_y", facts.alias("_carry"))
-    sums = dealt(fold_sums(one_fold, ["category"], size), "category")
-    peak = F.get("_sums", F.lit(size * (size + 1) // 2 + size + 3))["m"].cast("double")
+    constants = ["_first", "_last", "_span"]
+    sums = dealt(fold_sums(rows.withColumn("_fold", F.lit(0)), ["category"], size, constants), "category")
+    peak = F.get("_sums", F.lit(places(size) - 1))["m"].cast("double")
     equations = systems(sums.withColumn("_cap", peak * HISTORY_CAP), size, len(holidays))
     fitted = solved(dealt(equations, "category"), size, len(holidays))
-    fitted = fitted.select("category", "_beta", "_scale", "_spread", "_cap", F.inline("_carried"))
-    ahead = _with_future(fitted.withColumn("last_week", F.col("week_start")), horizon, anchor)
+    last_week = F.date_add(F.lit(EPOCH).cast("date"), F.col("_last").cast("int"))
+    ahead = _with_future(fitted.withColumn("last_week", last_week), horizon, anchor)
     ahead = ahead.withColumn("_f", features(epoch_day(F.col("forecast_date")), F.col("_first"), F.col("_span"), holidays))
     yhat, band = F.col("_yhat"), F.col("_spread") * INTERVAL_Z
     return ahead.withColumn("_yhat", predicted(F.col("_f"))).select(
@@ -360,27 +359,34 @@ def additive_backtest(weekly: DataFrame, holiday_years: Sequence[int] | None = N
     age = (F.col("_last") - F.col("_day")).cast("int")
     room = (F.col("_last") - F.col("_first")).cast("int") - INITIAL_DAYS - FOLD_HORIZON_DAYS
     folds_ = F.floor(room / PERIOD_DAYS).cast("int") + 1
-    held_out, trained = F.floor(age / PERIOD_DAYS).cast("int"), F.least(F.floor(age / PERIOD_DAYS).cast("int"), folds_) - 1
-    test = F.struct("week_start", "_day", F.col("_y").alias("y"), F.col("_f").alias("_made"))
+    number = F.floor(age / PERIOD_DAYS).cast("int")
+    before = Window.partitionBy("category").orderBy("_day")
+    numbered = rows.filter(room >= 0).withColumns({"_number": number, "_folds": folds_})
+    # The last week before a period of held-out weeks ends the training rows of its fold, also after a gap.
+    turn = F.when(F.lag("_number").over(before) != F.col("_number"), F.lag("_number").over(before))
+    numbered = numbered.withColumn("_turn", turn).withColumn("_fitted", F.last("_turn", ignorenulls=True).over(before))
     cases = F.array_compact(
         F.array(
-            F.when(trained >= 0, F.struct(trained.alias("_fold"), F.lit(True).alias("_trains"))),
-            F.when(held_out < folds_, F.struct(held_out.alias("_fold"), F.lit(False).alias("_trains"))),
+            F.when(F.col("_number") > 0, F.struct((F.least("_number", "_folds") - 1).alias("_fold"), F.lit(True).alias("_trains"))),
+            F.when(F.col("_number") < F.col("_folds"), F.struct((F.least("_fitted", "_folds") - 1).alias("_fold"), F.lit(False).alias("_trains"))),
         )
     )
-    each = rows.filter(room >= 0).select("category", "_f", "_y", test.alias("_test"), F.col("_last"), F.inline(cases))
-    parts = each.select(
+    constants = ["_first", "_last", "_span"]
+    each = numbered.select("category", "_day", "_y", "_f", *constants, F.inline(cases))
+    parts = each.withColumn("_f", F.when(F.col("_trains"), F.col("_f")))
+    sums = dealt(fold_sums(parts, ["category"], size, constants), "category", "_fold")
+    fitted = solved(dealt(systems(sums, size, len(holidays)), "category", "_fold"), size, len(holidays))
+    tested = fitted.select("category", "_beta", "_scale", *constants, F.inline("_tests")).withColumnsRenamed({"g": "_day", "h": "y"})
+    on = lambda days: F.date_add(F.lit(EPOCH).cast("date"), days.cast("int"))
+    periods = F.floor((F.col("_last") - F.col("_day")) / PERIOD_DAYS) + 1
+    made = features(F.col("_day"), F.col("_first"), F.col("_span"), holidays)
+    return tested.select(
         "category",
-        "_fold",
-        F.when(F.col("_trains"), F.col("_f")).alias("_f"),
-        F.when(F.col("_trains"), F.col("_y")).alias("_y"),
-        F.when(~F.col("_trains"), F.struct("_test.*", "_last")).alias("_carry"),
+        on(F.col("_last") - periods * PERIOD_DAYS).alias("cutoff"),
+        on(F.col("_day")).alias("week_start"),
+        F.col("y").cast("bigint").alias("y"),
+        predicted(made).alias("yhat"),
     )
-    sums = dealt(fold_sums(parts, ["category"], size), "category", "_fold")
-    fitted = solved(dealt(systems(sums, size, len(holidays)), "category", "_fold"), size, len(holidays))
-    tested = fitted.select("category", "_fold", "_beta", "_scale", F.inline("_carried"))
-    cutoff = F.date_add(F.lit(EPOCH).cast("date"), (F.col("_last") - (F.col("_fold") + 1) * PERIOD_DAYS).cast("int"))
-    return tested.select("category", cutoff.alias("cutoff"), "week_start", "y", predicted(F.col("_made")).alias("yhat"))
 
 
 def topdown_forecast(forecast: DataFrame, by_cluster: DataFrame) -> DataFrame:
