@@ -19,6 +19,7 @@ from bisect import bisect_right
 from collections.abc import Iterable
 from struct import pack
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,10 +30,18 @@ from larderline.llm.pretokens import Cache
 
 #: Characters that Python's str.split takes for white space and the tokenizer libraries do not.
 PYTHON_ONLY_SPACE = "\x1c\x1d\x1e\x1f"
+#: Closing marks that are cut from a word before it is looked up.
+CLOSING = ".,!?;:"
+#: A text that shows whether a tokenizer ends every word at white space, whatever its kind and case.
+PROBE = "It's a Plain line, with 3 words.\tAnd tabs;\nLINES!  gaps?\u00a0wide\u2003ones \u00c9T\u00c9: x1y (so) Stop..."
 
 
 class Ids(Cache):
-    """Worker cache: word between white space -> its ids as little-endian unsigned 32-bit integers."""
+    """Worker cache: word between white space -> its ids as little-endian unsigned 32-bit integers.
+
+    What it takes for granted is probed from the tokenizer: ``by_words``, that white space ends every word (otherwise
+    texts are encoded whole), and ``plain_case``, that a word of letters is its small letters and its closing marks.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -43,6 +52,10 @@ class Ids(Cache):
         self.library.no_truncation()
         self.library.no_padding()
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        words = PROBE.split()
+        self.by_words = self.whole(PROBE) == b"".join(map(self.whole, words))
+        lettered = [(w, core) for w in words if (core := w.rstrip(CLOSING)).isalpha()]
+        self.plain_case = all(self.whole(w) == self.whole(core.lower()) + self.whole(w[len(core) :]) for w, core in lettered)
 
     def whole(self, text: str) -> bytes:
         ids = self.library.encode(text, add_special_tokens=False).ids
@@ -53,17 +66,19 @@ class Ids(Cache):
         # Letters with closing punctuation are two pre-tokens, and the vocabulary is lower-case: this saves the library
         # many words. (A capital sigma has two small ones; letters that turn into letters with marks are no letters.)
         cut = {}
-        for word in new:
-            core = word.rstrip(".,!?;:")
+        for word in new if self.plain_case else ():
+            core = word.rstrip(CLOSING)
             low = core.lower()
             if low != word and low.isalpha() and "\u03a3" not in core:
                 cut[word] = low, word[len(core) :]
         plain = self.unknown([w for w in new if w not in cut] + [part for both in cut.values() for part in both if part])
         known = {"": b""}
         for at in range(0, len(plain), 1024):
+            # One call for many words, each encoded by itself; its ids are those between two cuts.
             some = plain[at : at + 1024]
-            for word, made in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False)):
-                known[word] = pack(f"<{len(made.ids)}I", *made.ids)
+            made = self.library.encode(some, is_pretokenized=True, add_special_tokens=False)
+            ids, cuts = np.array(made.ids, "<u4").tobytes(), 4 * np.searchsorted(np.array(made.word_ids, np.int64), np.arange(len(some) + 1))
+            known.update((word, ids[a:b]) for word, a, b in zip(some, cuts[:-1].tolist(), cuts[1:].tolist()))
         for word in plain:
             self.keep(word, known[word])
         for word, (low, tail) in cut.items():
@@ -71,11 +86,11 @@ class Ids(Cache):
             self.keep(word, both[0] + both[1])
 
     def encode(self, text: str) -> bytes:
-        """Ids of a text. White space ends every word of this vocabulary, except around special strings."""
+        """Ids of a text: of its words, except around special strings."""
         return self.encode_words(text, text.split())
 
     def encode_words(self, text: str, words: list[str]) -> bytes:
-        if any(c in text for c in PYTHON_ONLY_SPACE) or any(s in text for s in self.special):
+        if not self.by_words or any(c in text for c in PYTHON_ONLY_SPACE) or any(s in text for s in self.special):
             return self.whole(text)
         return b"".join(map(self.__getitem__, words))
 
@@ -99,7 +114,8 @@ def pieces(documents: DataFrame, tokenizer_path: str, capacity: int, separator:
             for first in range(0, len(texts), 128):
                 some = texts[first : first + 128]
                 split = [t.split() for t in some]
-                cache.learn(set().union(*split))
+                if cache.by_words:
+                    cache.learn(set().union(*split))
                 for doc_id, text, words in zip(doc_ids[first : first + 128], some, split):
                     ids = cache.encode_words(text, words) + end
                     for at in range(0, len(ids), step):
