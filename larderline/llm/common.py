@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 
@@ -72,16 +73,15 @@ def ship_code(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
-def arrow_map(df: DataFrame, schema: str, rows: Callable[[pa.RecordBatch], dict[str, object]], start: Callable | None = None) -> DataFrame:
+def arrow_map(df: DataFrame, schema: str | StructType, rows: Callable[[pa.RecordBatch], dict[str, object]], start: Callable | None = None) -> DataFrame:
     """``mapInArrow`` with a function from a batch to columns (arrays or lists by name).
 
     ``start``, if given, is called once per task and returns the function.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
 
     ship_code(df.sparkSession)
-    target = to_arrow_schema(StructType.fromDDL(schema))
+    target = to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not start:

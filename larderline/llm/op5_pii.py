@@ -23,6 +23,7 @@ from hashlib import sha256
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from larderline.llm.common import arrow_map, column_of, stored, table, texts_of
 
@@ -116,14 +117,20 @@ HINTS = {
 
 
 def loose_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """(start, kind, end) of looser formats that touch no span found before."""
-    taken, found = [(a, b) for a, _, b in base], []
+    """(start, kind, end) of looser formats that touch no span found before. Matches and spans are merged in order."""
+    taken, found = sorted((a, b) for a, _, b in base), []
     for kind, name in enumerate(KINDS):
-        if HINTS[name].search(text):
-            for m in LOOSE[name].finditer(text):
-                if all(m.end() <= a or m.start() >= b for a, b in taken):
-                    found.append((m.start(), kind, m.end()))
-                    taken.append((m.start(), m.end()))
+        if not HINTS[name].search(text):
+            continue
+        free, at, reach = [], 0, 0  # reach: the furthest end of the spans that start before the match ends
+        for m in LOOSE[name].finditer(text):
+            while at < len(taken) and taken[at][0] < m.end():
+                reach = max(reach, taken[at][1])
+                at += 1
+            if reach <= m.start():
+                free.append(m.span())
+        found += [(a, kind, b) for a, b in free]
+        taken = sorted(taken + free)
     return sorted(found)
 
 
@@ -222,8 +229,12 @@ def classifier(counts: dict[int, int], chance: dict[int, float], steps: int = 30
     return dict(zip(codes, (1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))).tolist()))
 
 
-def candidates(documents: DataFrame) -> DataFrame:
-    """Per document: its row columns, and spans (kind, start, end, base, pattern) of every candidate."""
+FIELDS = {"start": T.IntegerType(), "kind": T.IntegerType(), "end": T.IntegerType(), "base": T.BooleanType(), "pattern": T.IntegerType()}
+SPANS = T.ArrayType(T.StructType([T.StructField(n, t) for n, t in FIELDS.items()]))
+
+
+def candidates(documents: DataFrame, keep: list[str], name: str = "spans") -> DataFrame:
+    """The columns ``keep`` of each document, and ``name``: (kind, start, end, base, pattern) of every candidate."""
 
     def scan(batch):
         out = []
@@ -235,11 +246,10 @@ def candidates(documents: DataFrame) -> DataFrame:
                     code = pattern(kind, votes(text, start, kind, end, is_base), end - start)
                     spans.append({"start": start, "kind": kind, "end": end, "base": is_base, "pattern": code})
             out.append(sorted(spans, key=lambda s: (s["start"], s["kind"])))
-        return {"doc_id": column_of(batch, "doc_id"), "spans": out}
+        return {n: column_of(batch, n) for n in keep} | {name: out}
 
-    kind = documents.schema["doc_id"].dataType.simpleString()
-    spans = "array<struct<start:int,kind:int,end:int,base:boolean,pattern:int>>"
-    return arrow_map(documents.select("doc_id", "text"), f"doc_id {kind}, spans {spans}", scan)
+    schema = T.StructType([documents.schema[n] for n in keep] + [T.StructField(name, SPANS)])
+    return arrow_map(documents.select(*dict.fromkeys([*keep, "text"])), schema, scan)
 
 
 def trained(spans: DataFrame, least: float = 0.5) -> set[int]:
@@ -254,7 +264,7 @@ def trained(spans: DataFrame, least: float = 0.5) -> set[int]:
 
 def found(documents: DataFrame) -> DataFrame:
     """Per document: the base counts and digest, and all accepted spans as kind:start:end."""
-    spans = stored(candidates(documents))
+    spans = stored(candidates(documents, ["doc_id"]))
     accepted = trained(spans)
 
     def report(batch):
@@ -274,21 +284,20 @@ def found(documents: DataFrame) -> DataFrame:
 
 
 def masked(documents: DataFrame) -> DataFrame:
-    """``documents`` with every accepted span of ``text`` replaced by its kind in angle brackets; null text stays null."""
-    accepted = trained(stored(candidates(documents).select("spans")))
+    """``documents`` with every accepted span of ``text`` replaced by its kind in angle brackets; null text stays null.
+
+    Texts are scanned once: the rows are stored with their candidates, and masked from those.
+    """
+    rows = stored(candidates(documents, documents.columns, "__pii_spans"))
+    accepted = trained(rows.select(F.col("__pii_spans").alias("spans")))
 
     def mask(batch):
         out = []
-        for text in column_of(batch, "text").to_pylist():
-            if text:
-                base = base_spans(text)
-                spans = base + [
-                    (s, k, e)
-                    for s, k, e in loose_spans(text, base)
-                    if pattern(k, votes(text, s, k, e, False), e - s) in accepted
-                ]
+        for text, found in zip(column_of(batch, "text").to_pylist(), column_of(batch, "__pii_spans").to_pylist()):
+            spans = [(s["start"], s["kind"], s["end"]) for s in found if s["base"] or s["pattern"] in accepted]
+            if spans:
                 parts, done = [], 0
-                for start, kind, end in sorted(spans):
+                for start, kind, end in spans:
                     if end <= done:
                         continue
                     if start >= done:
@@ -298,7 +307,7 @@ def masked(documents: DataFrame) -> DataFrame:
             out.append(text)
         return {n: column_of(batch, n) for n in batch.schema.names} | {"text": out}
 
-    return arrow_map(documents, documents._jdf.schema().toDDL(), mask)
+    return arrow_map(rows, documents.schema, mask)
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
