@@ -134,7 +134,8 @@ def learnable(doc_id: Column) -> Column:
 def training_rows(documents: DataFrame, labels: DataFrame, sample_labels: int) -> DataFrame:
     """text, toxic (0 or 1), part (0 to 9) and weight of at most ``sample_labels`` labelled documents.
 
-    Parts are dealt by rank within a class. A row weighs as the labels of its class that it stands for.
+    Parts are dealt by rank within a class. A row weighs as the labels of its class that it stands for. Of rows that
+    share an id one counts, that of the smallest text hash, so the sample is never larger than stated.
     """
     spark = documents.sparkSession
     known = labels.where(learnable(F.col("doc_id")) & F.col("toxic").isin(0, 1)).groupBy("doc_id")
@@ -151,7 +152,9 @@ def training_rows(documents: DataFrame, labels: DataFrame, sample_labels: int) -
     kind = known.schema["doc_id"].dataType.simpleString()
     sample = spark.createDataFrame(chosen, f"doc_id {kind}, toxic int, part int, weight double")
     # Bounded by sample_labels, so broadcast: the texts stay where they are.
-    return documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "toxic", "part", "weight")
+    found = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic", "part", "weight")
+    one = found.agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("first"))
+    return one.select("first.text", "toxic", "part", "weight")
 
 
 def lexicon(rows: DataFrame, least_count: int = 4, entries: int = 2000) -> dict[str, float]:
