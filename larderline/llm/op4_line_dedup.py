@@ -1,8 +1,8 @@
 """Line dedup by an exact set-similarity join of all lines of all documents.
 
 A line is the set of its word shingles (five words; fewer words are one token). It goes when a line before it, in order
-of document id and place, has a Jaccard similarity of at least 0.75; the line before need not itself stay. Lines
-without words are left alone.
+of document id, text (by hash) and place, has a Jaccard similarity of at least 0.75; the line before need not itself
+stay. Lines without words are left alone.
 
 1. Lines that say the same, word for word, are one: the first stands for all, the others go.
 2. Tokens are ordered by rarity: each task counts the tokens that repeat within its batches, the sums over all lines
@@ -15,16 +15,24 @@ without words are left alone.
    Lines of larger groups, and of hot tokens, without an earlier match by then are held against all lines of the
    token, in blocks, without writing out pairs. So nothing is left untried, and a frequent token makes no square of pairs.
 
-Null text has no lines. Documents with a null id come after all others. Rows that repeat an id and a line are one place
-and fare alike. An empty table gives an empty result. Extra columns are left out by ``marked`` and kept by ``cleaned``.
+What stays is found from the other side: the first place of each distinct line, unless the join removes that line, is
+kept with its document, so the places of a line that many documents hold never meet in one task.
+
+Null text has no lines. Documents with a null id come after all others. Rows are told apart by id and text; of rows that
+repeat both, one counts as the first and the lines of the others go (which one, extra columns do not decide). An empty
+table gives an empty result. Extra columns are left out by ``marked`` and kept by ``cleaned``.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from larderline.llm.common import arrow_map, column_of, ship_code, stored, table
 from larderline.llm.op7_minhash import BLOCK, in_groups
@@ -92,8 +100,17 @@ def firsts_of(names: np.ndarray) -> np.ndarray:
     return first
 
 
+#: The columns that tell rows of documents apart, in order: id is 0 where doc_id is null, key is the hash of the text.
+ROW = ["null_id", "id", "key"]
+
+
+def row_key() -> list[Column]:
+    doc_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long"))
+    return [F.col("doc_id").isNull().alias("null_id"), doc_id.alias("id"), F.xxhash64("text").alias("key")]
+
+
 def line_rows(documents: DataFrame) -> DataFrame:
-    """doc_id, place, name, words of every line (name null: no words); and tokens that repeat in a batch, as rows of
+    """Row key, place, name, words of every line (name null: no words); and tokens that repeat in a batch, as rows of
     place -1 with the token as name and its count as words (lines that say the same count once in a part)."""
 
     def read(batch):
@@ -104,18 +121,18 @@ def line_rows(documents: DataFrame) -> DataFrame:
         token, n = np.unique(again, return_counts=True)
         token, n = token[n > 2], n[n > 2]
         gather = lambda get: np.concatenate([get(first, lines) for first, lines in found])
-        ids = column_of(batch, "doc_id").take(pa.array(gather(lambda first, lines: lines.document + first)))
+        at = pa.array(gather(lambda first, lines: lines.document + first))
+        row = {n: column_of(batch, n).take(at) for n in ROW}
         words = gather(lambda _, lines: lines.words)
         names = pa.array(gather(lambda _, lines: lines.name).view(np.int64), mask=words == 0)
-        return {
-            "doc_id": pa.concat_arrays([ids, pa.nulls(len(token), ids.type)]),
+        return {n: pa.concat_arrays([x, pa.nulls(len(token), x.type)]) for n, x in row.items()} | {
             "place": np.concatenate([gather(lambda _, lines: lines.place), np.full(len(token), -1)]).astype(np.int32),
             "name": pa.concat_arrays([names, pa.array(token.view(np.int64))]),
             "words": np.concatenate([words, n]),
         }
 
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return arrow_map(rows, "doc_id long, place int, name long, words long", read)
+    rows = documents.select(*row_key(), F.col("text").cast("binary").alias("text"))
+    return arrow_map(rows, "null_id boolean, id long, key long, place int, name long, words long", read)
 
 
 def frequent(rows: DataFrame, entries: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -274,27 +291,29 @@ def met(packed: DataFrame, hot: int) -> DataFrame:
 
 def sets_of(wanted: DataFrame, firsts: DataFrame, documents: DataFrame) -> DataFrame:
     """name and tokens (binary) of the lines named in ``wanted``, read again from the first text that has each."""
-    ids = wanted.join(firsts, "name").groupBy(F.col("first.doc_id").alias("__id")).agg(F.collect_set("name").alias("names"))
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    chosen = texts.join(ids, F.col("doc_id").eqNullSafe(F.col("__id"))).select("text", "names")
+    names = wanted.join(firsts, "name").select("name", "first.*").groupBy(*ROW).agg(F.collect_set("name").alias("names"))
+    texts = documents.select(*row_key(), F.col("text").cast("binary").alias("text"))
+    chosen = texts.join(names, ROW).select("text", "names")
 
     def read(batch):
         out = {"name": [], "tokens": []}
-        for text, names in zip(column_of(batch, "text").to_pylist(), column_of(batch, "names").to_pylist()):
-            lines = Lines([text])
-            by_line = np.argsort(lines.owner, kind="stable")
-            owner, tokens = lines.owner[by_line], lines.tokens[by_line]
-            name, first = np.unique(lines.name.view(np.int64), return_index=True)
-            for i in first[np.isin(name, np.array(names, np.int64))]:
-                if lines.words[i]:
-                    out["name"].append(int(lines.name[i].view(np.int64)))
-                    out["tokens"].append(distinct(tokens[np.searchsorted(owner, i, "left") : np.searchsorted(owner, i, "right")]).tobytes())
+        asked = column_of(batch, "names")
+        for begin, part in parts(column_of(batch, "text").to_pylist()):
+            lines = Lines(part)
+            names = lines.name.view(np.int64)
+            use = firsts_of(names) & (lines.words > 0) & np.isin(names, asked.slice(begin, len(part)).flatten().to_numpy())
+            mine = use[lines.owner]
+            owner, tokens = distinct_pairs(lines.owner[mine], lines.tokens[mine])
+            which, raw = np.nonzero(use)[0], tokens.tobytes()
+            out["name"] += names[which].tolist()
+            begins, ends = (8 * np.searchsorted(owner, which, side) for side in ("left", "right"))
+            out["tokens"] += [raw[a:b] for a, b in zip(begins.tolist(), ends.tolist())]
         return out
 
     return arrow_map(chosen, "name long, tokens binary", read).dropDuplicates(["name"])
 
 
-def earlier_matches(block: dict, key: np.ndarray) -> list[tuple[int]]:
+def earlier_matches(block: dict, _: np.ndarray) -> list[tuple[int]]:
     """Names of the asking lines of a block that match an earlier one in it."""
     asks = block["asks"].astype(bool)
     others = np.nonzero(~asks)[0]
@@ -306,7 +325,7 @@ def earlier_matches(block: dict, key: np.ndarray) -> list[tuple[int]]:
     owner = np.repeat(np.arange(len(others)), sizes)
     by = np.argsort(values, kind="stable")
     values, owner = values[by], owner[by]
-    null, doc, place = (np.asarray(block[n]) for n in ("null_id", "doc_id", "place"))
+    null, doc, key, place = (np.asarray(block[n]) for n in (*ROW, "place"))
     found = []
     for i in np.nonzero(asks)[0]:
         low, high = np.searchsorted(values, sets[i], "left"), np.searchsorted(values, sets[i], "right")
@@ -314,7 +333,9 @@ def earlier_matches(block: dict, key: np.ndarray) -> list[tuple[int]]:
         at = np.repeat(low - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(lengths.sum())
         common = np.bincount(owner[at], minlength=len(others))
         near = others[similar(common, sizes, len(sets[i]))]
-        before = (null[near] < null[i]) | (null[near] == null[i]) & ((doc[near] < doc[i]) | (doc[near] == doc[i]) & (place[near] < place[i]))
+        before = place[near] < place[i]
+        for part in (key, doc, null):
+            before = (part[near] < part[i]) | (part[near] == part[i]) & before
         if before.any():
             found.append((int(block["name"][i]),))
     return found
@@ -353,7 +374,7 @@ def removed_names(documents: DataFrame, rows: DataFrame, firsts: DataFrame, entr
     )
     dealt = large.join(by.where("any_open"), "band")
     of = lambda n: F.pmod(F.xxhash64("name"), F.col(n))
-    columns = ["name", F.col("first.null_id").cast("int").alias("null_id"), F.coalesce("first.doc_id", F.lit(0)).alias("doc_id"), F.col("first.place").alias("place")]
+    columns = ["name", F.col("first.null_id").cast("int").alias("null_id"), "first.id", "first.key", "first.place"]
     asking = dealt.where("open").select("band", of("lows").alias("low"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("highs") - 1)).alias("high"), F.lit(True).alias("asks"), *columns)
     asked = dealt.select("band", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lows") - 1)).alias("low"), of("highs").alias("high"), F.lit(False).alias("asks"), *columns)
     blocks = stored(asking.unionByName(asked))
@@ -363,60 +384,70 @@ def removed_names(documents: DataFrame, rows: DataFrame, firsts: DataFrame, entr
     return settled.unionByName(rest).distinct()
 
 
-def judged(documents: DataFrame, entries: int = 2**18, bucket_lines: int = 20_000) -> DataFrame:
-    """doc_id, place, name (null: no words) and removed of every line."""
+def kept_lines(documents: DataFrame, entries: int, bucket_lines: int) -> tuple[DataFrame, DataFrame]:
+    """All lines, as ``line_rows`` gives them; and by row key the places of the lines of words that stay."""
     rows = stored(line_rows(documents))
-    lines = rows.where("place >= 0")
-    place = F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "place")
-    firsts = stored(lines.where("name is not null").groupBy("name").agg(F.min(place).alias("first"), F.first("words").alias("words")))
-    gone = removed_names(documents, rows, firsts, entries, bucket_lines).withColumn("gone", F.lit(True))
-    facts = firsts.select("name", "first").join(gone, "name", "left")
-    joined = lines.join(facts, "name", "left")
-    again = F.col("first").isNotNull() & (place != F.col("first"))
-    return joined.select("doc_id", "place", "name", (F.coalesce(F.col("gone"), F.lit(False)) | again).alias("removed"))
+    place = F.struct(*ROW, "place")
+    lines = rows.where("place >= 0 and name is not null")
+    firsts = stored(lines.groupBy("name").agg(F.min(place).alias("first"), F.first("words").alias("words")))
+    gone = removed_names(documents, rows, firsts, entries, bucket_lines)
+    kept = firsts.join(gone, "name", "left_anti").select("first.*")
+    return rows, kept.groupBy(*ROW).agg(F.collect_set("place").alias("stay"))
 
 
-def marked(documents: DataFrame, entries: int = 2**18, bucket_lines: int = 20_000) -> DataFrame:
+def marked(documents: DataFrame, entries: int = 2**18, bucket_lines: int = 20_000, step: int = 10_000) -> DataFrame:
     """doc_id, n_lines, n_removed and removed (places from 0, comma-joined) of every document."""
-    lines = judged(documents, entries, bucket_lines)
-    by = lines.groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("n_lines"),
-        F.sum(F.col("removed").cast("long")).alias("n_removed"),
-        F.concat_ws(",", F.transform(F.array_sort(F.collect_list(F.when(F.col("removed"), F.col("place")))), lambda p: p.cast("string"))).alias("removed"),
-    )
-    ids = documents.select(F.col("doc_id").cast("long").alias("__id"))
-    return ids.join(by, F.col("__id").eqNullSafe(F.col("doc_id")), "left").select(
-        F.col("__id").alias("doc_id"),
-        F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
-        F.coalesce("removed", F.lit("")).alias("removed"),
+    rows, kept = kept_lines(documents, entries, bucket_lines)
+    by = rows.where("place >= 0").groupBy(*ROW).agg(
+        F.count(F.when(F.col("place") == 0, 1)).alias("copies"),
+        (F.max("place") + 1).cast("long").alias("n_lines"),
+        F.collect_set(F.when(F.col("name").isNotNull(), F.col("place"))).alias("worded"),
     )
+    # A row for each copy, in steps, so that no array grows with the copies; the lines of all but the first go.
+    by = by.join(kept, ROW, "left").withColumn("step", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / step))))
+    copy = F.sequence(F.col("step") * step, F.least(F.col("copies"), (F.col("step") + 1) * step) - 1)
+    by = by.withColumn("copy", F.explode(copy))
+    stay = F.when(F.col("copy") == 0, F.col("stay"))
+    gone = F.array_sort(F.when(stay.isNull(), F.col("worded")).otherwise(F.array_except("worded", stay)))
+    by = by.select(F.when(~F.col("null_id"), F.col("id")).alias("doc_id"), "n_lines", gone.alias("gone"))
+    found = by.select("doc_id", "n_lines", F.size("gone").cast("long").alias("n_removed"), F.concat_ws(",", F.transform("gone", lambda p: p.cast("string"))).alias("removed"))
+    none = documents.where(F.coalesce(F.col("text"), F.lit("")) == "").select(F.col("doc_id").cast("long").alias("doc_id"))
+    zero = F.lit(0).cast("long")
+    return found.unionByName(none.select("doc_id", zero.alias("n_lines"), zero.alias("n_removed"), F.lit("").alias("removed")))
+
+
+#: What makes a line one of words.
+WORDED = re.compile(r"[^\x20\x09-\x0d]")
+
 
+def cleaned(documents: DataFrame, entries: int = 2**18, bucket_lines: int = 20_000) -> DataFrame:
+    """``documents`` with the removed lines cut from ``text``; a document that had words and has lost them all goes.
 
-def cleaned(documents: DataFrame, entries: int = 2**18) -> DataFrame:
-    """``documents`` with the removed lines cut from ``text``; a document that had words and has lost them all goes."""
-    gone = judged(documents, entries).where("removed").groupBy("doc_id").agg(F.collect_list(F.struct("place", "name")).alias("__gone"))
-    rows = documents.select(F.struct("*").alias("__row"), F.col("text").cast("string").alias("__text"), F.col("doc_id").cast("long").alias("__id"))
-    joined = rows.join(gone, F.col("__id").eqNullSafe(F.col("doc_id")), "left").select("__row", "__text", "__gone")
+    So do the copies of a row, as their lines all go.
+    """
+    _, kept = kept_lines(documents, entries, bucket_lines)
+    null, id_, key = row_key()
+    rows = documents.select(F.struct("*").alias("__row"), F.col("text").cast("string").alias("__text"), null.alias("__null"), id_.alias("__id"), key.alias("__key"))
+    on = ["__null", "__id", "__key", "__each"]
+    # Rows without words are a group each; of the others one of each id and text goes on, found before the exchange.
+    worded = F.coalesce(F.col("__text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
+    rows = rows.withColumn("__each", F.when(worded, F.lit(-1).cast("long")).otherwise(F.monotonically_increasing_id()))
+    rows = rows.withColumn("__place", F.row_number().over(Window.partitionBy(*on).orderBy("__key"))).where("__place = 1")
+    kept = kept.select(*[F.col(n).alias(m) for n, m in zip(ROW, on)], F.lit(-1).cast("long").alias("__each"), F.col("stay").alias("__stay"))
+    joined = rows.join(kept, on, "left").select("__row", "__text", "__stay")
     kind = joined.schema["__row"].dataType
 
     def cut(batch):
-        texts = []
-        for text, gone in zip(column_of(batch, "__text").to_pylist(), column_of(batch, "__gone").to_pylist()):
-            if gone and text:
-                away = {(g["place"], g["name"]) for g in gone}
-                lines = text.split("\n")
-                names = Lines([text.encode()]).name.view(np.int64).tolist()
-                kept = [x for p, x in enumerate(lines) if (p, names[p]) not in away]
-                text = "\n".join(kept)
-                if not text.strip():
-                    text = None if len(kept) < len(lines) else text
-                texts.append((text, text is None))
-            else:
-                texts.append((text, False))
-        return {"__row": column_of(batch, "__row"), "__new": [t for t, _ in texts], "__lost": [x for _, x in texts]}
-
-    made = arrow_map(joined, f"__row {kind.simpleString()}, __new string, __lost boolean", cut).where(~F.col("__lost"))
+        out = {"__row": column_of(batch, "__row"), "__new": [], "__lost": []}
+        for text, stay in zip(column_of(batch, "__text").to_pylist(), column_of(batch, "__stay").to_pylist()):
+            lines, at = (text or "").split("\n"), set(stay or ())
+            left = [x for p, x in enumerate(lines) if p in at or not WORDED.search(x)]
+            out["__new"].append("\n".join(left) if len(left) < len(lines) else text)
+            out["__lost"].append(len(left) < len(lines) and not at)
+        return out
+
+    schema = T.StructType([T.StructField("__row", kind), T.StructField("__new", T.StringType()), T.StructField("__lost", T.BooleanType())])
+    made = arrow_map(joined, schema, cut).where(~F.col("__lost"))
     return made.select(*[F.col("__new").alias(f.name) if f.name == "text" else F.col("__row").getField(f.name).alias(f.name) for f in kind.fields])
 
 

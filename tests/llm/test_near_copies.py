@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import cases
 import numpy as np
+import xxhash
 from larderline.llm.components import components
 from larderline.llm.op4_line_dedup import cleaned, marked
 from larderline.llm.op7_minhash import estimate, near_duplicates, registers
@@ -163,6 +164,24 @@ def test_lines_of_awkward_rows(spark):
     assert marked(cases.empty(spark)).collect() == []
 
 
+def test_lines_of_null_and_repeated_ids(spark):
+    # The same lines in rows that share an id or have none: one of them keeps each line, in order of the texts' hashes.
+    same = " ".join(f"s{i}" for i in range(12))
+    near = same.replace("s11", "other")
+    rows = [(None, f"{same}\nnull {i} of its own") for i in range(3)] + [(7, f"{same}\n\nseven {i} of its own") for i in range(2)]
+    rows += [(7, rows[3][1])] * 2 + [(None, rows[0][1])] * 2 + [(9, near), (9, f"{near}\nnine"), (None, f" \n{near}"), (None, " \n")] + [(None, None)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    signed = lambda t: (xxhash.xxh64_intdigest(t.encode(), 42) + 2**63) % 2**64 - 2**63 if t is not None else 42
+    ranked = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, signed(r[1])))
+    expected = [(r[0], *e[1:]) for r, e in zip(ranked, removed_lines([(i, t) for i, (_, t) in enumerate(ranked)]))]
+    for step in (10_000, 2):
+        assert cases.rows_of(marked(docs, step=step)) == sorted(expected, key=repr)
+    left = [r.text for r in cleaned(docs).collect()]
+    texts = "\n".join(t for t in left if t)
+    assert texts.count(same) == 1 and near not in texts and texts.count("null 0") == 1 and texts.count("nine") == 1
+    assert left.count(None) == 2 and " \n" in left
+
+
 def test_cleaned_documents_keep_their_columns(spark):
     docs = cases.documents(spark, clashing=True)
     left = cleaned(docs)

@@ -2,11 +2,12 @@
 
 import random
 import re
+import time
 
 import cases
 from conftest import SMALL
 from larderline.llm import op5_pii as pii
-from larderline.llm.op2_toxicity import fitted, learnable, toxicity, without_toxic
+from larderline.llm.op2_toxicity import fitted, learnable, toxicity, training_rows, without_toxic
 from pyspark.sql import functions as F
 
 PLAIN = [
@@ -81,6 +82,40 @@ def test_addresses_of_every_form_of_at_and_dot_alone_in_a_text(spark):
         assert (found[i], left[i]) == (f"email:5:{len(text)}", "mail <EMAIL>")
 
 
+def test_looser_spans_touch_no_span_found_before():
+    def slowly(text, base):
+        taken, found = [(a, b) for a, _, b in base], []
+        for kind, name in enumerate(pii.KINDS):
+            for m in pii.LOOSE[name].finditer(text):
+                if all(m.end() <= a or m.start() >= b for a, b in taken):
+                    found.append((m.start(), kind, m.end()))
+                    taken.append((m.start(), m.end()))
+        return sorted(found)
+
+    random.seed(6)
+    bits = ["bob at ex.com", "bob@ex.com", "10[.]1[.]2[.]3", "10.1.2.3", "4111_1111_1111_1111", "4111 1111 1111 1111", "555-123-4567", "+1 555 123 4567", " ", " x ", "@", "."]
+    for _ in range(3000):
+        text = "".join(random.choice(bits) for _ in range(random.randint(1, 8)))
+        base = pii.base_spans(text)
+        assert pii.loose_spans(text, base) == slowly(text, base)
+
+
+def test_a_text_of_many_spans_takes_linear_time():
+    text = "call (555) 123-4567 or x@example.com, " * 50_000
+    began = time.process_time()
+    base = pii.base_spans(text)
+    assert len(base) == 50_000 and len(pii.loose_spans(text, base)) == 50_000
+    assert time.process_time() - began < 10  # a second or two; by comparing all spans with all, an hour
+
+
+def test_the_sample_of_labels_is_bounded_when_ids_repeat(spark):
+    docs = spark.createDataFrame([(i % 40 if i < 400 else 1, f"text {i % 7}") for i in range(1400)], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    rows = training_rows(docs, labels, 10).collect()
+    assert len(rows) == 10 and sum(r.toxic for r in rows) == 5
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, training_rows(docs, labels, 10).collect()))
+
+
 def test_reliabilities_separate_good_from_bad_patterns():
     good, bad = pii.pattern(2, [2, 2, 2, 2, 2], 16), pii.pattern(2, [0, 1, 1, 1, 1], 16)
     chance = pii.expectation_maximisation({good: 500, bad: 300})
