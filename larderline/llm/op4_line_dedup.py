@@ -48,8 +48,10 @@ def similar(common: np.ndarray | int, one: np.ndarray | int, other: np.ndarray |
     return 100 * common >= 75 * (one + other - common)
 
 
-#: Bytes of text whose lines are worked on at once.
-PART_BYTES = 4 << 20
+#: Bytes of text whose lines are worked on at once: what is made of them fits a processor's cache.
+PART_BYTES = 256 << 10
+#: Bytes of text whose prefixes are packed together.
+PACK_BYTES = 4 << 20
 
 
 class Lines:
@@ -79,12 +81,12 @@ class Lines:
         self.owner = np.concatenate([owner[:n][inside], few])
 
 
-def parts(texts: list[bytes | None]):
-    """Index of the first text and texts of consecutive parts, each of at most PART_BYTES if it has several texts."""
+def parts(texts: list[bytes | None], most: int = PART_BYTES):
+    """Index of the first text and texts of consecutive parts, each of at most ``most`` bytes if it has several texts."""
     first, part, size = 0, [], 0
     for i, text in enumerate(texts):
         n = len(text or b"") + 1
-        if part and size + n > PART_BYTES:
+        if part and size + n > most:
             yield first, part
             first, part, size = i, [], 0
         part.append(text)
@@ -186,26 +188,29 @@ def prefixes(documents: DataFrame, order: tuple[np.ndarray, np.ndarray, np.ndarr
         salts = shared.value[2]
         out = {"bucket": [], "low": [], "high": [], "name": [], "size": [], "position": []}
         texts = column_of(batch, "text").to_pylist()
-        for _, part in parts(texts):
-            lines = Lines(part)
-            names = lines.name.view(np.int64)
-            # The first of the lines that say the same is enough for this part.
-            first = firsts_of(names)
-            use = first[lines.owner] if len(names) else np.zeros(0, bool)
-            owner, token = in_order(lines.owner[use], made[0](lines.tokens[use]), len(names))
-            size = np.bincount(owner, minlength=len(names))
-            start = np.concatenate([[0], np.cumsum(size)[:-1]]) if len(size) else size
-            position = np.arange(len(owner)) - start[owner]
-            n = size[owner]
-            keep = position < n - -(-3 * n // 4) + 1
-            owner, token, position, n = owner[keep], token[keep], position[keep], n[keep]
+        for _, pack_ in parts(texts, PACK_BYTES):
+            pieces = [Lines(part) for _, part in parts(pack_)]
+            # The first of the lines that say the same is enough for this pack.
+            first, at, cells = firsts_of(np.concatenate([lines.name for lines in pieces])), 0, []
+            for lines in pieces:
+                names = lines.name.view(np.int64)
+                use = first[at : at + len(names)][lines.owner] if len(names) else np.zeros(0, bool)
+                at += len(names)
+                owner, token = in_order(lines.owner[use], made[0](lines.tokens[use]), len(names))
+                size = np.bincount(owner, minlength=len(names))
+                start = np.concatenate([[0], np.cumsum(size)[:-1]]) if len(size) else size
+                position = np.arange(len(owner)) - start[owner]
+                n = size[owner]
+                keep = position < n - -(-3 * n // 4) + 1
+                cells.append((names[owner[keep]], token[keep], position[keep], n[keep]))
+            name, token, position, n = (np.concatenate(column) for column in zip(*cells))
             bucket = (token * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % buckets
             split = np.nonzero(token >= np.uint64(hot))[0]
-            salt = names[owner[split]].view(np.uint64) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(33)
+            salt = name[split].view(np.uint64) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(33)
             salt = salt % salts[(token[split] - np.uint64(hot)).astype(np.int64)]
             bucket[split] = (bucket[split] + salt.astype(np.int64)) % buckets
             by = np.argsort(bucket.astype(np.uint16) if buckets <= 2**16 else bucket, kind="stable")
-            owner, token, position, n, bucket = owner[by], token[by], position[by], n[by], bucket[by]
+            name, token, position, n, bucket = name[by], token[by], position[by], n[by], bucket[by]
             cuts = np.nonzero(np.diff(bucket))[0] + 1
             for a, b in zip([0, *cuts], [*cuts, len(bucket)]):
                 if a < b:
@@ -214,7 +219,7 @@ def prefixes(documents: DataFrame, order: tuple[np.ndarray, np.ndarray, np.ndarr
                     kind = np.uint16 if n[a:b].max() < 2**16 else np.uint32
                     out["low"].append(token[a:b].astype(np.uint32).tobytes())
                     out["high"].append((token[a:b] >> np.uint64(32)).astype(np.uint16).tobytes())
-                    out["name"].append(names[owner[a:b]].tobytes())
+                    out["name"].append(name[a:b].tobytes())
                     out["size"].append(n[a:b].astype(kind).tobytes())
                     out["position"].append(position[a:b].astype(kind).tobytes())
         return out

@@ -72,14 +72,17 @@ def hashed_words(text: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 def _hashed(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(raw)
-    inside = np.zeros(n + 2, np.int8)
-    np.logical_not(IS_SPACE[raw], out=inside[1:-1].view(bool))
-    turns = np.diff(inside)
-    starts, ends = np.nonzero(turns == 1)[0], np.nonzero(turns == -1)[0]
+    inside = np.zeros(n + 2, bool)
+    np.logical_not((raw == 0x20) | (raw - np.uint8(0x09) < 5), out=inside[1:-1])
+    turns = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = turns[0::2], turns[1::2]
     up, down = powers(n + 1)
     # A word's hash is a polynomial of its bytes, from sums over the text: it does not depend on the word's place.
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTES[raw] * up[:n], out=sums[1:])
+    part = sums[1:]
+    np.take(_BYTES, raw, out=part, mode="clip")
+    np.multiply(part, up[:n], out=part)
+    np.cumsum(part, out=part)
     hashes = (sums[ends] - sums[starts]) * down[starts]
     return mixed(hashes + (ends - starts).astype(np.uint64)), starts
 

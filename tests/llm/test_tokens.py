@@ -122,6 +122,15 @@ def test_packing_of_whole_documents(spark):
     assert packed(cases.empty(spark), WORD).collect() == []
 
 
+def test_a_tokenizer_of_another_kind_gives_its_own_ids():
+    for path, by_words in ((WORD, True), (BYTE, False)):
+        ids = Ids(path)
+        assert (ids.by_words, ids.plain_case) == (by_words, by_words)
+        for text in [*noise(300), *(t for _, t, *_ in cases.ROWS if t)]:
+            ids.learn(text.split() if by_words else [])
+            assert ids.encode(text) == ids.whole(text)
+
+
 def test_sequences_hold_the_ids_of_their_pieces(spark):
     pieces = packed(cases.documents(spark), WORD, 64, with_ids=True)
     rows = pieces.collect()
