@@ -85,28 +85,46 @@ def planning_quantity(
 PAIR = ["store_id", "product_id"]
 
 
-def open_week_rates(fct_inventory: DataFrame, stg_sales: DataFrame, recent_weeks: int = RECENT_WEEKS) -> DataFrame:
+def open_week_rates(
+    stock: DataFrame,
+    stg_sales: DataFrame,
+    recent_weeks: int = RECENT_WEEKS,
+    stores: DataFrame | None = None,
+    products: DataFrame | None = None,
+) -> DataFrame:
     """Demand per store and product from the weeks in which its shelf was not empty.
 
     A week with a stock-out shows what could be sold, not what was wanted: it is masked for its own store and product,
     and ``weekly_rate`` is the mean of the others (NULL if none is left). Only weeks with a snapshot count. Also
     ``recent_units`` (mean of the last weeks, masked or not) and ``had_stockout`` in these.
+
+    ``stock`` holds snapshots with ``category`` and ``store_cluster``, or without them: then each pair gets them from
+    ``stores`` and ``products`` after its weeks are summed, and only pairs are moved for that. All steps on weeks share
+    the partitions by store and product.
     """
     week = F.trunc("snapshot_date", "week")
-    span = fct_inventory.agg(F.min(week).alias("first"), F.max(week).alias("last"))
+    span = stock.agg(F.min(week).alias("first"), F.max(week).alias("last"))
     first, last = span.select("first").scalar(), span.select("last").scalar()
-    stock = fct_inventory.groupBy(*PAIR, "category", "store_cluster", week.alias("week_start")).agg(F.bool_or("is_stockout").alias("masked"))
+    labelled = [c for c in ("category", "store_cluster") if c in stock.columns]
+    weeks = stock.groupBy(*PAIR, *labelled, week.alias("week_start")).agg(F.bool_or("is_stockout").alias("masked"))
     sold_in = F.trunc("sale_date", "week")
     sold = stg_sales.filter(F.col("sale_date") >= first).groupBy(*PAIR, sold_in.alias("week_start")).agg(F.sum("quantity").alias("units"))
-    units = F.coalesce("units", F.lit(0).cast("bigint"))
+    # One row a pair, with a map of its weeks: the join is by the pair alone, so the weeks of stock stay where they are.
+    by_week = F.map_from_entries(F.collect_list(F.struct("week_start", "units"))).alias("_units")
+    sold = sold.groupBy(*PAIR).agg(by_week).hint("shuffle_hash")
+    units = F.coalesce(F.try_element_at("_units", F.col("week_start")), F.lit(0).cast("bigint"))
     recent = F.datediff(last, "week_start") < recent_weeks * 7
-    by_pair = stock.join(sold, [*PAIR, "week_start"], "left").groupBy(*PAIR, "category", "store_cluster").agg(
+    by_pair = weeks.join(sold, PAIR, "left").groupBy(*PAIR, *labelled).agg(
         F.count_if(~F.col("masked")).alias("open_weeks"),
         F.count_if("masked").alias("masked_weeks"),
         F.sum(F.when(~F.col("masked"), units)).alias("open_units"),
         (F.sum(F.when(recent, units).otherwise(0)).cast("double") / float(recent_weeks)).alias("recent_units"),
         F.bool_or(recent & F.col("masked")).alias("had_stockout"),
     )
+    if products is not None:
+        by_pair = by_pair.join(products.select("product_id", "category").distinct(), "product_id", "left")
+    if stores is not None:
+        by_pair = by_pair.join(stores.select("store_id", "store_cluster").distinct(), "store_id", "left")
     rate = F.try_divide(F.col("open_units").cast("double"), F.col("open_weeks").cast("double"))
     return by_pair.withColumn("weekly_rate", rate).drop("open_units")
 
