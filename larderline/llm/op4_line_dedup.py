@@ -431,29 +431,30 @@ def cleaned(documents: DataFrame, entries: int = 2**18, bucket_lines: int = 20_0
     So do the copies of a row, as their lines all go.
     """
     _, kept = kept_lines(documents, entries, bucket_lines)
-    null, id_, key = row_key()
-    rows = documents.select(F.struct("*").alias("__row"), F.col("text").cast("string").alias("__text"), null.alias("__null"), id_.alias("__id"), key.alias("__key"))
-    on = ["__null", "__id", "__key", "__each"]
-    # Rows without words are a group each; of the others one of each id and text goes on, found before the exchange.
-    worded = F.coalesce(F.col("__text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
-    rows = rows.withColumn("__each", F.when(worded, F.lit(-1).cast("long")).otherwise(F.monotonically_increasing_id()))
-    rows = rows.withColumn("__place", F.row_number().over(Window.partitionBy(*on).orderBy("__key"))).where("__place = 1")
-    kept = kept.select(*[F.col(n).alias(m) for n, m in zip(ROW, on)], F.lit(-1).cast("long").alias("__each"), F.col("stay").alias("__stay"))
-    joined = rows.join(kept, on, "left").select("__row", "__text", "__stay")
-    kind = joined.schema["__row"].dataType
+    worded = F.coalesce(F.col("text").cast("string").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
+    on = [f"__{n}" for n in ROW]
+    keyed = documents.where(worded).select(F.struct("*").alias("__row"), *[c.alias(n) for c, n in zip(row_key(), on)])
+    # One row of each id and text goes on, found before the exchange. The join has the window's keys: texts move once.
+    first = keyed.withColumn("__first", F.row_number().over(Window.partitionBy(*on).orderBy(on[-1]))).where("__first = 1")
+    kept = kept.select(*[F.col(n).alias(m) for n, m in zip(ROW, on)], F.col("stay").alias("__stay"))
+    joined = first.join(kept, on, "left").select("__row", "__stay")
+    columns = joined.schema["__row"].dataType.fields
+    schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == "text" else f.dataType) for f in columns])
 
     def cut(batch):
-        out = {"__row": column_of(batch, "__row"), "__new": [], "__lost": []}
-        for text, stay in zip(column_of(batch, "__text").to_pylist(), column_of(batch, "__stay").to_pylist()):
-            lines, at = (text or "").split("\n"), set(stay or ())
-            left = [x for p, x in enumerate(lines) if p in at or not WORDED.search(x)]
-            out["__new"].append("\n".join(left) if len(left) < len(lines) else text)
-            out["__lost"].append(len(left) < len(lines) and not at)
-        return out
-
-    schema = T.StructType([T.StructField("__row", kind), T.StructField("__new", T.StringType()), T.StructField("__lost", T.BooleanType())])
-    made = arrow_map(joined, schema, cut).where(~F.col("__lost"))
-    return made.select(*[F.col("__new").alias(f.name) if f.name == "text" else F.col("__row").getField(f.name).alias(f.name) for f in kind.fields])
+        row, text, whole = column_of(batch, "__row"), [], []
+        old = row.field("text").cast(pa.string()).to_pylist()
+        for x, stay in zip(old, column_of(batch, "__stay").to_pylist()):
+            lines, at = x.split("\n"), set(stay or ())
+            left = [line for p, line in enumerate(lines) if p in at or not WORDED.search(line)]
+            text.append("\n".join(left))
+            whole.append(len(left) == len(lines) or bool(at))
+        keep = pa.array(whole, pa.bool_())
+        return {f.name: (pa.array(text, pa.string()) if f.name == "text" else row.field(f.name)).filter(keep) for f in columns}
+
+    # Rows without words all stay as they are.
+    others = documents.where(~worded).withColumn("text", F.col("text").cast("string"))
+    return arrow_map(joined, schema, cut).unionByName(others)
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Near-duplicate documents and lines against brute force."""
 
 import random
+import re
 from collections import defaultdict
 
 import cases
@@ -9,6 +10,7 @@ import xxhash
 from larderline.llm.components import components
 from larderline.llm.op4_line_dedup import cleaned, marked
 from larderline.llm.op7_minhash import estimate, near_duplicates, registers
+from tests_plan import settings
 
 
 def words(text):
@@ -194,6 +196,16 @@ def test_cleaned_documents_keep_their_columns(spark):
     assert cleaned(cases.empty(spark)).collect() == []
 
 
+def test_cleaned_documents_cross_the_network_once(spark):
+    docs = cases.documents(spark, clashing=True)
+    with settings(spark, {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        formatted = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        nodes = cleaned(docs)._jdf.queryExecution().explainString(formatted).split("\n\n")
+    moved = [n for n in nodes if re.match(r"\(\d+\) Exchange\n", n) and re.search(r"Input.*__row#", n)]
+    # Grouped as the window and the join both want them, the text in the row and not once more beside it.
+    assert len(moved) == 1 and re.search(r"Input \[4\]: ", moved[0])
+
+
 def test_shingles_of_the_same_words_in_another_order_differ():
     from itertools import product
 

@@ -1,12 +1,15 @@
 """The stages in a row, and the registered queries of this part against their SQL."""
 
+import time
+
 import cases
 import corpus_pipeline
 import pytest
 from compare import connect, differences
 from conftest import SMALL
-from larderline.llm.common import stored
+from larderline.llm.common import CLEANUP, stored
 from larderline.llm.queries import ORACLES, QUERIES
+from pyspark.sql import functions as F
 from test_near_copies import alike, tokens, words
 from test_text_models import plain_spans
 
@@ -76,6 +79,20 @@ def test_rows_that_share_an_id_compete_only_with_their_near_duplicates(spark):
     assert got == sorted([rows[0], rows[2], rows[3], *rows[9:]], key=repr)
 
 
+def test_stored_tables_leave_no_shuffle_files(spark):
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {f for f in found.split("\n") if "/shuffle_" in f}
+
+    before, setting = files(), spark.conf.get(CLEANUP)
+    kept = stored(spark.range(5000).repartition(4, "id").groupBy((F.col("id") % 7).alias("k")).count())
+    until = time.time() + 20
+    while files() - before and time.time() < until:  # they are removed in the background
+        time.sleep(0.1)
+    assert not files() - before and spark.conf.get(CLEANUP) == setting
+    assert sum(r["count"] for r in kept.collect()) == 5000
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, name):
     assert differences(QUERIES[name](spark, SMALL), connect(SMALL), ORACLES[name]) == []
