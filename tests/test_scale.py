@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from larderline import registry
 from larderline.functions.columns import rounded_ratio
 from larderline.operators import quality
+from larderline.operators.joins import sharing_left_join, splittable_left_join
 from larderline.plans import planning
 from larderline.sources.sinks import write_mart
 from tests_plan import plan, settings
@@ -50,6 +51,26 @@ def test_pairs_get_their_labels_after_the_weeks_are_summed(spark):
     assert {(r.open_weeks, r.masked_weeks, r.weekly_rate) for r in late if r.store_id == "S1"} == {(1, 1, 7.0)}
 
 
+def test_forecast_totals_and_shares_read_one_plan_of_demand(spark):
+    registry.forget()
+    with settings(spark, {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        text = plan(registry.QUERIES["reorder_topdown"](spark, SMALL))
+    lines = text.splitlines()
+    priced = [x for x in lines if "- Exchange hashpartitioning(product_id" in x and "year(sale_date" in x]
+    assert len(priced) == 1
+    # Stock is not moved by its few categories.
+    assert "BroadcastHashJoin [category" in text
+
+
+def test_null_keys_meet_nothing_in_a_shared_lookup(spark):
+    keys = [("a", 1), ("a", None), (None, 1), (None, None), ("b", 2), ("b", 2)]
+    facts = spark.createDataFrame([(*k, i) for i, k in enumerate(keys)], "k string, n int, i int")
+    lookup = spark.createDataFrame([(*k, 10 * i) for i, k in enumerate(keys[:5])], "k string, n int, v int")
+    one, other = (join(facts, lookup, ["k", "n"]) for join in (sharing_left_join, splittable_left_join))
+    assert sorted(one.select("k", "n", "i", "v").collect(), key=str) == sorted(other.select("k", "n", "i", "v").collect(), key=str)
+    assert {r.i: r.v for r in one.collect()} == {0: 0, 1: None, 2: None, 3: None, 4: 40, 5: 40}
+
+
 def test_digests_are_counted_as_bytes(spark):
     values = ["00ff", "00ff", "00FF", "0ff", "", "x", "x", None, None, "12"]
     t = spark.createDataFrame([(v,) for v in values], "k string")
