@@ -7,9 +7,12 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SMALL
+from larderline import registry
 from larderline.operators import quality as q
 from larderline.operators.anomaly import Metric, bucket_metrics, fill_gaps, score
 from larderline.operators.metric_history import MetricHistory
+from larderline.plans import checks
 from larderline.sources.publish import Publication
 
 START = date(2024, 1, 1)
@@ -88,3 +91,27 @@ def test_a_repeated_run_and_withdrawn_rows(spark, tmp_path):
     # A later run that finds nothing takes the days from its first on away.
     history.record(2, START + timedelta(days=10), measured(df.limit(0)))
     assert {r.bucket for r in history.metrics().collect()} == {START + timedelta(days=d) for d in range(10)}
+
+
+def test_runs_measured_in_one_pass_equal_runs_of_their_own(spark):
+    day = lambda d: START + timedelta(days=d)
+    rows = [(day(d), v) for d in range(9) for v in (1, 0, None, d)] + [(None, 1), (day(3), 7)]
+    df = spark.createDataFrame(rows, "at date, v int")
+    metrics = [Metric("*", "row_count"), *[Metric("v", kind) for kind in ("null_count", "zero_count", "sum", "max", "average")]]
+    early, odd = F.col("at") < F.lit(day(4).isoformat()).cast("date"), F.col("v") % 2 == 1
+    for bucket in ("day", "week"):
+        together = bucket_metrics("events", df, "at", bucket, metrics, {1: early, 2: odd})
+        for run, chosen in ((1, early), (2, odd)):
+            alone = bucket_metrics("events", df.filter(chosen), "at", bucket, metrics)
+            got = together.filter(F.col("run") == run).drop("run")
+            assert got.columns == alone.columns and sorted(got.collect(), key=str) == sorted(alone.collect(), key=str)
+
+
+def test_history_of_two_runs_reads_the_feeds_once(spark):
+    shop, measured = registry.shop(spark, SMALL), []
+    volumes, checks.volumes = checks.volumes, lambda *args: measured.append(args) or volumes(*args)
+    try:
+        scored = registry.QUERIES["anomaly_history"](spark, SMALL).collect()
+    finally:
+        checks.volumes = volumes
+    assert len(measured) == 1 and measured[0][0] is shop and scored
