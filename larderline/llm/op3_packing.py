@@ -14,18 +14,21 @@ extra columns are left out.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from bisect import bisect_right
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from struct import pack
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larderline.llm.common import arrow_map, numbered, stored, table, texts_of, worker_cache
+from larderline.llm.common import arrow_map, column_of, numbered, stored, table, worker_cache
 from larderline.llm.pretokens import Cache
 
 #: Characters that Python's str.split takes for white space and the tokenizer libraries do not.
@@ -34,13 +37,18 @@ PYTHON_ONLY_SPACE = "\x1c\x1d\x1e\x1f"
 CLOSING = ".,!?;:"
 #: A text that shows whether a tokenizer ends every word at white space, whatever its kind and case.
 PROBE = "It's a Plain line, with 3 words.\tAnd tabs;\nLINES!  gaps?\u00a0wide\u2003ones \u00c9T\u00c9: x1y (so) Stop..."
+#: Small Latin letters: no two of them compose, and none has another normal form.
+LATIN = "".join(c for c in map(chr, range(0x250)) if c.isalpha() and c == c.lower())
+#: Bytes of text whose words are told apart at once.
+BLOCK = 4 << 20
 
 
 class Ids(Cache):
     """Worker cache: word between white space -> its ids as little-endian unsigned 32-bit integers.
 
     What it takes for granted is probed from the tokenizer: ``by_words``, that white space ends every word (otherwise
-    texts are encoded whole), and ``plain_case``, that a word of letters is its small letters and its closing marks.
+    texts are encoded whole), ``plain_case``, that a word of letters is its small letters and its closing marks, and
+    ``by_letters``, that a word of small Latin letters is one pre-token, which the library makes letter by letter.
     """
 
     def __init__(self, path: str) -> None:
@@ -51,11 +59,29 @@ class Ids(Cache):
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        self.model = self.library.model
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        #: What sends a text to the library whole.
+        self.odd = "|".join([f"[{PYTHON_ONLY_SPACE}]", *map(re.escape, self.special)])
         words = PROBE.split()
         self.by_words = self.whole(PROBE) == b"".join(map(self.whole, words))
         lettered = [(w, core) for w in words if (core := w.rstrip(CLOSING)).isalpha()]
         self.plain_case = all(self.whole(w) == self.whole(core.lower()) + self.whole(w[len(core) :]) for w, core in lettered)
+        self.letters = {ord(c): self.pretoken(c) for c in LATIN}
+        probes = [LATIN, LATIN[::-1], *LATIN, *(core.lower() for _, core in lettered)]
+        self.by_letters = all(self.letters.values()) and all(self.whole(p) == self.one(p) for p in probes)
+
+    def pretoken(self, letter: str) -> str | None:
+        """What the tokenizer's model is given for a letter, if it is one pre-token."""
+        normal, cutter = self.library.normalizer, self.library.pre_tokenizer
+        text = normal.normalize_str(letter) if normal else letter
+        made = cutter.pre_tokenize_str(text) if cutter else [(text, (0, len(text)))]
+        return made[0][0] if len(made) == 1 else None
+
+    def one(self, word: str) -> bytes:
+        """Ids of a word of Latin letters, by the library's model alone."""
+        ids = [t.id for t in self.model.tokenize(word.translate(self.letters))]
+        return pack(f"<{len(ids)}I", *ids)
 
     def whole(self, text: str) -> bytes:
         ids = self.library.encode(text, add_special_tokens=False).ids
@@ -73,6 +99,12 @@ class Ids(Cache):
                 cut[word] = low, word[len(core) :]
         plain = self.unknown([w for w in new if w not in cut] + [part for both in cut.values() for part in both if part])
         known = {"": b""}
+        if self.by_letters:
+            latin = [w for w in plain if not w.strip(LATIN)]
+            known.update(zip(latin, map(self.one, latin)))
+            for word in latin:
+                self.keep(word, known[word])
+            plain = [w for w in plain if w not in known]
         for at in range(0, len(plain), 1024):
             # One call for many words, each encoded by itself; its ids are those between two cuts.
             some = plain[at : at + 1024]
@@ -94,6 +126,54 @@ class Ids(Cache):
             return self.whole(text)
         return b"".join(map(self.__getitem__, words))
 
+    def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
+        """Ids of each text, as ``encode`` gives them. The words of many texts are told apart at once, so that each
+        different word among them is looked up once."""
+        texts = texts.fill_null("")
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+        first = 0
+        while first < len(texts):
+            before = ends[first - 1] if first else 0
+            until = max(first + 1, int(np.searchsorted(ends, before + BLOCK, "right")))
+            yield from self.encode_block(texts.slice(first, until - first))
+            first = until
+
+    def encode_block(self, texts: pa.Array) -> Iterator[bytes]:
+        if self.by_words:
+            odd = pc.match_substring_regex(texts, self.odd)
+            plain = pc.if_else(odd, "", texts) if pc.any(odd).as_py() else texts
+        else:
+            odd, plain = pa.repeat(True, len(texts)), pa.repeat("", len(texts))
+        split = pc.utf8_split_whitespace(plain)
+        found = split.flatten().dictionary_encode()
+        made = self.encode_different(found.dictionary.to_numpy(zero_copy_only=False).tolist())
+        # The ids of all different words one after the other, and from where and how many to take for each word.
+        known = np.frombuffer(b"".join(made), "<u4")
+        sizes = np.fromiter(map(len, made), np.int64, len(made)) // 4
+        starts = np.cumsum(sizes) - sizes
+        words = found.indices.to_numpy()
+        taken = sizes[words]
+        ends = np.concatenate(([0], np.cumsum(taken)))
+        places = np.arange(ends[-1])
+        places += np.repeat(starts[words] - ends[:-1], taken)
+        ids = known[places]
+        cuts = split.offsets.to_numpy().astype(np.int64)
+        bounds = ends[cuts - cuts[0]].tolist()
+        for i, (whole, a, b) in enumerate(zip(odd.to_pylist(), bounds[:-1], bounds[1:])):
+            yield self.whole(texts[i].as_py()) if whole else ids[a:b].tobytes()
+
+    def encode_different(self, words: list[str]) -> list[bytes]:
+        """Ids of words that are all different."""
+        made = list(map(self.get, words))
+        new = [i for i, ids in enumerate(made) if ids is None]
+        # Few words at a time, so that what the cache has just learned is still there when it is used.
+        for at in range(0, len(new), 65_536):
+            some = new[at : at + 65_536]
+            self.learn([words[i] for i in some])
+            for i in some:
+                made[i] = self[words[i]]
+        return made
+
 
 def worker_ids(path: str) -> Ids:
     return worker_cache(("ids", path), lambda: Ids(path))
@@ -108,25 +188,19 @@ def pieces(documents: DataFrame, tokenizer_path: str, capacity: int, separator:
         cache = worker_ids(tokenizer_path)
 
         def cut(batch):
-            texts, doc_ids = texts_of(batch), batch.column(0).to_pylist()
+            doc_ids = batch.column(0).to_pylist()
             out = {"doc_id": [], "piece": [], "start": [], "length": [], "ids_crc32": []} | ({"ids": []} if with_ids else {})
-            # Few texts at a time, so that what the cache has just learned is still there when it is used.
-            for first in range(0, len(texts), 128):
-                some = texts[first : first + 128]
-                split = [t.split() for t in some]
-                if cache.by_words:
-                    cache.learn(set().union(*split))
-                for doc_id, text, words in zip(doc_ids[first : first + 128], some, split):
-                    ids = cache.encode_words(text, words) + end
-                    for at in range(0, len(ids), step):
-                        part = ids[at : at + step]
-                        out["doc_id"].append(doc_id)
-                        out["piece"].append(at // step)
-                        out["start"].append(at // 4)
-                        out["length"].append(len(part) // 4)
-                        out["ids_crc32"].append(zlib.crc32(part))
-                        if with_ids:
-                            out["ids"].append(part)
+            for doc_id, ids in zip(doc_ids, cache.encode_all(column_of(batch, "text"))):
+                ids += end
+                for at in range(0, len(ids), step):
+                    part = ids[at : at + step]
+                    out["doc_id"].append(doc_id)
+                    out["piece"].append(at // step)
+                    out["start"].append(at // 4)
+                    out["length"].append(len(part) // 4)
+                    out["ids_crc32"].append(zlib.crc32(part))
+                    if with_ids:
+                        out["ids"].append(part)
             return out
 
         return cut

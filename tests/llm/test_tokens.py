@@ -7,6 +7,7 @@ from zlib import crc32
 
 import cases
 import public_tokenizers
+import pyarrow as pa
 import tiktoken
 from larderline.llm.op3_packing import Ids, best_two_fit, packed, places, sequences
 from larderline.llm.op6_token_counts import token_counts
@@ -131,6 +132,33 @@ def test_a_tokenizer_of_another_kind_gives_its_own_ids():
             assert ids.encode(text) == ids.whole(text)
 
 
+def test_ids_of_many_texts_equal_those_of_each(monkeypatch):
+    texts = [*noise(3000), "a<|endoftext|>b <|startoftext|>", "word, word.", "naïve... (x)", "", " ", "x" * 70 + " " + "é" * 70]
+    texts += ["Cafe\u0301 caf\u00e9 \u00c9t\u00e9 \u01c4 \u0130i \u017f \u0149 \u1100\u1161 \u212b", "a\u0085b\u00a0c\u2028d\u3000e\x0bf\x0cg\u180eh\u200bi"] * 2
+    for path in (WORD, BYTE):
+        for block, entries in ((4 << 20, 700_000), (500, 20)):
+            monkeypatch.setattr("larderline.llm.op3_packing.BLOCK", block)
+            ids = Ids(path)
+            ids.entries = entries
+            some = texts if path == WORD else texts[-400:]
+            # A slice with nulls, as a batch may be one.
+            made = list(ids.encode_all(pa.array(["cut off", *some, None, None]).slice(1)))
+            assert made == [*map(ids.whole, some), b"", b""]
+    assert list(ids.encode_all(pa.array([], pa.string()))) == []
+    assert list(Ids(WORD).encode_all(pa.array([None, ""], pa.string()))) == [b"", b""]
+
+
+def test_a_word_is_looked_up_once_for_many_texts():
+    ids = Ids(WORD)
+    asked, whole = [], []
+    ids.encode_different = lambda words, then=ids.encode_different: asked.extend(words) or then(words)
+    ids.model = type("Model", (), {"tokenize": lambda self, word, then=ids.model.tokenize: whole.append(word) or then(word)})()
+    list(ids.encode_all(pa.array(["The one and the other, one and all."] * 1000)))
+    assert sorted(asked) == sorted({"The", "one", "and", "the", "other,", "all."})
+    # Words of letters need the library's model alone, and that once.
+    assert sorted(whole) == ["all", "and", "one", "other", "the"]
+
+
 def test_sequences_hold_the_ids_of_their_pieces(spark):
     pieces = packed(cases.documents(spark), WORD, 64, with_ids=True)
     rows = pieces.collect()
