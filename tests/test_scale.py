@@ -1,6 +1,6 @@
 """What keeps large inventories cheap: few exchanges of weekly rows, narrow rows in those that stay."""
 
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from conftest import SMALL
@@ -10,7 +10,9 @@ from larderline import registry
 from larderline.functions.columns import rounded_ratio
 from larderline.operators import quality
 from larderline.operators.joins import sharing_left_join, splittable_left_join
-from larderline.plans import planning
+from larderline.plans import facts, planning
+from larderline.sources.raw import RawTables
+from larderline.sources.schemas import RAW_SCHEMAS
 from larderline.sources.sinks import write_mart
 from tests_plan import plan, settings
 
@@ -26,6 +28,36 @@ def test_pairs_are_dealt_out_before_their_weeks(spark):
     assert whole.index("md5") < whole.index("Exchange")
 
 
+def test_weekly_stock_meets_many_products_where_it_is(spark):
+    registry.forget()
+    with settings(spark, {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        text = plan(registry.QUERIES["fct_inventory"](spark, SMALL))
+    weeks = text.index("Generate explode(org.apache.spark.sql.catalyst.expressions.UnsafeArrayData")
+    assert "Exchange" not in text[text.index("SortMergeJoin [product_id") : weeks]
+    registry.forget()
+
+
+@pytest.mark.parametrize("feed", ["derived", "given"])
+def test_stock_put_together_by_product_gives_the_same_rows(spark, feed):
+    registry.forget()
+    shop = registry.shop(spark, SMALL)
+    if feed == "derived":
+        raw, stores, products = shop.raw, shop.dim_stores, shop.dim_products
+    else:
+        at = lambda w: datetime(2023, 1, 2 + 7 * w)
+        rows = [("S1", "P1", at(0), 5), ("S1", "P1", at(1), 0), ("S1", "P1", at(1), 0), ("S2", "P1", at(0), None), ("S1", "P2", at(0), 3), ("S9", "P9", at(0), 1)]
+        rows += [(None, "P1", at(0), 4), ("S1", None, at(0), 6), ("S2", None, at(1), 7), (None, None, at(0), 8)]
+        stock = spark.createDataFrame([(*r, 4, 9) for r in rows], "store_id string, product_id string, snapshot_date timestamp_ntz, quantity_on_hand bigint, reorder_point bigint, reorder_qty bigint")
+        raw = RawTables(**{name: stock if name == "inventory_snapshots" else spark.range(0) for name in RAW_SCHEMAS})
+        stores = spark.createDataFrame([("S1", "rural", "NSW", False), ("S2", "rural", "VIC", False), ("S2", "rural", "VIC", True)], "store_id string, store_cluster string, state string, is_metro boolean")
+        products = spark.createDataFrame([("P1", "milk", 7, True), ("P1", "milk", 7, True), ("P1", "old", 7, False), ("P2", "tea", None, True)], "product_id string, product_name string, lead_time_days int, is_current_version boolean")
+        products = products.withColumns({"category": F.lit("dairy"), "perishability": F.lit("Perishable"), "supplier_name": F.lit("s"), "cost_price": F.lit("1.25").cast("decimal(10,2)")})
+    apart = facts.fct_inventory(raw.inventory_snapshots, stores, products)
+    together = facts.fct_inventory(raw.together("inventory_snapshots", "product_id"), stores, products, by_product=True)
+    assert together.schema == apart.schema
+    assert together.exceptAll(apart).isEmpty() and apart.exceptAll(together).isEmpty() and not apart.isEmpty()
+
+
 def test_weeks_meet_sales_without_an_exchange_of_their_own(spark):
     registry.forget()
     with settings(spark, {"spark.sql.adaptive.enabled": "false"}):
