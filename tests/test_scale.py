@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 
 from larderline import registry
 from larderline.functions.columns import rounded_ratio
-from larderline.operators import quality
+from larderline.operators import joins, quality
 from larderline.operators.joins import sharing_left_join, splittable_left_join
-from larderline.plans import facts, planning
+from larderline.plans import checks, facts, planning
 from larderline.sources.raw import RawTables
 from larderline.sources.schemas import RAW_SCHEMAS
-from larderline.sources.sinks import write_mart
+from larderline.sources.sinks import CLEANUP, WRITERS, write_mart
 from tests_plan import plan, settings
 
 
@@ -133,3 +133,35 @@ def test_ratios_are_exact_in_64_bits_and_beyond(spark, kind):
 
     assert [r.r for r in ratios.collect()] == [expected(n, d) for n, d in rows]
     assert "WHEN" in ratios._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_sale_keys_are_made_after_the_exchanges(spark):
+    registry.forget()
+    with settings(spark, {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        text = plan(registry.QUERIES["fct_sales"](spark, SMALL))
+    assert text.index("md5") < text.index("Exchange")
+    registry.forget()
+
+
+def test_marts_of_many_products_equal_lazy_ones(spark, tmp_path, monkeypatch):
+    registry.forget()
+    with monkeypatch.context() as as_if_large:
+        as_if_large.setattr(joins, "UNPACKED", 10**9)
+        written = registry.shop(spark, SMALL).write_marts(str(tmp_path))
+    registry.forget()
+    shop = registry.shop(spark, SMALL)
+    for name in checks.MART_TESTS:
+        lazy = getattr(shop, name)
+        stored = written[name].select(*lazy.columns)
+        assert stored.exceptAll(lazy).isEmpty() and lazy.exceptAll(stored).isEmpty(), name
+    # No row of the stock was moved for its day: every task wrote its own file.
+    assert max(len(list(day.glob("*.parquet"))) for day in (tmp_path / "fct_inventory").glob("snapshot_date=*")) > 1
+
+
+def test_a_mart_written_in_place_keeps_its_partitions(spark, tmp_path):
+    rows = spark.range(0, 600, 1, 4).select("id", F.md5(F.col("id").cast("string")).alias("key"), (F.col("id") % 20).alias("day"))
+    before = {name: spark.conf.get(name, None) for name in (CLEANUP, WRITERS)}
+    stored = write_mart(rows, f"{tmp_path}/a", "day", in_place=True)
+    assert stored.select("id", "key", F.col("day").cast("bigint")).exceptAll(rows).isEmpty() and stored.count() == 600
+    assert {len(list(day.glob("*.parquet"))) for day in (tmp_path / "a").glob("day=*")} == {4}
+    assert {name: spark.conf.get(name, None) for name in before} == before
