@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from larderline import registry
 from larderline.functions.columns import rounded_ratio
-from larderline.operators import joins, quality
+from larderline.operators import joins, prints, quality
 from larderline.operators.joins import sharing_left_join, splittable_left_join
 from larderline.plans import checks, facts, planning
 from larderline.sources.raw import RawTables
@@ -165,3 +165,22 @@ def test_a_mart_written_in_place_keeps_its_partitions(spark, tmp_path):
     assert stored.select("id", "key", F.col("day").cast("bigint")).exceptAll(rows).isEmpty() and stored.count() == 600
     assert {len(list(day.glob("*.parquet"))) for day in (tmp_path / "a").glob("day=*")} == {4}
     assert {name: spark.conf.get(name, None) for name in before} == before
+
+
+def test_keys_compared_by_prints_are_counted_as_in_one_pass(spark):
+    values = ["00ff", "00ff", "00FF", "0ff", "", "", "x", "x", "x", None, None, "12", "1200", " x"]
+    rows = [(v, i % 5 if i else None, "only") for i, v in enumerate(values)]
+    t = spark.createDataFrame(rows, "k string, i int, hot string").repartition(3)
+    parent = spark.createDataFrame([("00ff",), (None,)], "k string")
+    keyed = {"k": quality.Keyed("k"), "i": quality.Keyed("i"), "h": quality.Keyed("hot"), "p": quality.Keyed("k", parent, "k")}
+    for frame in (t, t.filter("hot = 'none'"), t.select("k", "i", F.lit(None).cast("string").alias("hot"))):
+        once, by_prints = (count(frame, {"s": F.lit(1)}, {"m": F.col("i")}, keyed).first().asDict() for count in (quality.counted_once, quality.counted_by_prints))
+        assert by_prints == once
+
+
+def test_prints_leave_out_what_comes_once(spark):
+    many = spark.range(0, 200_000, 1, 6).select(F.md5((F.col("id") % 199_990).cast("string")).alias("key"), F.lit("same").alias("hot"))
+    found = prints.maybe_repeated(many, ["key"])
+    assert found.groupBy("value").count().filter("count > 1").count() == 10
+    assert found.count() < 200
+    assert prints.maybe_repeated(many, ["key", "hot"]).filter("place = 1").count() == 200_000
