@@ -184,3 +184,12 @@ def test_prints_leave_out_what_comes_once(spark):
     assert found.groupBy("value").count().filter("count > 1").count() == 10
     assert found.count() < 200
     assert prints.maybe_repeated(many, ["key", "hot"]).filter("place = 1").count() == 200_000
+
+
+def test_inventory_keys_are_not_moved_to_be_compared(spark):
+    registry.forget()
+    with settings(spark, {"spark.sql.adaptive.enabled": "false"}):
+        text = plan(registry.QUERIES["dq_suite_models"](spark, SMALL))
+    # Three passes over each of two models: measures, prints, the values that may come twice.
+    assert text.count("MapInArrow") >= 2
+    registry.forget()
