@@ -10,6 +10,7 @@ from larderline import registry
 from larderline.functions.columns import rounded_ratio
 from larderline.operators import joins, prints, quality
 from larderline.operators.joins import sharing_left_join, splittable_left_join
+from larderline.operators.reuse import read_whole
 from larderline.plans import checks, facts, planning
 from larderline.sources.raw import RawTables
 from larderline.sources.schemas import RAW_SCHEMAS
@@ -190,6 +191,23 @@ def test_inventory_keys_are_not_moved_to_be_compared(spark):
     registry.forget()
     with settings(spark, {"spark.sql.adaptive.enabled": "false"}):
         text = plan(registry.QUERIES["dq_suite_models"](spark, SMALL))
-    # Three passes over each of two models: measures, prints, the values that may come twice.
+    # Three passes over each of these models: measures, prints, the values that may come twice.
     assert text.count("MapInArrow") >= 2
     registry.forget()
+
+
+def test_models_of_sales_read_them_once(spark):
+    registry.forget()
+    with settings(spark, {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        text = plan(registry.QUERIES["dq_suite_models"](spark, SMALL))
+    assert sum("FileScan parquet" in line and "l_orderkey" in line for line in text.splitlines()) == 1
+    registry.forget()
+
+
+def test_a_table_read_whole_is_the_same_table(spark):
+    rows = [("a", 1, None), ("a", 1, None), (None, None, None), ("b", 2, 1.5)]
+    t = spark.createDataFrame(rows, "k string, i int, x double")
+    shared = read_whole(t, "t")
+    both = shared.select("k").unionByName(shared.select("i"), allowMissingColumns=True).count()
+    assert shared.schema == t.schema and both == 8
+    assert shared.exceptAll(t).isEmpty() and t.exceptAll(shared).isEmpty() and read_whole(t.limit(0), "none").isEmpty()
